@@ -30,8 +30,7 @@ def age_days(as_of, modified_at: str | Column = "modified_at") -> Column:
     """Whole days between modification and ``as_of`` (truncated toward zero)."""
     m = F.col(modified_at) if isinstance(modified_at, str) else modified_at
     t = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-    seconds = F.timestampdiff("SECOND", m, t) if hasattr(F, "timestampdiff") \
-        else F.expr("timestampdiff(SECOND, modified_at, as_of)")
+    seconds = F.timestamp_diff("SECOND", m, t)
     return (seconds / F.lit(SECONDS_PER_DAY)).cast("long")
 
 

@@ -22,25 +22,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def event_feature() -> F.Column:
-    """One GeoJSON-like feature per event: string id, a Point, properties."""
+# JSON text of a timestamp without time zone, to the microsecond.
+JSON_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def event_feature(props_as_object: bool = False) -> F.Column:
+    """One GeoJSON-like feature per event: string id, a Point, properties.
+    ``props_as_object`` turns the ``props`` JSON text into a nested value, as
+    it appears in a delivered file."""
+    props = F.parse_json("props").alias("props") if props_as_object else F.col("props")
     return F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.struct(F.lit("Point").alias("type"),
                  F.array(F.col("value"), F.col("user_id").cast("double")).alias("coordinates")).alias("geometry"),
-        F.struct("user_id", "event_type", "ts", "value", "props").alias("properties"),
+        F.struct("user_id", "event_type", "ts", "value", props).alias("properties"),
     )
 
 
-def event_documents(events: DataFrame, per_doc: int = FEATURES_PER_DOC) -> DataFrame:
+def event_documents(events: DataFrame, per_doc: int = FEATURES_PER_DOC,
+                    props_as_object: bool = False) -> DataFrame:
     """Feature collections ``doc_user, doc_block, features`` from ``events``.
 
     ``collect_list`` is bounded by ``per_doc`` per group; the array is sorted
-    so that a document's feature order (and position) is deterministic.
+    by feature id so that a document's feature order (and position) is
+    deterministic.
     """
     block = F.floor(F.col("event_id") / F.lit(per_doc))
+    features = F.array_sort(F.collect_list(event_feature(props_as_object)),
+                            lambda a, b: F.when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0))
     return events.groupBy(F.col("user_id").alias("doc_user"), block.alias("doc_block")) \
-                 .agg(F.array_sort(F.collect_list(event_feature())).alias("features"))
+                 .agg(features.alias("features"))
+
+
+def write_event_documents(events: DataFrame, path: str, per_doc: int = FEATURES_PER_DOC) -> str:
+    """Write the documents as JSON lines (one document per line) under a new
+    ``path``, with nested ``props`` and microsecond timestamps."""
+    event_documents(events, per_doc, props_as_object=True).write \
+        .option("timestampNTZFormat", JSON_TIME_FORMAT).json(path)
+    return path
 
 
 def event_documents_text(events: DataFrame, per_doc: int = FEATURES_PER_DOC) -> DataFrame:

@@ -10,7 +10,6 @@ one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,10 +71,6 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the shared root for one run of ``name``."""
-    path = f"{shared_root(spark)}/contract_lake/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    elif path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    return path
+    """A fresh path (not yet created, never reused) under the shared root for
+    one run of ``name``; Spark's writers create it."""
+    return f"{shared_root(spark)}/contract_lake/{name}-{uuid.uuid4().hex[:12]}"

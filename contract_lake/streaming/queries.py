@@ -21,9 +21,7 @@ FILES_PER_TRIGGER = 4
 
 
 def _write_docs(spark, sf) -> str:
-    path = work_dir(spark, "docs")
-    fx.event_documents(fx.table(spark, sf, "events")).write.json(path)
-    return path
+    return fx.write_event_documents(fx.table(spark, sf, "events"), work_dir(spark, "docs"))
 
 
 def q_stream_explode(spark, sf):

@@ -57,8 +57,13 @@ def compare(spark, sf_dir, names=None, verbose=True):
     results = {}
     for name in names or sorted(qs):
         t0 = time.time()
-        df = qs[name](spark, sf_dir)
-        rows = [tuple(r) for r in df.collect()]
+        try:
+            df = qs[name](spark, sf_dir)
+            rows = [tuple(r) for r in df.collect()]
+        except Exception as exc:  # report and go on with the next query
+            results[name] = dict(ok=False, error=str(exc)[:300])
+            print(f"ERR {name:28s} {str(exc)[:300]}", flush=True)
+            continue
         cols = df.columns
         secs = time.time() - t0
         if name not in oracles:
