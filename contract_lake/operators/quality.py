@@ -84,36 +84,57 @@ def split_counts(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 
 # ---- Q5: rules derived from the contract -----------------------------------
 
+def _ident(col: str) -> str:
+    return "`" + col.replace("`", "``") + "`"
+
+
+def _literal(value) -> str:
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, (int, float)):
+        return repr(value)
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+# Rule builders return SQL text, so a rule can be defined before any session
+# exists and its text can be stored with the quarantined row.
+
 def required(col: str, criticality: str = "error") -> Rule:
-    return Rule(f"{col}_required", F.col(col).isNotNull(), criticality)
+    return Rule(f"{col}_required", f"{_ident(col)} IS NOT NULL", criticality)
 
 
 def not_blank_rule(col: str, criticality: str = "error") -> Rule:
-    return Rule(f"{col}_not_blank", F.col(col).isNotNull() & (F.trim(F.col(col)) != ""), criticality)
+    c = _ident(col)
+    return Rule(f"{col}_not_blank", f"{c} IS NOT NULL AND TRIM({c}) != ''", criticality)
 
 
 def between(col: str, low=None, high=None, criticality: str = "error") -> Rule:
-    c = F.col(col)
-    cond = F.lit(True)
+    c = _ident(col)
+    bounds = []
     if low is not None:
-        cond = cond & (c >= F.lit(low))
+        bounds.append(f"{c} >= {_literal(low)}")
     if high is not None:
-        cond = cond & (c <= F.lit(high))
-    return Rule(f"{col}_range", c.isNull() | cond, criticality)
+        bounds.append(f"{c} <= {_literal(high)}")
+    cond = " AND ".join(bounds) or "true"
+    return Rule(f"{col}_range", f"{c} IS NULL OR ({cond})", criticality)
 
 
 def one_of(col: str, values: list, criticality: str = "error") -> Rule:
-    c = F.col(col)
-    return Rule(f"{col}_allowed", c.isNull() | c.isin(list(values)), criticality)
+    c = _ident(col)
+    return Rule(f"{col}_allowed", f"{c} IS NULL OR {c} IN ({', '.join(_literal(v) for v in values)})",
+                criticality)
 
 
 def matches(col: str, pattern: str, criticality: str = "error") -> Rule:
-    c = F.col(col)
-    return Rule(f"{col}_pattern", c.isNull() | c.rlike(pattern), criticality)
+    c = _ident(col)
+    return Rule(f"{col}_pattern", f"{c} IS NULL OR {c} RLIKE {_literal(pattern)}", criticality)
 
 
 def castable(col: str, dtype: T.DataType, criticality: str = "error") -> Rule:
-    return Rule(f"{col}_type", ~cast_failed(F.col(col), dtype), criticality)
+    c = _ident(col)
+    return Rule(f"{col}_type", f"NOT ({c} IS NOT NULL AND try_cast({c} AS {dtype.simpleString()}) IS NULL)",
+                criticality)
 
 
 def contract_rules(properties: Iterable[Property], spec: dict | None = None,

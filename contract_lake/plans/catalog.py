@@ -229,7 +229,8 @@ def q_scd2_ties(spark, sf):
 
 def q_entry_history(spark, sf):
     docs = fx.event_documents(fx.table(spark, sf, "events"))
-    hist, _ = flows.run_entry_batch(docs, fx.EVENTS_ENTRY, track=["event_type"])
+    hist, _ = flows.run_entry_batch(docs, fx.EVENTS_ENTRY, track=["event_type"],
+                                    landing=work_dir(spark, "entry_landing"))
     return hist.select("user_id", "feature_id", "event_type", "value", "k",
                        "valid_from", "valid_to", "is_current")
 

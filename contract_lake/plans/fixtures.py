@@ -26,16 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 JSON_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def event_feature(props_as_object: bool = False) -> F.Column:
-    """One GeoJSON-like feature per event: string id, a Point, properties.
-    ``props_as_object`` turns the ``props`` JSON text into a nested value, as
-    it appears in a delivered file."""
-    props = F.parse_json("props").alias("props") if props_as_object else F.col("props")
+def event_feature() -> F.Column:
+    """One GeoJSON-like feature per event: string id, a Point, properties."""
     return F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.struct(F.lit("Point").alias("type"),
                  F.array(F.col("value"), F.col("user_id").cast("double")).alias("coordinates")).alias("geometry"),
-        F.struct("user_id", "event_type", "ts", "value", props).alias("properties"),
+        F.struct("user_id", "event_type", "ts", "value", "props").alias("properties"),
     )
 
 
@@ -44,12 +41,15 @@ def event_documents(events: DataFrame, per_doc: int = FEATURES_PER_DOC,
     """Feature collections ``doc_user, doc_block, features`` from ``events``.
 
     ``collect_list`` is bounded by ``per_doc`` per group; the array is sorted
-    by feature id so that a document's feature order (and position) is
-    deterministic.
+    (struct order, so by feature id first) so that a document's feature order
+    and positions are deterministic. ``props_as_object`` then turns the
+    ``props`` JSON text into a nested value, as a delivered file has it.
     """
     block = F.floor(F.col("event_id") / F.lit(per_doc))
-    features = F.array_sort(F.collect_list(event_feature(props_as_object)),
-                            lambda a, b: F.when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0))
+    features = F.array_sort(F.collect_list(event_feature()))
+    if props_as_object:
+        features = F.transform(features, lambda f: f.withField(
+            "properties.props", F.parse_json(f["properties"]["props"])))
     return events.groupBy(F.col("user_id").alias("doc_user"), block.alias("doc_block")) \
                  .agg(features.alias("features"))
 

@@ -82,8 +82,21 @@ def history(valid_rows: DataFrame, entry: Entry, track: list[str] | None = None,
                 delete_when=delete_when, max_rows_per_segment=max_rows_per_segment)
 
 
+def land_batch(rows: DataFrame, landing: str) -> DataFrame:
+    """Write flagged rows once as the landing table (Parquet, partitioned by
+    ``_valid``) and read it back. Both branches then read one materialized
+    copy, later passes scan only the columns they need, and the lineage is
+    cut, so a lost executor never forces the explode and projection again."""
+    rows.write.mode("errorifexists").partitionBy(VALID_FLAG).parquet(landing)
+    return rows.sparkSession.read.parquet(landing)
+
+
 def run_entry_batch(docs: DataFrame, entry: Entry, track: list[str] | None = None,
-                    delete_when=None, extended_types: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(history, quarantine) for a batch of documents."""
+                    delete_when=None, extended_types: bool = True,
+                    landing: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(history, quarantine) for a batch of documents; with ``landing`` the
+    flagged rows are landed there first (recommended beyond small inputs)."""
     rows = flagged(stage(docs, entry, extended_types=extended_types), entry)
+    if landing is not None:
+        rows = land_batch(rows, landing)
     return history(passed(rows), entry, track=track, delete_when=delete_when), quarantined(rows)
