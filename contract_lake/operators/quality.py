@@ -110,6 +110,8 @@ def not_blank_rule(col: str, criticality: str = "error") -> Rule:
 
 
 def between(col: str, low=None, high=None, criticality: str = "error") -> Rule:
+    """Range rule; meant for typed contract columns (a text column compared
+    with numbers fails under ANSI mode, so check its type with ``castable``)."""
     c = _ident(col)
     bounds = []
     if low is not None:

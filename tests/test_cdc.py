@@ -1,0 +1,136 @@
+"""SCD Type 2: hand-made cases, invariants, and a brute-force model checked
+against both the plain plan and the hot-key segmented plan."""
+
+import datetime as dt
+import random
+
+import pytest
+from hypothesis import given, settings, strategies as st, HealthCheck
+
+from contract_lake.operators import cdc
+
+SCHEMA = "k string, seq long, tie long, v string, tag string"
+
+
+def brute_force(rows, track=True, delete=False):
+    """Reference model in plain Python on (k, seq, tie, v, tag) tuples."""
+    out = []
+    by_key = {}
+    for r in rows:
+        if r[1] is None:
+            continue
+        by_key.setdefault(r[0], []).append(r)
+    for k, rs in by_key.items():
+        rs.sort(key=lambda r: (r[1], r[2]))
+        dedup = [r for i, r in enumerate(rs) if i == len(rs) - 1 or rs[i + 1][1] != r[1]]
+        is_del = [delete and r[4] == "DELETE" for r in dedup]
+        runs = []  # [start_seq, last_row, is_del]
+        for i, r in enumerate(dedup):
+            prev = dedup[i - 1] if i else None
+            changed = (i == 0 or is_del[i] or is_del[i - 1] or not track or r[3] != prev[3])
+            if changed:
+                runs.append([r[1], r, is_del[i]])
+            else:
+                runs[-1][1] = r
+        for j, (start, last, d) in enumerate(runs):
+            if d:
+                continue
+            end = runs[j + 1][0] if j + 1 < len(runs) else None
+            out.append((last[0], last[1], last[2], last[3], start, end, end is None))
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, track=True, delete=False, seg=2_000_000):
+    df = spark.createDataFrame(rows, SCHEMA)
+    h = cdc.scd2(df, "k", "seq", tie_break=["tie"], track=["v"] if track else None,
+                 delete_when="tag = 'DELETE'" if delete else None, max_rows_per_segment=seg)
+    got = h.select("k", "seq", "tie", "v", "valid_from", "valid_to", "is_current").collect()
+    return sorted((tuple(r) for r in got), key=repr)
+
+
+def test_insert_update_delete_delete_insert(spark):
+    rows = [("a", 1, 0, "x", "INSERT"), ("a", 2, 0, "y", "UPDATE"), ("a", 3, 0, "y", "DELETE"),
+            ("a", 4, 0, "y", "DELETE"), ("a", 5, 0, "z", "INSERT")]
+    got = run(spark, rows, delete=True)
+    assert got == [("a", 1, 0, "x", 1, 2, False), ("a", 2, 0, "y", 2, 3, False), ("a", 5, 0, "z", 5, None, True)]
+    assert got == brute_force(rows, delete=True)
+
+
+def test_untagged_rows_survive_delete_rule(spark):
+    # A NULL tag must not turn the delete test into NULL and drop history
+    rows = [("a", 1, 0, "x", None), ("a", 2, 0, "y", None)]
+    got = run(spark, rows, delete=True)
+    assert [r[4] for r in got] == [1, 2]
+
+
+def test_null_sequence_is_not_history(spark):
+    # A NULL sequence is dropped here (the entry rules quarantine it)
+    rows = [("a", None, 0, "x", None), ("a", 1, 0, "y", None)]
+    assert run(spark, rows) == [("a", 1, 0, "y", 1, None, True)]
+
+
+def test_ties_keep_last_by_tie_break(spark):
+    # Same key twice with one sequence value: the later tie-break wins
+    rows = [("a", 1, 1, "x", None), ("a", 1, 2, "y", None), ("a", 2, 0, "z", None)]
+    assert run(spark, rows, track=False) == [("a", 1, 2, "y", 1, 2, False), ("a", 2, 0, "z", 2, None, True)]
+
+
+def test_unchanged_redelivery_is_one_version(spark):
+    # Equal tracked values extend the version; its latest row is kept
+    rows = [("a", 1, 0, "x", None), ("a", 2, 7, "x", None), ("a", 3, 0, "y", None)]
+    assert run(spark, rows) == [("a", 2, 7, "x", 1, 3, False), ("a", 3, 0, "y", 3, None, True)]
+    assert len(run(spark, rows, track=False)) == 3
+
+
+def test_invariants_on_events(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    h = cdc.scd2(ev, "user_id", "ts", tie_break=["event_id"], track=["event_type"],
+                 delete_when="event_type = 'error'").toPandas()
+    for _, g in h.groupby("user_id"):
+        g = g.sort_values("valid_from")
+        assert (g["is_current"].sum()) <= 1
+        closed = g[g["valid_to"].notna()]
+        assert (closed["valid_from"] < closed["valid_to"]).all()
+        # intervals do not overlap
+        assert (g["valid_from"].iloc[1:].values >= g["valid_to"].iloc[:-1].values).all()
+
+
+def test_as_of_and_current(spark):
+    rows = [("a", 1, 0, "x", None), ("a", 5, 0, "y", None), ("b", 3, 0, "z", None)]
+    h = cdc.scd2(spark.createDataFrame(rows, SCHEMA), "k", "seq", track=["v"])
+    at4 = {(r.k, r.v) for r in cdc.as_of(h, 4).collect()}
+    assert at4 == {("a", "x"), ("b", "z")}
+    assert {(r.k, r.v) for r in cdc.current(h).collect()} == {("a", "y"), ("b", "z")}
+
+
+def test_timestamp_sequence_segmented(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot", base + dt.timedelta(minutes=i), i, "v%d" % (i // 3)) for i in range(60)]
+    rows += [("cold", base + dt.timedelta(minutes=i), i, "c") for i in range(3)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, tie long, v string")
+    plain = cdc.scd2(df, "k", "ts", tie_break=["tie"], track=["v"]).collect()
+    seg = cdc.scd2(df, "k", "ts", tie_break=["tie"], track=["v"], max_rows_per_segment=7).collect()
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, seg))
+    assert len(plain) == 21
+
+
+change = st.tuples(st.sampled_from(["a", "b", "c"]), st.one_of(st.none(), st.integers(0, 30)),
+                   st.integers(0, 3), st.sampled_from(["x", "y"]),
+                   st.sampled_from([None, "INSERT", "UPDATE", "DELETE"]))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(change, min_size=1, max_size=40), track=st.booleans(), delete=st.booleans(),
+       seg=st.sampled_from([1, 2, 3, 5, 2_000_000]))
+def test_matches_brute_force(spark, rows, track, delete, seg):
+    assert run(spark, rows, track, delete, seg) == brute_force(rows, track, delete)
+
+
+def test_hot_key_many_segments(spark):
+    rng = random.Random(7)
+    rows = [("hot", rng.randint(0, 500), rng.randint(0, 5), rng.choice("xyz"),
+             rng.choice([None, None, "DELETE"])) for _ in range(400)]
+    rows += [("k%d" % i, i, 0, "x", None) for i in range(20)]
+    expected = brute_force(rows, track=True, delete=True)
+    for seg in (4, 16, 64):
+        assert run(spark, rows, True, True, seg) == expected
