@@ -110,6 +110,33 @@ def keyed_documents(documents: DataFrame) -> DataFrame:
     return documents.select(fid.alias("feature_id"), "doc_id", "lang", "source", "n_chars")
 
 
+# The contract entry for feature documents built from ``documents`` (ours).
+DOCUMENTS_ENTRY = Entry(
+    name="documents", key="feature_id", sequence_by="doc_id", folder="documents",
+    table_name="documents_history",
+    properties=(
+        Property("feature_id", "feature.id", "string"),
+        Property("doc_id", "feature.properties.doc_id", "long"),
+        Property("lang", "feature.properties.lang", "string"),
+        Property("source", "feature.properties.source", "string"),
+        Property("n_chars", "feature.properties.n_chars", "long"),
+    ),
+)
+
+
+def write_keyed_documents(documents: DataFrame, path: str, per_doc: int = FEATURES_PER_DOC) -> str:
+    """Feature collections of ``keyed_documents`` (one per source and block
+    of ``per_doc`` ids) written as JSON lines under a new ``path``."""
+    kd = keyed_documents(documents)
+    feature = F.struct(F.col("feature_id").alias("id"),
+                       F.struct("doc_id", "lang", "source", "n_chars").alias("properties"))
+    block = F.floor(F.col("doc_id") / F.lit(per_doc))
+    kd.groupBy("source", block.alias("doc_block")) \
+      .agg(F.array_sort(F.collect_list(feature)).alias("features")) \
+      .write.json(path)
+    return path
+
+
 def document_manifest(documents: DataFrame) -> DataFrame:
     """A file manifest from ``documents``: dataset = source, one file per
     document named by ``doc_id mod 50`` (so names repeat), size = n_chars,

@@ -225,4 +225,15 @@ FROM (SELECT unnest(json_keys(props)) AS field FROM events) GROUP BY field""",
     # streaming queries: the same results as their batch twins
     "stream_explode": CONTRACT_PROJECTION,
     "scd2_stream": ENTRY_HISTORY,
+    "stream_quarantine": f"""WITH {KEYED_DOCS}
+SELECT feature_id, doc_id, lang, source, 'valid_id' AS validation_rule_failed
+FROM kd WHERE NOT coalesce({DOC_OK}, false)""",
+    "ingest_counts": """
+SELECT 'rows_in' AS metric_name, count(*) AS total FROM events
+UNION ALL SELECT 'rows_passed', count(*) FROM events
+UNION ALL SELECT 'rows_failed', count(*) FILTER (WHERE false) FROM events""",
+    "variant_drift": """
+SELECT field, count(*) AS n_docs, field NOT IN ('event_type', 'props', 'ts', 'user_id') AS is_new
+FROM (SELECT unnest(['user_id', 'event_type', 'ts', 'value', 'props']) AS field FROM events)
+GROUP BY field""",
 }

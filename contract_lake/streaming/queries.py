@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..contract import read_schema
+from ..operators import drift
 from ..plans import fixtures as fx
 from ..plans import flows
 from ..session import work_dir
-from ..sources.documents import stream_features
+from ..sources.documents import stream_features, stream_variant
 from . import ingest
 
 FILES_PER_TRIGGER = 4
@@ -48,5 +49,46 @@ def q_scd2_stream(spark, sf):
                        "valid_from", "valid_to", "is_current")
 
 
+def q_stream_quarantine(spark, sf):
+    """K2: the quarantine partition of a streamed landing log (documents
+    whose key is NULL, empty or blank)."""
+    src = fx.write_keyed_documents(fx.table(spark, sf, "documents"), work_dir(spark, "keyed_docs"))
+    root = work_dir(spark, "stream_quarantine")
+    paths = ingest.EntryPaths(source=src, landing=root + "/landing", checkpoint=root + "/_checkpoint")
+    ingest.run_entry(spark, fx.DOCUMENTS_ENTRY, paths, max_files=FILES_PER_TRIGGER, multi_line=False)
+    return ingest.quarantine_from_landing(spark, paths.landing) \
+        .select("feature_id", "doc_id", "lang", "source", "validation_rule_failed")
+
+
+def q_ingest_counts(spark, sf):
+    """Rows in / passed / failed per micro-batch, summed per count."""
+    src = _write_docs(spark, sf)
+    root = work_dir(spark, "ingest_counts")
+    paths = ingest.EntryPaths(source=src, landing=root + "/landing", checkpoint=root + "/_checkpoint")
+    query = ingest.run_entry(spark, fx.EVENTS_ENTRY, paths, max_files=FILES_PER_TRIGGER, multi_line=False)
+    metrics = ingest.batch_metrics(spark, query)
+    return metrics.groupBy("metric_name").agg(F.sum("value").cast("long").alias("total"))
+
+
+def q_variant_drift(spark, sf):
+    """Documents streamed as one VARIANT column; drift of the feature
+    properties against the fields the contract reads."""
+    src = _write_docs(spark, sf)
+    out = work_dir(spark, "variant_docs")
+    stream = stream_variant(spark, src, max_files=FILES_PER_TRIGGER, multi_line=False)
+    query = stream.writeStream.format("parquet").option("checkpointLocation", out + "/_checkpoint") \
+        .trigger(availableNow=True).start(out + "/data")
+    query.awaitTermination()
+    docs = spark.read.parquet(out + "/data")
+    props = docs.select(F.explode(F.variant_get("doc", "$.features", "array<variant>")).alias("f")) \
+                .select(F.variant_get("f", "$.properties", "variant").alias("p"))
+    prefix = "feature.properties."
+    known = sorted({p.source_path[len(prefix):].split(".")[0] for p in fx.EVENTS_ENTRY.properties
+                    if p.source_path and p.source_path.startswith(prefix)} - {"value"})
+    return drift.schema_drift(props, "p", known)
+
+
 def queries():
-    return {"stream_explode": q_stream_explode, "scd2_stream": q_scd2_stream}
+    return {"stream_explode": q_stream_explode, "scd2_stream": q_scd2_stream,
+            "stream_quarantine": q_stream_quarantine, "ingest_counts": q_ingest_counts,
+            "variant_drift": q_variant_drift}
