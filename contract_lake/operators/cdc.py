@@ -54,9 +54,11 @@ def _seq_number(df: DataFrame, seq: str) -> Column:
 def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment: int):
     """Segment map for hot keys, or None when no key exceeds the limit.
 
-    Returns ``(hot_plan, n_hot, n_buckets)`` where ``hot_plan`` has one row per
-    hot key: ``keys..., _lo, _width, _nb, _seg_of_bucket`` (array mapping a
-    fine bucket to its segment).
+    Returns ``(hot_plan, n_hot, n_buckets, small)`` where ``hot_plan`` has one
+    row per hot key: ``keys..., _lo, _width, _nb, _bmap`` (map from fine bucket
+    to segment). Its size is bounded by the row count over
+    ``max_rows_per_segment``; ``small`` says whether that bound fits a
+    broadcast, otherwise it is joined with a shuffle (AQE splits skew).
     """
     num = _seq_number(df, seq)
     if num is None:
@@ -137,6 +139,11 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
     df = _assign_segments(df, keys, seq, plan)
 
     part = keys + [SEG]
+    if plan is not None:
+        # Hot keys: spread their segments over tasks. Explicit, because an
+        # input already bucketed by the keys would satisfy the window's
+        # requirement and keep every segment of a hot key in one task.
+        df = df.repartition(*part)
     w = Window.partitionBy(*part).orderBy(*[F.col(c).asc() for c in [seq] + tie_break])
 
     # 1. ties: keep the last row of each (keys, seq); never crosses a segment.

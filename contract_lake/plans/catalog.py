@@ -31,6 +31,7 @@ AS_OF_EVENTS = "2024-01-15 12:00:00"
 AS_OF_ORDERS = "1998-01-01 00:00:00"
 METRIC_TIME = "2024-02-01 00:00:00"
 EXPECTED_SOURCES = [f"src{i}" for i in range(25)]
+BUCKETS = 16
 
 
 # ---- feature documents -----------------------------------------------------
@@ -221,6 +222,21 @@ def q_scd2_track_deletes(spark, sf):
     return _events_history(spark, sf, delete_when="event_type = 'error'").select(*HIST_COLS)
 
 
+def _table_name(prefix: str) -> str:
+    import uuid
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+def q_scd2_bucketed_deletes(spark, sf):
+    """C1 + C4 over events bucketed by the key: the history needs no shuffle."""
+    from ..sinks.tables import write_bucketed
+    ev = fx.table(spark, sf, "events")
+    table = write_bucketed(ev, _table_name("events_by_user"), ["user_id"], BUCKETS,
+                           path=work_dir(spark, "events_by_user"), sort_by=["user_id", "ts"])
+    hist = cdc.scd2(table, "user_id", "ts", tie_break=["event_id"], delete_when="event_type = 'error'")
+    return hist.select(*HIST_COLS)
+
+
 def q_scd2_ties(spark, sf):
     orders = fx.table(spark, sf, "orders")
     hist = cdc.scd2(orders, "o_custkey", "o_orderdate", tie_break=["o_orderkey"])
@@ -312,6 +328,7 @@ def queries() -> dict[str, Query]:
         "scd2_deletes": q_scd2_deletes,
         "scd2_track_deletes": q_scd2_track_deletes,
         "scd2_ties": q_scd2_ties,
+        "scd2_bucketed_deletes": q_scd2_bucketed_deletes,
         "entry_history": q_entry_history,
         "event_messages": q_event_messages,
         "schema_drift": q_schema_drift,

@@ -205,6 +205,8 @@ GROUP BY dataset, name HAVING count(*) > 1""",
     "scd2_deletes": scd2_sql("events", "user_id", "ts", ["event_id"], None, "event_type = 'error'", EV_COLS),
     "scd2_track_deletes": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type",
                                    "event_type = 'error'", EV_COLS),
+    "scd2_bucketed_deletes": scd2_sql("events", "user_id", "ts", ["event_id"], None, "event_type = 'error'",
+                                      EV_COLS),
     "scd2_ties": scd2_sql("orders", "o_custkey", "o_orderdate", ["o_orderkey"], None, None,
                           ["o_custkey", "o_orderkey", "o_totalprice"]),
     "entry_history": ENTRY_HISTORY,
@@ -225,6 +227,7 @@ FROM (SELECT unnest(json_keys(props)) AS field FROM events) GROUP BY field""",
     # streaming queries: the same results as their batch twins
     "stream_explode": CONTRACT_PROJECTION,
     "scd2_stream": ENTRY_HISTORY,
+    "scd2_compacted": ENTRY_HISTORY,
     "stream_quarantine": f"""WITH {KEYED_DOCS}
 SELECT feature_id, doc_id, lang, source, 'valid_id' AS validation_rule_failed
 FROM kd WHERE NOT coalesce({DOC_OK}, false)""",

@@ -49,6 +49,21 @@ def q_scd2_stream(spark, sf):
                        "valid_from", "valid_to", "is_current")
 
 
+def q_scd2_compacted(spark, sf):
+    """K1 + compaction + C8: stream into the landing log, compact its valid
+    rows into a table bucketed by key, build history from the table."""
+    import uuid
+    src = _write_docs(spark, sf)
+    root = work_dir(spark, "scd2_compacted")
+    paths = ingest.EntryPaths(source=src, landing=root + "/landing", checkpoint=root + "/_checkpoint")
+    ingest.run_entry(spark, fx.EVENTS_ENTRY, paths, max_files=FILES_PER_TRIGGER, multi_line=False)
+    table = f"events_history_{uuid.uuid4().hex[:12]}"
+    ingest.compact_landing(spark, fx.EVENTS_ENTRY, paths.landing, table, 16, path=root + "/compacted")
+    hist = ingest.history_from_table(spark, fx.EVENTS_ENTRY, table, track=["event_type"])
+    return hist.select("user_id", "feature_id", "event_type", "value", "k",
+                       "valid_from", "valid_to", "is_current")
+
+
 def q_stream_quarantine(spark, sf):
     """K2: the quarantine partition of a streamed landing log (documents
     whose key is NULL, empty or blank)."""
@@ -90,5 +105,6 @@ def q_variant_drift(spark, sf):
 
 def queries():
     return {"stream_explode": q_stream_explode, "scd2_stream": q_scd2_stream,
+            "scd2_compacted": q_scd2_compacted,
             "stream_quarantine": q_stream_quarantine, "ingest_counts": q_ingest_counts,
             "variant_drift": q_variant_drift}
