@@ -40,7 +40,11 @@ def small_files(manifest: DataFrame, min_kb: float = MIN_FILE_KB) -> DataFrame:
 
 
 def stale_files(manifest: DataFrame, as_of, max_days: int = MAX_FILE_AGE_DAYS) -> DataFrame:
-    """V5: files more than ``max_days`` whole days old at ``as_of`` (UTC)."""
+    """V5: files more than ``max_days`` whole days old at ``as_of`` (UTC).
+    A text ``as_of`` takes the type of ``modified_at``, so a zone-less time is
+    compared with a zone-less time whatever the session time zone."""
+    if not isinstance(as_of, Column):
+        as_of = F.lit(as_of).cast(manifest.schema["modified_at"].dataType)
     return manifest.withColumn("age_days", age_days(as_of)).filter(F.col("age_days") > F.lit(max_days))
 
 

@@ -64,6 +64,21 @@ def q_scd2_compacted(spark, sf):
                        "valid_from", "valid_to", "is_current")
 
 
+def q_scd2_maintained(spark, sf):
+    """C8 as a maintained table: landing stream, then an upkeep stream that
+    rewrites the touched key buckets of the history table per micro-batch."""
+    src = _write_docs(spark, sf)
+    root = work_dir(spark, "scd2_maintained")
+    paths = ingest.EntryPaths(source=src, landing=root + "/landing", checkpoint=root + "/_checkpoint")
+    ingest.run_entry(spark, fx.EVENTS_ENTRY, paths, max_files=FILES_PER_TRIGGER, multi_line=False)
+    query = ingest.maintain_history(spark, fx.EVENTS_ENTRY, paths.landing, root + "/history",
+                                    root + "/_upkeep_checkpoint", n_buckets=16, track=["event_type"],
+                                    max_files=FILES_PER_TRIGGER)
+    query.awaitTermination()
+    return ingest.read_history(spark, root + "/history").select(
+        "user_id", "feature_id", "event_type", "value", "k", "valid_from", "valid_to", "is_current")
+
+
 def q_stream_quarantine(spark, sf):
     """K2: the quarantine partition of a streamed landing log (documents
     whose key is NULL, empty or blank)."""
@@ -105,6 +120,6 @@ def q_variant_drift(spark, sf):
 
 def queries():
     return {"stream_explode": q_stream_explode, "scd2_stream": q_scd2_stream,
-            "scd2_compacted": q_scd2_compacted,
+            "scd2_compacted": q_scd2_compacted, "scd2_maintained": q_scd2_maintained,
             "stream_quarantine": q_stream_quarantine, "ingest_counts": q_ingest_counts,
             "variant_drift": q_variant_drift}

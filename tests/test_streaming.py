@@ -114,3 +114,25 @@ def test_run_all_gate_blocks_streams(spark, tmp_path):
     ingest.run_all(spark, contract, root, out)
     assert spark.read.parquet(f"{out}/things/landing").count() == 40
     assert spark.read.parquet(f"{out}/others/landing").count() == 40
+
+
+def test_maintained_history_absorbs_late_rows(spark, tmp_path):
+    src = f"{tmp_path}/src"
+    first = [_doc([_feature(f"k{i % 4}", 10 * i, "ab"[i % 2]) for i in range(12)])]
+    _write_docs(src, first)
+    paths = _paths(tmp_path, src)
+    hist_path, ckpt = f"{tmp_path}/history", f"{tmp_path}/upkeep"
+    ingest.run_entry(spark, ENTRY, paths, max_files=1)
+    ingest.maintain_history(spark, ENTRY, paths.landing, hist_path, ckpt, n_buckets=4,
+                            track=["v"]).awaitTermination()
+    # a late change (sequence between earlier ones) for one key, in a new file
+    with open(f"{src}/late.json", "w") as fh:
+        json.dump(_doc([_feature("k1", 15, "z")]), fh)
+    ingest.run_entry(spark, ENTRY, paths, max_files=1)
+    ingest.maintain_history(spark, ENTRY, paths.landing, hist_path, ckpt, n_buckets=4,
+                            track=["v"]).awaitTermination()
+    maintained = ingest.read_history(spark, hist_path)
+    expected = ingest.history_from_landing(spark, ENTRY, paths.landing, track=["v"])
+    assert _history_rows(maintained) == _history_rows(expected)
+    assert ("k1", 15, "z", 15, 50) in {(r.feature_id, r.seq, r.v, r.valid_from, r.valid_to)
+                                       for r in maintained.collect()}
