@@ -164,13 +164,16 @@ def _to_struct(tree: dict) -> T.StructType:
 
 def read_schema(properties: tuple[Property, ...] | list[Property],
                 features_col: str = "features", root: str = FEATURE_ROOT,
-                extra_paths: tuple[str, ...] = ()) -> T.StructType:
+                extra_paths: tuple[str, ...] = (), feature_lines: bool = False) -> T.StructType:
     """JSON read schema covering exactly the paths the contract names.
 
     ``feature.a.b`` becomes ``features: array<struct<a: struct<b: string>>>``;
     a path without the ``feature.`` root is a top-level field. Leaves are
     strings so that a bad value survives parsing and can be quarantined, and
     the JSON parser skips every field the contract does not name.
+
+    ``feature_lines=True`` is the schema of one Feature per line (GeoJSON text
+    sequence): the feature's own fields at the top level.
     """
     feature_tree: dict = {}
     top_tree: dict = {}
@@ -181,6 +184,8 @@ def read_schema(properties: tuple[Property, ...] | list[Property],
             _insert(feature_tree, parts[1:])
         else:
             _insert(top_tree, parts)
+    if feature_lines:
+        return _to_struct(feature_tree)
     fields = [T.StructField(features_col, T.ArrayType(_to_struct(feature_tree), True), True)]
     fields += list(_to_struct(top_tree).fields)
     return T.StructType(fields)

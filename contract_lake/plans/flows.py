@@ -21,25 +21,36 @@ from ..operators.cdc import scd2
 from ..operators.features import explode_features
 from ..operators.projection import CAST_FAILURES, project_by_contract, stamp
 from ..operators.quality import FAILED_RULES, VALID_FLAG, Rule, flag
-from ..sources.documents import CORRUPT, SOURCE_FILE, SOURCE_MTIME
+from ..sources.documents import BLOCK_START, CORRUPT, SOURCE_FILE, SOURCE_MTIME
 
 PROCESSING_TIME = "processing_timestamp"
 POSITION = "_pos"
-LINEAGE = [SOURCE_MTIME, SOURCE_FILE, POSITION]
+# Tie-break order for rows that share a sequence value: file time, file,
+# block of the file, position (later wins).
+LINEAGE = [SOURCE_MTIME, SOURCE_FILE, BLOCK_START, POSITION]
 
 
 def stage(docs: DataFrame, entry: Entry, extended_types: bool = True,
           with_stamp: bool = True, outer: bool = False) -> DataFrame:
     """Explode the documents and project each feature onto the contract.
 
-    Keeps the lineage columns present in ``docs`` (source file, its
-    modification time, the feature's position) for deterministic ties, and
-    ``_cast_failures``. ``outer=True`` keeps documents that yield no feature
+    ``docs`` holds either feature collections (a ``features`` array) or one
+    ``feature`` per row. Keeps the lineage columns present in ``docs``
+    (source file, its modification time, the feature's position) for
+    deterministic ties, and ``_cast_failures``. ``outer=True`` keeps documents that yield no feature
     (empty, NULL or corrupt) as one all-NULL row, so they can be quarantined.
     """
-    exploded = explode_features(docs, position=POSITION, outer=outer,
-                                keep=[c for c in docs.columns if c in (SOURCE_FILE, SOURCE_MTIME, CORRUPT)])
-    keep = [c for c in (SOURCE_MTIME, SOURCE_FILE, POSITION, CORRUPT) if c in exploded.columns]
+    lineage = [c for c in docs.columns if c in (SOURCE_FILE, SOURCE_MTIME, BLOCK_START, CORRUPT)]
+    if "features" in docs.columns:
+        exploded = explode_features(docs, position=POSITION, outer=outer, keep=lineage)
+    else:
+        # one feature per row already (GeoJSON text sequence): no explode.
+        # Spark gives no line offset for JSON text, so rows that share key,
+        # sequence, file and block are ordered by a hash of their content:
+        # deterministic, though not file order (use a business sequence to
+        # avoid such ties).
+        exploded = docs.select("feature", *lineage, F.xxhash64(F.to_json("feature")).alias(POSITION))
+    keep = [c for c in (SOURCE_MTIME, SOURCE_FILE, BLOCK_START, POSITION, CORRUPT) if c in exploded.columns]
     staged = project_by_contract(exploded, entry.properties, keep=keep, lenient=True,
                                  with_cast_failures=True, extended_types=extended_types)
     return stamp(staged, PROCESSING_TIME) if with_stamp else staged

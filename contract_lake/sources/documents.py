@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
 SOURCE_MTIME = "_source_mtime"
+BLOCK_START = "_block_start"
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -74,6 +75,27 @@ def stream_features(spark: SparkSession, path: str, schema: T.StructType,
     return _with_file_metadata(df) if with_file else df
 
 
+def stream_feature_lines(spark: SparkSession, path: str, schema: T.StructType,
+                         max_files: int | None = None, keep_corrupt: bool = True) -> DataFrame:
+    """Stream GeoJSON text sequences: one Feature object per line (S1 for
+    large deliveries). Unlike a FeatureCollection file, which is one JSON
+    value parsed whole by one task, these files split across tasks and need
+    no explode. Use ``contract.read_schema(..., feature_lines=True)``. The
+    result has one ``feature`` struct column plus lineage columns, the shape
+    ``plans.flows.stage`` accepts."""
+    reader = spark.readStream.format("json").option("multiLine", "false")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", int(max_files))
+    if keep_corrupt:
+        schema = _with_corrupt(schema)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    raw = _with_file_metadata(reader.schema(schema).load(path))
+    fields = [f for f in schema.fieldNames() if f != CORRUPT]
+    extra = [CORRUPT] if keep_corrupt else []
+    return raw.select(F.struct(*fields).alias("feature"), *extra, SOURCE_FILE, SOURCE_MTIME,
+                      F.col("_metadata.file_block_start").alias(BLOCK_START))
+
+
 def stream_variant(spark: SparkSession, path: str, col: str = "doc",
                    max_files: int | None = None, multi_line: bool = True,
                    streaming: bool = True) -> DataFrame:
