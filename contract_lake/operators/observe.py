@@ -39,9 +39,10 @@ METRIC_SCHEMA = T.StructType([
 ])
 
 # The pipeline event type that produces a message, and the
-# message format.
+# message text around the event type and the state.
 PROGRESS_EVENT = "update_progress"
-MESSAGE_FORMAT = "event type: {event_type} state: {state}"
+MESSAGE_TYPE_LABEL = "event type: "
+MESSAGE_STATE_LABEL = " state: "
 
 
 def _c(v, default=None) -> Column:
@@ -127,5 +128,6 @@ def event_messages(events: DataFrame, type_col: str = "event_type",
         state = F.get_json_object(F.col(details_col), "$.update_progress.state")
     else:
         state = F.col(f"{details_col}.update_progress.state")
-    text = F.concat(F.lit("event type: "), F.col(type_col), F.lit(" state: "), F.coalesce(state, F.lit("")))
+    text = F.concat(F.lit(MESSAGE_TYPE_LABEL), F.col(type_col), F.lit(MESSAGE_STATE_LABEL),
+                    F.coalesce(state, F.lit("")))
     return events.filter(F.col(type_col) == F.lit(PROGRESS_EVENT)).withColumn("message", text)

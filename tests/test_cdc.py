@@ -4,7 +4,6 @@ against both the plain plan and the hot-key segmented plan."""
 import datetime as dt
 import random
 
-import pytest
 from hypothesis import given, settings, strategies as st, HealthCheck
 
 from contract_lake.operators import cdc

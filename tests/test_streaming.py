@@ -8,9 +8,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from contract_lake.contract import Contract, Entry, Property, contract_from_dict
+from contract_lake.contract import Entry, Property, contract_from_dict
 from contract_lake.operators import files
-from contract_lake.plans import fixtures as fx
 from contract_lake.plans import flows
 from contract_lake.sources.documents import read_features
 from contract_lake.contract import read_schema
