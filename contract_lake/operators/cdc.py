@@ -109,7 +109,7 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
          delete_when: str | Column | None = None,
          max_rows_per_segment: int = 2_000_000,
          valid_from: str = "valid_from", valid_to: str = "valid_to",
-         is_current: str = "is_current") -> DataFrame:
+         is_current: str = "is_current", plan=...) -> DataFrame:
     """SCD Type 2 history of ``changes``.
 
     * Per key, rows are ordered by ``sequence_by`` then ``tie_break``; among
@@ -123,6 +123,8 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
       version at their sequence and never appear themselves. NULL means no.
     * Output: input columns plus ``valid_from``, ``valid_to`` (NULL while
       open) and ``is_current``.
+    * ``plan``: a segment plan already made by ``plan_segments`` for this
+      input (or None for "no hot key"); computed here when not given.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     tie_break = list(tie_break or [])
@@ -135,7 +137,8 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
         cond = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
         df = df.withColumn(DEL, F.coalesce(cond, F.lit(False)))
 
-    plan = plan_segments(df, keys, seq, max_rows_per_segment) if max_rows_per_segment else None
+    if plan is ...:
+        plan = plan_segments(df, keys, seq, max_rows_per_segment) if max_rows_per_segment else None
     df = _assign_segments(df, keys, seq, plan)
 
     part = keys + [SEG]

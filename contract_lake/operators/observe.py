@@ -105,8 +105,13 @@ def metric_rows(df: DataFrame, metric_type, metric_name, value, expected=None,
 
 
 def sorted_by_time(df: DataFrame, col: str = "timestamp") -> DataFrame:
-    """O3: all columns, oldest first (a range-partitioned global sort)."""
-    return df.select("*").orderBy(F.col(col).asc())
+    """O3: all columns, oldest first (a range-partitioned global sort).
+
+    A unique tiebreaker follows the time so that the range partitioner can
+    split records sharing one timestamp over several tasks; the order among
+    equal times is unspecified either way."""
+    return df.select("*").withColumn("_tie", F.monotonically_increasing_id()) \
+             .orderBy(F.col(col).asc(), F.col("_tie")).drop("_tie")
 
 
 def at_level(df: DataFrame, level: str | None, level_col: str = "level") -> DataFrame:

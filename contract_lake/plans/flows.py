@@ -82,7 +82,7 @@ def quarantined(flagged_rows: DataFrame) -> DataFrame:
 
 
 def history(valid_rows: DataFrame, entry: Entry, track: list[str] | None = None,
-            delete_when=None, max_rows_per_segment: int = 2_000_000) -> DataFrame:
+            delete_when=None, max_rows_per_segment: int = 2_000_000, plan=...) -> DataFrame:
     """SCD Type 2 over valid rows, keyed by the contract key and sequenced by
     the entry's sequence (processing time when none is given); ties broken by
     source file time, file and position."""
@@ -90,7 +90,7 @@ def history(valid_rows: DataFrame, entry: Entry, track: list[str] | None = None,
     ties = [c for c in LINEAGE if c in valid_rows.columns]
     cols = [c for c in valid_rows.columns if c not in (VALID_FLAG, FAILED_RULES, CAST_FAILURES, CORRUPT)]
     return scd2(valid_rows.select(*cols), entry.key, seq, tie_break=ties, track=track,
-                delete_when=delete_when, max_rows_per_segment=max_rows_per_segment)
+                delete_when=delete_when, max_rows_per_segment=max_rows_per_segment, plan=plan)
 
 
 def land_batch(rows: DataFrame, landing: str) -> DataFrame:

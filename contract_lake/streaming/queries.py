@@ -59,7 +59,8 @@ def q_scd2_compacted(spark, sf):
     ingest.run_entry(spark, fx.EVENTS_ENTRY, paths, max_files=FILES_PER_TRIGGER, multi_line=False)
     table = f"events_history_{uuid.uuid4().hex[:12]}"
     ingest.compact_landing(spark, fx.EVENTS_ENTRY, paths.landing, table, 16, path=root + "/compacted")
-    hist = ingest.history_from_table(spark, fx.EVENTS_ENTRY, table, track=["event_type"])
+    hist = ingest.history_from_table(spark, fx.EVENTS_ENTRY, table, path=root + "/compacted",
+                                     track=["event_type"])
     return hist.select("user_id", "feature_id", "event_type", "value", "k",
                        "valid_from", "valid_to", "is_current")
 

@@ -133,3 +133,35 @@ def test_hot_key_many_segments(spark):
     expected = brute_force(rows, track=True, delete=True)
     for seg in (4, 16, 64):
         assert run(spark, rows, True, True, seg) == expected
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+
+
+def test_plan_has_one_shuffle_and_none_when_bucketed(spark, tmp_path):
+    from contract_lake.sinks.tables import write_bucketed
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    h = cdc.scd2(ev, "user_id", "ts", tie_break=["event_id"], track=["event_type"])
+    assert len(_exchanges(h)) == 1
+    t = write_bucketed(ev, "ev_bucketed_test", ["user_id"], 4, path=str(tmp_path / "b"), sort_by=["user_id", "ts"])
+    hb = cdc.scd2(t, "user_id", "ts", tie_break=["event_id"], track=["event_type"])
+    assert _exchanges(hb) == []
+    assert sorted(map(tuple, hb.collect())) == sorted(map(tuple, h.collect()))
+
+
+def test_hot_key_on_bucketed_table_reads_unbucketed(spark, tmp_path):
+    from contract_lake.contract import Entry, Property
+    from contract_lake.sinks.tables import write_bucketed
+    from contract_lake.streaming import ingest
+    rows = [("hot" if i % 3 else f"c{i}", i, "v%d" % (i // 5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, seq long, v string")
+    path = str(tmp_path / "t")
+    write_bucketed(df, "hot_bucketed_test", ["k"], 4, path=path, sort_by=["k", "seq"])
+    entry = Entry(name="t", key="k", sequence_by="seq", properties=(Property("k"), Property("v")))
+    got = ingest.history_from_table(spark, entry, "hot_bucketed_test", path=path, track=["v"],
+                                    max_rows_per_segment=20)
+    want = cdc.scd2(df, "k", "seq", track=["v"])
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    assert any("_seg" in line for line in _exchanges(got))
