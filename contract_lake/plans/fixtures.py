@@ -81,6 +81,16 @@ def event_documents_text(events: DataFrame, per_doc: int = FEATURES_PER_DOC) ->
                  .agg(F.array_sort(F.collect_list(feature)).alias("features"))
 
 
+def write_event_feature_lines(events: DataFrame, path: str) -> str:
+    """Write one feature per line (a GeoJSON text sequence) under a new
+    ``path``: splittable, unlike one FeatureCollection document per file."""
+    feature = event_feature()
+    events.select(feature.alias("f")).select("f.*") \
+        .withColumn("properties", F.col("properties").withField("props", F.parse_json("properties.props"))) \
+        .write.option("timestampNTZFormat", JSON_TIME_FORMAT).json(path)
+    return path
+
+
 # The contract entry the event queries run under (ours: the reference's own
 # contract file is not part of it). ``ts`` uses the opt-in timestamp_ntz type.
 EVENTS_ENTRY = Entry(
