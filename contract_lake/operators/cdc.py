@@ -11,16 +11,17 @@ Hot keys
 --------
 A key's history is ordered, so a plain ``Window.partitionBy(key)`` puts one
 key in one task; a key holding a third of all rows would stall the job. Keys
-with more than ``max_rows_per_segment`` rows are therefore cut into segments
-of consecutive sequence ranges (equal-width fine buckets merged by exact
-counts, so a segment holds about ``max_rows_per_segment`` rows). Rows of one
+with more than ``max_rows_per_segment`` rows (found on a sample) are therefore
+cut into segments of consecutive sequence ranges (equal-width fine buckets
+merged by exact counts, so a segment holds about ``max_rows_per_segment``
+rows). Rows of one
 sequence value always land in the same segment, so the tie step stays local.
 What crosses a segment edge (previous row's tracked values, next row's start,
 the running run start) is carried by a per-segment summary: one small row per
 hot segment, joined back on ``(keys, _seg)``. That join needs no exchange of
 the big side, because the big side is already partitioned on those columns.
-The planning pass reads only ``(keys, seq)`` and sends two numbers to the
-driver.
+The planning passes read only ``(keys, seq)``, shuffle small partial counts
+and send two numbers to the driver.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ HOT = "_hot"
 DEL = "_del"
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 FINE_BUCKETS_PER_SEGMENT = 4
+SAMPLE_ROWS_PER_SEGMENT = 200
 
 
 def _seq_number(df: DataFrame, seq: str) -> Column:
@@ -51,23 +53,36 @@ def _seq_number(df: DataFrame, seq: str) -> Column:
     return None
 
 
-def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment: int):
+def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment: int,
+                  seed: int = 17):
     """Segment map for hot keys, or None when no key exceeds the limit.
 
+    Hot keys are found on a Bernoulli sample sized so that a key at the limit
+    shows about ``SAMPLE_ROWS_PER_SEGMENT`` sampled rows: the shuffle is a
+    few partial counts per task instead of one per distinct key. Which keys
+    are segmented only affects balance, never the result (the segmented
+    history is exact for any set of keys). Fine-bucket counts of the chosen
+    keys are then exact. Both passes read ``(keys, seq)`` only.
+
     Returns ``(hot_plan, n_hot, n_buckets, small)`` where ``hot_plan`` has one
     row per hot key: ``keys..., _lo, _width, _nb, _bmap`` (map from fine bucket
-    to segment). Its size is bounded by the row count over
-    ``max_rows_per_segment``; ``small`` says whether that bound fits a
-    broadcast, otherwise it is joined with a shuffle (AQE splits skew).
+    to segment). Its size is bounded by the sampled row count over the
+    per-key sample threshold; ``small`` says whether that fits a broadcast,
+    otherwise it is joined with a shuffle (AQE splits skew).
     """
     num = _seq_number(df, seq)
     if num is None:
         return None
     base = df.select(*keys, num.alias("_num")).filter(F.col("_num").isNotNull())
-    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_num").alias("_lo"),
-                                     F.max("_num").alias("_hi")) \
-                .filter(F.col("_n") > F.lit(max_rows_per_segment))
-    nb = (F.ceil(F.col("_n") / F.lit(max_rows_per_segment)) * F.lit(FINE_BUCKETS_PER_SEGMENT)).cast("int")
+    fraction = min(1.0, SAMPLE_ROWS_PER_SEGMENT / float(max_rows_per_segment))
+    sampled = base if fraction >= 1.0 else base.sample(fraction=fraction, seed=seed)
+    # a key is a candidate when its sample says at least half the limit
+    threshold = max_rows_per_segment * fraction * (0.5 if fraction < 1.0 else 1.0)
+    stats = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_num").alias("_lo"),
+                                        F.max("_num").alias("_hi")) \
+                   .filter(F.col("_n") > F.lit(threshold))
+    est_rows = F.col("_n") / F.lit(fraction)
+    nb = (F.ceil(est_rows / F.lit(max_rows_per_segment)) * F.lit(FINE_BUCKETS_PER_SEGMENT)).cast("int")
     stats = stats.withColumn("_nb", nb) \
                  .withColumn("_width", F.greatest((F.col("_hi") - F.col("_lo")) / F.col("_nb"), F.lit(1e-9)))
     summary = stats.agg(F.count(F.lit(1)).alias("n_hot"), F.sum("_nb").alias("n_buckets")).first()
@@ -77,8 +92,9 @@ def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment
     bounds = stats.select(*keys, "_lo", "_width", "_nb")
     small = n_hot * 64 + n_buckets * 8 <= BROADCAST_LIMIT_BYTES
     joined = base.join(F.broadcast(bounds) if small else bounds, keys)
-    bucket = F.least(F.floor((F.col("_num") - F.col("_lo")) / F.col("_width")).cast("int"),
-                     F.col("_nb") - 1)
+    # values outside the sampled range fall into the edge buckets
+    bucket = F.least(F.greatest(F.floor((F.col("_num") - F.col("_lo")) / F.col("_width")).cast("int"),
+                                F.lit(0)), F.col("_nb") - 1)
     per_bucket = joined.groupBy(*keys, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.withColumn(
@@ -95,10 +111,10 @@ def _assign_segments(df: DataFrame, keys: list[str], seq: str, plan) -> DataFram
     hot_plan, n_hot, n_buckets, small = plan
     hp = hot_plan.withColumn(HOT, F.lit(True))
     joined = df.join(F.broadcast(hp) if small else hp, keys, "left")
-    bucket = F.least(F.floor((_seq_number(df, seq) - F.col("_lo")) / F.col("_width")).cast("int"),
-                     F.col("_nb") - 1)
-    # A fine bucket that holds no rows in the plan can only be met by a NULL
-    # sequence, which the caller removes; fall back to 0 for safety.
+    bucket = F.least(F.greatest(F.floor((_seq_number(df, seq) - F.col("_lo")) / F.col("_width")).cast("int"),
+                                F.lit(0)), F.col("_nb") - 1)
+    # Every non-NULL sequence of a hot key falls in a bucket the plan counted;
+    # 0 is only a guard.
     seg = F.when(F.col(HOT), F.coalesce(F.element_at(F.col("_bmap"), bucket), F.lit(0))).otherwise(F.lit(0))
     return joined.withColumn(SEG, seg).withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False))) \
                  .drop("_lo", "_width", "_nb", "_bmap")

@@ -165,3 +165,14 @@ def test_hot_key_on_bucketed_table_reads_unbucketed(spark, tmp_path):
     want = cdc.scd2(df, "k", "seq", track=["v"])
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
     assert any("_seg" in line for line in _exchanges(got))
+
+
+def test_sampled_hot_key_detection(spark):
+    # limit above the sample size: hot keys are found on a sample, the
+    # history stays exact
+    rows = [("hot", i, 0, "v%d" % (i // 7), None) for i in range(6000)]
+    rows += [("k%d" % i, i, 0, "x", None) for i in range(500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plan = cdc.plan_segments(df, ["k"], "seq", 1000)
+    assert plan is not None and plan[1] == 1          # only "hot" is segmented
+    assert run(spark, rows, seg=1000) == brute_force(rows)
