@@ -202,6 +202,15 @@ def q_scd2_history(spark, sf):
     return _events_history(spark, sf).select(*HIST_COLS)
 
 
+def q_scd2_segmented(spark, sf):
+    """C1 + C5 with every user treated as a hot key (segments of 16 rows), so
+    the segment stitching runs on the real table; same result as
+    ``scd2_history``."""
+    ev = fx.table(spark, sf, "events")
+    return cdc.scd2(ev, "user_id", "ts", tie_break=["event_id"], track=["event_type"],
+                    max_rows_per_segment=16).select(*HIST_COLS)
+
+
 def q_scd2_track_all(spark, sf):
     return _events_history(spark, sf, track=None).select(*HIST_COLS)
 
@@ -323,6 +332,7 @@ def queries() -> dict[str, Query]:
         "gate_failures": q_gate_failures,
         "scd2_history": q_scd2_history,
         "scd2_track_all": q_scd2_track_all,
+        "scd2_segmented": q_scd2_segmented,
         "scd_current": q_scd_current,
         "scd2_as_of": q_scd2_as_of,
         "scd2_deletes": q_scd2_deletes,

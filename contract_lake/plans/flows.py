@@ -75,10 +75,22 @@ def passed(flagged_rows: DataFrame) -> DataFrame:
     return flagged_rows.filter(F.col(VALID_FLAG) == 1)
 
 
-def quarantined(flagged_rows: DataFrame) -> DataFrame:
-    """Failed rows with the names of the failed rules joined as text."""
-    return flagged_rows.filter(F.col(VALID_FLAG) == 0) \
-        .withColumn("validation_rule_failed", F.array_join(F.col(FAILED_RULES), ","))
+def rule_texts(rules: list[Rule]) -> F.Column:
+    """The SQL text of the failed rules, one per line, from their names."""
+    texts = F.create_map(*[x for r in rules for x in (F.lit(r.name), F.lit(r.text))])
+    return F.array_join(F.transform(F.col(FAILED_RULES), lambda n: F.element_at(texts, n)), "\n")
+
+
+def quarantine_columns(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Name and text of every failed rule (both, so a rule can be found by
+    name and read as written)."""
+    return rows.withColumn("validation_rule_failed", F.array_join(F.col(FAILED_RULES), ",")) \
+               .withColumn("validation_rule_text", rule_texts(rules))
+
+
+def quarantined(flagged_rows: DataFrame, entry: Entry, extra: list[Rule] | None = None) -> DataFrame:
+    """Failed rows with the names and texts of the failed rules."""
+    return quarantine_columns(flagged_rows.filter(F.col(VALID_FLAG) == 0), entry_rules(entry, extra))
 
 
 def history(valid_rows: DataFrame, entry: Entry, track: list[str] | None = None,
@@ -88,7 +100,9 @@ def history(valid_rows: DataFrame, entry: Entry, track: list[str] | None = None,
     source file time, file and position."""
     seq = entry.sequence_by or PROCESSING_TIME
     ties = [c for c in LINEAGE if c in valid_rows.columns]
-    cols = [c for c in valid_rows.columns if c not in (VALID_FLAG, FAILED_RULES, CAST_FAILURES, CORRUPT)]
+    cols = [c for c in valid_rows.columns
+            if c not in (VALID_FLAG, FAILED_RULES, CAST_FAILURES, CORRUPT,
+                         "validation_rule_failed", "validation_rule_text")]
     return scd2(valid_rows.select(*cols), entry.key, seq, tie_break=ties, track=track,
                 delete_when=delete_when, max_rows_per_segment=max_rows_per_segment, plan=plan)
 
@@ -110,4 +124,4 @@ def run_entry_batch(docs: DataFrame, entry: Entry, track: list[str] | None = Non
     rows = flagged(stage(docs, entry, extended_types=extended_types), entry)
     if landing is not None:
         rows = land_batch(rows, landing)
-    return history(passed(rows), entry, track=track, delete_when=delete_when), quarantined(rows)
+    return history(passed(rows), entry, track=track, delete_when=delete_when), quarantined(rows, entry)

@@ -197,6 +197,7 @@ SELECT dataset, name, NULL, 'duplicate_name', printf('%d copies', count(*)) FROM
 GROUP BY dataset, name HAVING count(*) > 1""",
 
     "scd2_history": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS),
+    "scd2_segmented": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS),
     "scd2_track_all": scd2_sql("events", "user_id", "ts", ["event_id"], None, None, EV_COLS),
     "scd_current": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS,
                             where="AND _n_seq IS NULL"),

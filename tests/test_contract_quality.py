@@ -152,3 +152,12 @@ def test_check_schema_reports_missing_extra_and_failures(spark):
     assert rows["a"].issue == "cast_failures" and rows["a"].n_cast_failed == 1
     assert rows["b"].issue == "missing"
     assert rows["extra"].issue == "extra"
+
+
+def test_contract_errors_name_the_culprit():
+    import pytest
+    from contract_lake.contract import ContractError, contract_from_dict
+    with pytest.raises(ContractError, match="parcels"):
+        contract_from_dict({"schema": [{"name": "parcels", "properties": []}]})          # no key
+    with pytest.raises(ContractError, match="parcels.*without a name"):
+        contract_from_dict({"schema": [{"name": "parcels", "key": "k", "properties": [{"sourcePath": "x"}]}]})

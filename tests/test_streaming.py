@@ -79,6 +79,7 @@ def test_corrupt_document_goes_to_quarantine(spark, tmp_path):
     corrupt = [r for r in bad if r._corrupt_record is not None]
     assert len(corrupt) == 1 and corrupt[0]._source_file.endswith("broken.json")
     assert {r.validation_rule_failed for r in bad} == {"valid_id,sequence_present"} | {"valid_id"}
+    assert {r.validation_rule_text for r in bad} >= {"feature_id IS NOT NULL AND TRIM(feature_id) != ''"}
     good = ingest.read_landing(spark, paths.landing, 1).collect()
     assert [r.feature_id for r in good] == ["a"]
 
