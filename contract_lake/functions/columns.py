@@ -49,8 +49,9 @@ def resolve_path(df: DataFrame, path: str, strict: bool = False) -> tuple[Column
     """Resolve a dotted source path against ``df``'s schema.
 
     Walks nested structs; if the walk reaches a string column with path left
-    over, the rest is read from that JSON text with ``get_json_object``. A path
-    that does not exist gives a NULL string (or raises when ``strict``).
+    over, the rest is read from that JSON text with ``get_json_object``; if it
+    reaches a VARIANT, the rest is read with ``try_variant_get`` as text. A
+    path that does not exist gives a NULL string (or raises when ``strict``).
     """
     parts = path.split(".")
     dtype: T.DataType = df.schema
@@ -64,6 +65,9 @@ def resolve_path(df: DataFrame, path: str, strict: bool = False) -> tuple[Column
             base = F.col(".".join(f"`{p}`" for p in walked))
             json_path = "$." + ".".join(parts[i:])
             return F.get_json_object(base, json_path), T.StringType()
+        if isinstance(dtype, T.VariantType) and walked:
+            base = F.col(".".join(f"`{p}`" for p in walked))
+            return F.try_variant_get(base, "$." + ".".join(parts[i:]), "string"), T.StringType()
         if strict:
             raise ValueError(f"source path {path!r} not found in schema {df.schema.simpleString()}")
         return F.lit(None).cast(T.StringType()), T.StringType()

@@ -36,6 +36,14 @@ def explode_features(df: DataFrame, col: str = "features", alias: str = "feature
     return exploded
 
 
+def variant_features(df: DataFrame, col: str = "doc", features_col: str = "features") -> DataFrame:
+    """Expose the ``features`` array of a VARIANT document (S5 source) as
+    ``array<variant>``, ready for :func:`explode_features`; contract paths
+    then resolve inside each feature with ``try_variant_get``."""
+    return df.withColumn(features_col, F.try_variant_get(F.col(col), "$.features", "array<variant>")) \
+             .drop(col)
+
+
 def flatten_features(df: DataFrame, col: str = "features") -> DataFrame:
     """Explode and pick ``id``, ``geometry.type``, ``geometry.coordinates`` and
     every field of ``properties`` as top-level columns."""

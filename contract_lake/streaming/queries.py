@@ -113,6 +113,20 @@ def q_ingest_counts(spark, sf):
     return metrics.groupBy("metric_name").agg(F.sum("value").cast("long").alias("total"))
 
 
+def q_variant_projection(spark, sf):
+    """S5 + P3 (variant form): documents streamed as one VARIANT column,
+    exploded and projected by the contract through ``try_variant_get``."""
+    from ..operators.features import variant_features
+    src = _write_docs(spark, sf)
+    out = work_dir(spark, "variant_projection")
+    docs = variant_features(stream_variant(spark, src, max_files=FILES_PER_TRIGGER, multi_line=False))
+    staged = flows.stage(docs, fx.EVENTS_ENTRY, with_stamp=False)
+    query = staged.writeStream.format("parquet").option("checkpointLocation", out + "/_checkpoint") \
+        .trigger(availableNow=True).start(out + "/data")
+    query.awaitTermination()
+    return spark.read.parquet(out + "/data").select(*fx.EVENTS_ENTRY.property_names)
+
+
 def q_variant_drift(spark, sf):
     """Documents streamed as one VARIANT column; drift of the feature
     properties against the fields the contract reads."""
@@ -136,4 +150,4 @@ def queries():
             "scd2_compacted": q_scd2_compacted, "scd2_maintained": q_scd2_maintained,
             "stream_lines_history": q_stream_lines_history,
             "stream_quarantine": q_stream_quarantine, "ingest_counts": q_ingest_counts,
-            "variant_drift": q_variant_drift}
+            "variant_drift": q_variant_drift, "variant_projection": q_variant_projection}
