@@ -43,8 +43,14 @@ class Rule:
 
 # ---- Q1-Q4 -----------------------------------------------------------------
 
-def expect_or_drop(df: DataFrame, name: str, rule: str | Column) -> DataFrame:
-    """Keep rows that pass ``rule`` (Q3)."""
+def expect_or_drop(df: DataFrame, name: str, rule: str | Column,
+                   observation=None) -> DataFrame:
+    """Keep rows that pass ``rule`` (Q3). With a ``pyspark.sql.Observation``
+    the rows seen and passed are counted in the same pass
+    (``observation.get`` after an action: ``{"rows": n, "passed": m}``)."""
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"),
+                        F.sum(passes(rule).cast("long")).alias("passed"))
     return df.filter(passes(rule))
 
 
@@ -139,6 +145,16 @@ def castable(col: str, dtype: T.DataType, criticality: str = "error") -> Rule:
                 criticality)
 
 
+def unique_failures(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key occurs more than once (the ``unique`` rule). Not
+    row-local: one combinable count per key (pre-aggregated map-side, so a
+    key with millions of copies costs one partial row per task), then a semi
+    join back; a hot duplicated key on the big side is split by AQE's skew
+    join. Run it in batch or on the landing log, not inside the stream."""
+    dups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > 1)
+    return df.join(dups.select(*keys), keys, "left_semi")
+
+
 def contract_rules(properties: Iterable[Property], spec: dict | None = None,
                    default_criticality: str = "error") -> list[Rule]:
     """Rules from a contract: a type rule for every typed property, plus the

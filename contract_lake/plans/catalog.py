@@ -122,6 +122,13 @@ def q_contract_rule_failures(spark, sf):
     return quality.rule_failures(fx.table(spark, sf, "customer"), CUSTOMER_RULES, ["c_custkey"])
 
 
+def q_unique_failures(spark, sf):
+    """Q5 ``unique``: orders whose (customer, date) is not unique."""
+    orders = fx.table(spark, sf, "orders")
+    return quality.unique_failures(orders, ["o_custkey", "o_orderdate"]) \
+        .select("o_orderkey", "o_custkey", "o_orderdate")
+
+
 ORDER_PROPERTIES = (
     Property("o_orderkey", "o_orderkey", "long"),
     Property("o_orderstatus", "o_orderstatus", "boolean"),
@@ -322,6 +329,7 @@ def queries() -> dict[str, Query]:
         "quarantine_rows": q_quarantine_rows,
         "quality_split_counts": q_quality_split_counts,
         "contract_rule_failures": q_contract_rule_failures,
+        "unique_failures": q_unique_failures,
         "cast_failures": q_cast_failures,
         "small_files": q_small_files,
         "duplicate_files": q_duplicate_files,

@@ -144,6 +144,11 @@ UNION ALL
 SELECT c_custkey, 'c_nationkey_range', 'error' FROM customer
   WHERE NOT (c_nationkey IS NULL OR (c_nationkey >= 0 AND c_nationkey <= 20))""",
 
+    "unique_failures": """
+SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+WHERE (o_custkey, o_orderdate) IN (SELECT o_custkey, o_orderdate FROM orders
+                                   GROUP BY o_custkey, o_orderdate HAVING count(*) > 1)""",
+
     "cast_failures": """
 WITH c AS (
   SELECT count(o_orderkey) AS n_key, count(o_orderstatus) AS n_status,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def stamped_name(prefix: str, now: datetime | None = None) -> str:
@@ -27,14 +28,21 @@ def append_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None
     writer.json(path)
 
 
+def _by_date(df: DataFrame) -> DataFrame:
+    # the records' ISO timestamp text starts with the date
+    return df.withColumn("date", F.substring("timestamp", 1, 10))
+
+
 def write_metrics(df: DataFrame, path: str) -> None:
-    """K3: append metric rows (see ``observe.metric_rows``)."""
-    append_jsonl(df, path)
+    """K3: append metric rows (see ``observe.metric_rows``) under
+    ``date=YYYY-MM-DD`` folders."""
+    append_jsonl(_by_date(df), path, partition_by=["date"])
 
 
 def write_log_rows(df: DataFrame, path: str) -> None:
-    """K4: append log rows (see ``observe.log_rows``)."""
-    append_jsonl(df, path)
+    """K4: append log rows (see ``observe.log_rows``) under
+    ``date=YYYY-MM-DD`` folders."""
+    append_jsonl(_by_date(df), path, partition_by=["date"])
 
 
 def write_changeset(docs: DataFrame, folder: str, prefix: str = "changeset",

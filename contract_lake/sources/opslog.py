@@ -1,5 +1,6 @@
 """Read appended log and metric records (S8) with their fixed schemas, so a
-missing field is NULL rather than a schema change, and nothing is inferred."""
+missing field is NULL rather than a schema change, and nothing is inferred.
+Date folders are searched recursively; the date itself is in ``timestamp``."""
 
 from __future__ import annotations
 

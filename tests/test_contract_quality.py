@@ -161,3 +161,17 @@ def test_contract_errors_name_the_culprit():
         contract_from_dict({"schema": [{"name": "parcels", "properties": []}]})          # no key
     with pytest.raises(ContractError, match="parcels.*without a name"):
         contract_from_dict({"schema": [{"name": "parcels", "key": "k", "properties": [{"sourcePath": "x"}]}]})
+
+
+def test_expect_or_drop_observes_counts(spark):
+    from pyspark.sql import Observation
+    df = spark.createDataFrame([("a",), (None,), ("  ",), ("b",)], "feature_id string")
+    obs = Observation("valid_id")
+    kept = quality.expect_or_drop(df, "valid_id", validity_rule("feature_id"), observation=obs)
+    assert kept.count() == 2
+    assert obs.get == {"rows": 4, "passed": 2}
+
+
+def test_unique_failures(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None), (5, None)], "id int, k string")
+    assert sorted(r.id for r in quality.unique_failures(df, ["k"]).collect()) == [1, 2]
