@@ -170,3 +170,31 @@ def test_batch_inference_reads_types(spark, tmp_path):
     schema = infer_schema(spark, f"{tmp_path}/d")
     props = schema["features"].dataType.elementType["properties"].dataType
     assert props["n"].dataType.typeName() == "long" and props["v"].dataType.typeName() == "string"
+
+
+def test_run_all_writes_logs_and_metrics(spark, tmp_path):
+    from contract_lake.plans.runlog import RunLog
+    from contract_lake.sources.opslog import read_logs, read_metrics
+    spec = {"name": "things", "key": "feature_id", "folder": "things", "table_name": "things",
+            "sequence_by": "seq",
+            "properties": [{"name": p.name, "sourcePath": p.source_path, "physicalType": p.physical_type}
+                           for p in ENTRY.properties]}
+    servers = {"development": {"log_name": "ops", "log_volume": f"{tmp_path}/logs",
+                               "metric_volume": f"{tmp_path}/metrics", "log_level": "info"}}
+    contract = contract_from_dict({"schema": [spec], "servers": servers})
+    root, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    # first delivery too small: the gate fails and says so in the log
+    _write_docs(f"{root}/things", [_doc([_feature("a", 1, "x")])], pretty=False)
+    with pytest.raises(files.GateError):
+        ingest.run_all(spark, contract, root, out, log=RunLog.from_contract(spark, contract, "ingest"))
+    errors = read_logs(spark, f"{tmp_path}/logs").filter("level = 'ERROR'").collect()
+    assert len(errors) == 1 and "small_file" in errors[0].message and errors[0].logger == "ops"
+    os.remove(f"{root}/things/doc_000.json")
+    _write_docs(f"{root}/things", [_doc([_feature(f"k{i}", i, "x") for i in range(40)])])
+    ingest.run_all(spark, contract, root, out, log=RunLog.from_contract(spark, contract, "ingest"))
+    infos = [r.message for r in read_logs(spark, f"{tmp_path}/logs").filter("level = 'INFO'").collect()]
+    assert any("stream for things finished" in m for m in infos)
+    metrics = read_metrics(spark, f"{tmp_path}/metrics").collect()
+    counts = [m for m in metrics if m.metric_name == "files_in_folder"]
+    assert {(m.dimensions["dataset"], m.value, m.dimensions["status"]) for m in counts} >= {("things", 1.0, "success")}
+    assert sum(m.value for m in metrics if m.metric_name == "rows_in") == 40.0
