@@ -3,7 +3,7 @@
 Plan shape
 ----------
 All per-key order work shares ONE hash exchange on ``(keys, _seg)`` and ONE
-sort on ``(seq, tie_break)``: the tie step, change suppression, run starts and
+sort on ``(seq, tie_break, other columns)``: the tie step, change suppression, run starts and
 ``valid_to`` are window functions over the same partitioning and ordering, so
 Spark stacks them without a second shuffle or sort.
 
@@ -16,16 +16,21 @@ cut into segments of consecutive sequence ranges (equal-width fine buckets
 merged by exact counts, so a segment holds about ``max_rows_per_segment``
 rows). Rows of one
 sequence value always land in the same segment, so the tie step stays local.
+A ``(key, seq)`` group too large for one segment (the usual case when the
+sequence is a micro-batch's processing time) is first collapsed to its last
+row by a combinable ``max_by``, reduced map-side before any shuffle.
 What crosses a segment edge (previous row's tracked values, next row's start,
 the running run start) is carried by a per-segment summary: one small row per
 hot segment, joined back on ``(keys, _seg)``. That join needs no exchange of
 the big side, because the big side is already partitioned on those columns.
 The planning passes read only ``(keys, seq)``, shuffle small partial counts
-and send two numbers to the driver.
+and send three numbers to the driver.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,43 +58,74 @@ def _seq_number(df: DataFrame, seq: str) -> Column:
     return None
 
 
+@dataclass(frozen=True)
+class SegmentPlan:
+    """What the planning pass found.
+
+    ``hot_plan``: one row per hot key (``keys..., _lo, _width, _nb, _bmap``,
+    the map from fine bucket to segment), or None when no key is hot.
+    ``ties``: ``(keys, seq)`` pairs with more rows than a segment may hold,
+    or None. Each comes with its count and whether its proven size fits a
+    broadcast (else it is joined with a shuffle, AQE splitting skew).
+    """
+    hot_plan: DataFrame | None
+    n_hot: int
+    n_buckets: int
+    small: bool
+    ties: DataFrame | None = None
+    n_ties: int = 0
+    ties_small: bool = True
+
+
 def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment: int,
-                  seed: int = 17):
-    """Segment map for hot keys, or None when no key exceeds the limit.
-
-    Hot keys are found on a Bernoulli sample sized so that a key at the limit
-    shows about ``SAMPLE_ROWS_PER_SEGMENT`` sampled rows: the shuffle is a
-    few partial counts per task instead of one per distinct key. Which keys
-    are segmented only affects balance, never the result (the segmented
-    history is exact for any set of keys). Fine-bucket counts of the chosen
-    keys are then exact. Both passes read ``(keys, seq)`` only.
-
-    Returns ``(hot_plan, n_hot, n_buckets, small)`` where ``hot_plan`` has one
-    row per hot key: ``keys..., _lo, _width, _nb, _bmap`` (map from fine bucket
-    to segment). Its size is bounded by the sampled row count over the
-    per-key sample threshold; ``small`` says whether that fits a broadcast,
-    otherwise it is joined with a shuffle (AQE splits skew).
+                  seed: int = 17) -> SegmentPlan | None:
+    """Segment plan for hot keys and hot ties, or None when there are none.
+
+    One pass over a Bernoulli sample, sized so that a group at the limit
+    shows about ``SAMPLE_ROWS_PER_SEGMENT`` sampled rows, counts rows per
+    ``(keys, seq)`` and then per key. A key with about ``max_rows_per_segment``
+    rows or more is hot: its sequence range is cut into segments (below). A
+    ``(keys, seq)`` group that large is a hot tie: sequence ranges cannot
+    split it (every row of it must meet in the tie step), so ``scd2``
+    collapses it first with a combinable aggregate. That case is the normal
+    one when the sequence is the processing time of a micro-batch: every row
+    of a batch shares it. Which groups are chosen only affects balance, never
+    the result. The pass reads ``(keys, seq)`` only, shuffles a few partial
+    counts per task and sends three numbers to the driver.
+
+    Fine-bucket counts of hot keys are then exact (a second pass over the
+    same two columns). The plans' sizes are bounded by the sampled row count
+    over the per-group sample threshold.
     """
     num = _seq_number(df, seq)
-    if num is None:
-        return None
-    base = df.select(*keys, num.alias("_num")).filter(F.col("_num").isNotNull())
+    base = df.select(*keys, F.col(seq), (num if num is not None else F.lit(None).cast("double")).alias("_num")) \
+             .filter(F.col(seq).isNotNull())
     fraction = min(1.0, SAMPLE_ROWS_PER_SEGMENT / float(max_rows_per_segment))
     sampled = base if fraction >= 1.0 else base.sample(fraction=fraction, seed=seed)
-    # a key is a candidate when its sample says at least half the limit
+    # a group is a candidate when its sample says at least half the limit
     threshold = max_rows_per_segment * fraction * (0.5 if fraction < 1.0 else 1.0)
-    stats = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_num").alias("_lo"),
-                                        F.max("_num").alias("_hi")) \
-                   .filter(F.col("_n") > F.lit(threshold))
+    by_value = sampled.groupBy(*keys, seq).agg(F.count(F.lit(1)).alias("_c"), F.min("_num").alias("_num"))
+    hot_tie = F.col("_c") > F.lit(threshold)
+    stats = by_value.groupBy(*keys).agg(
+        F.sum("_c").alias("_n"), F.min("_num").alias("_lo"), F.max("_num").alias("_hi"),
+        F.count_if(hot_tie).alias("_nt"))
+    is_hot = (F.col("_n") > F.lit(threshold)) & F.col("_lo").isNotNull()
     est_rows = F.col("_n") / F.lit(fraction)
     nb = (F.ceil(est_rows / F.lit(max_rows_per_segment)) * F.lit(FINE_BUCKETS_PER_SEGMENT)).cast("int")
-    stats = stats.withColumn("_nb", nb) \
+    stats = stats.withColumn("_hot", is_hot).withColumn("_nb", nb) \
                  .withColumn("_width", F.greatest((F.col("_hi") - F.col("_lo")) / F.col("_nb"), F.lit(1e-9)))
-    summary = stats.agg(F.count(F.lit(1)).alias("n_hot"), F.sum("_nb").alias("n_buckets")).first()
+    summary = stats.agg(F.count_if(F.col("_hot")).alias("n_hot"),
+                        F.sum(F.when(F.col("_hot"), F.col("_nb"))).alias("n_buckets"),
+                        F.sum("_nt").alias("n_ties")).first()
     n_hot, n_buckets = int(summary["n_hot"] or 0), int(summary["n_buckets"] or 0)
-    if n_hot == 0:
+    n_ties = int(summary["n_ties"] or 0)
+    if n_hot == 0 and n_ties == 0:
         return None
-    bounds = stats.select(*keys, "_lo", "_width", "_nb")
+    ties = by_value.filter(hot_tie).select(*keys, seq) if n_ties else None
+    ties_small = n_ties * 64 <= BROADCAST_LIMIT_BYTES
+    if n_hot == 0:
+        return SegmentPlan(None, 0, 0, True, ties, n_ties, ties_small)
+    bounds = stats.filter(F.col("_hot")).select(*keys, "_lo", "_width", "_nb")
     small = n_hot * 64 + n_buckets * 8 <= BROADCAST_LIMIT_BYTES
     joined = base.join(F.broadcast(bounds) if small else bounds, keys)
     # values outside the sampled range fall into the edge buckets
@@ -102,15 +138,51 @@ def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment
     seg_of = per_bucket.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("_b", SEG))).alias("_bmap"))
     hot_plan = bounds.join(seg_of, keys)
-    return hot_plan, n_hot, n_buckets, small
+    return SegmentPlan(hot_plan, n_hot, n_buckets, small, ties, n_ties, ties_small)
+
+
+def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, (T.MapType, T.VariantType, T.CalendarIntervalType)):
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    return True
+
+
+def row_order(df: DataFrame, seq: str, tie_break: list[str]) -> list[str]:
+    """Total order of a key's rows: sequence, tie-break, then every other
+    orderable column. The trailing columns decide only between rows equal in
+    sequence and tie-break, so the winner of such a tie is the same in every
+    run and every task attempt (a recomputed partition after an executor
+    loss picks the same row)."""
+    lead = [seq] + tie_break
+    return lead + [f.name for f in df.schema.fields
+                   if f.name not in lead and _orderable(f.dataType)]
+
+
+def collapse_ties(df: DataFrame, keys: list[str], seq: str, order: list[str], plan: SegmentPlan) -> DataFrame:
+    """Keep only the last row (by ``order``) of each hot ``(keys, seq)``
+    group, before any shuffle of it: ``max_by`` is combinable, so every map
+    task reduces its share of a group to one row and the exchange carries one
+    row per group and task. Other rows pass through unchanged."""
+    t = plan.ties.withColumn("_tie", F.lit(True))
+    tagged = df.join(F.broadcast(t) if plan.ties_small else t, keys + [seq], "left")
+    rest = tagged.filter(F.col("_tie").isNull()).drop("_tie")
+    hot = tagged.filter(F.col("_tie")).drop("_tie")
+    others = [c for c in df.columns if c not in keys and c != seq]
+    rank = F.struct(*[F.col(c) for c in order if c != seq])
+    last = hot.groupBy(*keys, seq).agg(F.max_by(F.struct(*others), rank).alias("_last"))
+    last = last.select(*keys, seq, *[F.col("_last")[c].alias(c) for c in others])
+    return rest.unionByName(last.select(*df.columns))
 
 
-def _assign_segments(df: DataFrame, keys: list[str], seq: str, plan) -> DataFrame:
-    if plan is None:
+def _assign_segments(df: DataFrame, keys: list[str], seq: str, plan: SegmentPlan | None) -> DataFrame:
+    if plan is None or plan.hot_plan is None:
         return df.withColumn(SEG, F.lit(0)).withColumn(HOT, F.lit(False))
-    hot_plan, n_hot, n_buckets, small = plan
-    hp = hot_plan.withColumn(HOT, F.lit(True))
-    joined = df.join(F.broadcast(hp) if small else hp, keys, "left")
+    hp = plan.hot_plan.withColumn(HOT, F.lit(True))
+    joined = df.join(F.broadcast(hp) if plan.small else hp, keys, "left")
     bucket = F.least(F.greatest(F.floor((_seq_number(df, seq) - F.col("_lo")) / F.col("_width")).cast("int"),
                                 F.lit(0)), F.col("_nb") - 1)
     # Every non-NULL sequence of a hot key falls in a bucket the plan counted;
@@ -128,7 +200,8 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
          is_current: str = "is_current", plan=...) -> DataFrame:
     """SCD Type 2 history of ``changes``.
 
-    * Per key, rows are ordered by ``sequence_by`` then ``tie_break``; among
+    * Per key, rows are ordered by ``sequence_by`` then ``tie_break`` (then
+      the other columns, so the order is total: see ``row_order``); among
       rows with equal sequence the last one wins. Rows with a NULL sequence
       are not history (route them to quarantine before).
     * ``track``: columns whose change opens a new version. A run of rows with
@@ -139,8 +212,9 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
       version at their sequence and never appear themselves. NULL means no.
     * Output: input columns plus ``valid_from``, ``valid_to`` (NULL while
       open) and ``is_current``.
-    * ``plan``: a segment plan already made by ``plan_segments`` for this
-      input (or None for "no hot key"); computed here when not given.
+    * ``plan``: a ``SegmentPlan`` already made by ``plan_segments`` for this
+      input (or None for "no hot key, no hot tie"); computed here when not
+      given. Hot ties are collapsed before the shuffle (``collapse_ties``).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     tie_break = list(tie_break or [])
@@ -153,17 +227,21 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
         cond = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
         df = df.withColumn(DEL, F.coalesce(cond, F.lit(False)))
 
+    order = row_order(changes, seq, tie_break)
     if plan is ...:
         plan = plan_segments(df, keys, seq, max_rows_per_segment) if max_rows_per_segment else None
+    if plan is not None and plan.ties is not None:
+        df = collapse_ties(df, keys, seq, order, plan)
     df = _assign_segments(df, keys, seq, plan)
+    segmented = plan is not None and plan.hot_plan is not None
 
     part = keys + [SEG]
-    if plan is not None:
+    if segmented:
         # Hot keys: spread their segments over tasks. Explicit, because an
         # input already bucketed by the keys would satisfy the window's
         # requirement and keep every segment of a hot key in one task.
         df = df.repartition(*part)
-    w = Window.partitionBy(*part).orderBy(*[F.col(c).asc() for c in [seq] + tie_break])
+    w = Window.partitionBy(*part).orderBy(*[F.col(c).asc() for c in order])
 
     # 1. ties: keep the last row of each (keys, seq); never crosses a segment.
     nxt = F.lead(seq).over(w)
@@ -191,7 +269,7 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
     # does the next row open a new run? valid while a next row exists here.
     inner_next_changed = F.col("_n_del") | F.col(DEL) | differs("_n_trk", "_trk")
 
-    if plan is None:
+    if not segmented:
         changed = F.when(F.col("_rn") == 1, F.lit(True)).otherwise(inner_changed)
         next_changed = F.when(F.col("_n_seq").isNull(), F.lit(True)).otherwise(inner_next_changed)
         d = d.withColumn("_chg", changed).withColumn("_end", next_changed) \

@@ -218,6 +218,19 @@ def q_scd2_segmented(spark, sf):
                     max_rows_per_segment=16).select(*HIST_COLS)
 
 
+def q_scd2_batch_stamp(spark, sf):
+    """C1 + C3 with the kind of sequence the reference uses: one stamp shared
+    by every row of a delivery (here the event's day), ties broken by
+    ``(ts, event_id)``. With a 4-row segment limit, every user-day of more
+    than 4 events is a hot tie, collapsed by the combinable path before the
+    shuffle, and every user is segmented; same result as the plain plan."""
+    ev = fx.table(spark, sf, "events").withColumn("batch_day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    hist = cdc.scd2(ev, "user_id", "batch_day", tie_break=["ts", "event_id"], track=["event_type"],
+                    max_rows_per_segment=4)
+    return hist.select("user_id", "event_id", "event_type", "value", "batch_day",
+                       "valid_from", "valid_to", "is_current")
+
+
 def q_scd2_track_all(spark, sf):
     return _events_history(spark, sf, track=None).select(*HIST_COLS)
 
@@ -341,6 +354,7 @@ def queries() -> dict[str, Query]:
         "scd2_history": q_scd2_history,
         "scd2_track_all": q_scd2_track_all,
         "scd2_segmented": q_scd2_segmented,
+        "scd2_batch_stamp": q_scd2_batch_stamp,
         "scd_current": q_scd_current,
         "scd2_as_of": q_scd2_as_of,
         "scd2_deletes": q_scd2_deletes,

@@ -203,6 +203,10 @@ GROUP BY dataset, name HAVING count(*) > 1""",
 
     "scd2_history": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS),
     "scd2_segmented": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS),
+    "scd2_batch_stamp": scd2_sql(
+        "evd", "user_id", "batch_day", ["ts", "event_id"], "event_type", None,
+        EV_COLS + ["batch_day"],
+        ctes="evd AS (SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS batch_day FROM events)"),
     "scd2_track_all": scd2_sql("events", "user_id", "ts", ["event_id"], None, None, EV_COLS),
     "scd_current": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS,
                             where="AND _n_seq IS NULL"),

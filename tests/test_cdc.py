@@ -20,7 +20,8 @@ def brute_force(rows, track=True, delete=False):
             continue
         by_key.setdefault(r[0], []).append(r)
     for k, rs in by_key.items():
-        rs.sort(key=lambda r: (r[1], r[2]))
+        # total order: sequence, tie-break, then the other columns (NULL first)
+        rs.sort(key=lambda r: (r[1], r[2], r[3], (r[4] is not None, r[4] or "")))
         dedup = [r for i, r in enumerate(rs) if i == len(rs) - 1 or rs[i + 1][1] != r[1]]
         is_del = [delete and r[4] == "DELETE" for r in dedup]
         runs = []  # [start_seq, last_row, is_del]
@@ -174,5 +175,36 @@ def test_sampled_hot_key_detection(spark):
     rows += [("k%d" % i, i, 0, "x", None) for i in range(500)]
     df = spark.createDataFrame(rows, SCHEMA)
     plan = cdc.plan_segments(df, ["k"], "seq", 1000)
-    assert plan is not None and plan[1] == 1          # only "hot" is segmented
+    assert plan is not None and plan.n_hot == 1       # only "hot" is segmented
+    assert plan.ties is None
     assert run(spark, rows, seg=1000) == brute_force(rows)
+
+
+def test_hot_tie_is_collapsed_before_the_shuffle(spark):
+    # one key holds a third of the rows, all with one sequence value (one
+    # micro-batch's processing time): sequence ranges cannot split it, so the
+    # group is reduced by a combinable max_by first
+    rng = random.Random(11)
+    rows = [("hot", 5, i, rng.choice("xyz"), None) for i in range(300)]
+    rows += [("hot", 9, i, "x", None) for i in range(3)]
+    rows += [("k%d" % (i % 40), i // 40, i, rng.choice("xy"), rng.choice([None, "DELETE"])) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plan = cdc.plan_segments(df, ["k"], "seq", 50)
+    assert plan is not None and plan.n_ties == 1
+    h = cdc.scd2(df, "k", "seq", tie_break=["tie"], track=["v"], delete_when="tag = 'DELETE'",
+                 max_rows_per_segment=50)
+    text = h._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in text
+    got = sorted((tuple(r) for r in h.select("k", "seq", "tie", "v", "valid_from", "valid_to",
+                                             "is_current").collect()), key=repr)
+    assert got == brute_force(rows, track=True, delete=True)
+
+
+def test_equal_tie_break_has_one_winner(spark):
+    # rows equal in sequence and tie-break: the winner follows the total
+    # order (last by the remaining columns), in the plain and collapsed plans
+    rows = [("a", 1, 0, "y", None), ("a", 1, 0, "x", None), ("a", 1, 0, "x", "DELETE"), ("a", 2, 0, "z", None)]
+    want = brute_force(rows, track=True, delete=False)
+    assert want[0][3] == "y"
+    for seg in (1, 2_000_000):
+        assert run(spark, rows, True, False, seg) == want
