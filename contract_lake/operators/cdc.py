@@ -83,19 +83,20 @@ def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment
 
     One pass over a Bernoulli sample, sized so that a group at the limit
     shows about ``SAMPLE_ROWS_PER_SEGMENT`` sampled rows, counts rows per
-    ``(keys, seq)`` and then per key. A key with about ``max_rows_per_segment``
-    rows or more is hot: its sequence range is cut into segments (below). A
-    ``(keys, seq)`` group that large is a hot tie: sequence ranges cannot
-    split it (every row of it must meet in the tie step), so ``scd2``
+    key (a few partial counts per task are shuffled; three numbers reach the
+    driver). A key with about ``max_rows_per_segment`` rows or more is hot:
+    its sequence range is cut into segments (below). When there is none,
+    that is all. Otherwise the hot keys' sampled rows are counted per
+    ``(keys, seq)``: a group that large is a hot tie, which sequence ranges
+    cannot split (every row of it must meet in the tie step), so ``scd2``
     collapses it first with a combinable aggregate. That case is the normal
     one when the sequence is the processing time of a micro-batch: every row
     of a batch shares it. Which groups are chosen only affects balance, never
-    the result. The pass reads ``(keys, seq)`` only, shuffles a few partial
-    counts per task and sends three numbers to the driver.
+    the result.
 
-    Fine-bucket counts of hot keys are then exact (a second pass over the
-    same two columns). The plans' sizes are bounded by the sampled row count
-    over the per-group sample threshold.
+    Fine-bucket counts of hot keys are then exact (a pass over the same two
+    columns). The plans' sizes are bounded by the sampled row count over the
+    per-group sample threshold.
     """
     num = _seq_number(df, seq)
     base = df.select(*keys, F.col(seq), (num if num is not None else F.lit(None).cast("double")).alias("_num")) \
@@ -104,27 +105,31 @@ def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment
     sampled = base if fraction >= 1.0 else base.sample(fraction=fraction, seed=seed)
     # a group is a candidate when its sample says at least half the limit
     threshold = max_rows_per_segment * fraction * (0.5 if fraction < 1.0 else 1.0)
-    by_value = sampled.groupBy(*keys, seq).agg(F.count(F.lit(1)).alias("_c"), F.min("_num").alias("_num"))
-    hot_tie = F.col("_c") > F.lit(threshold)
-    stats = by_value.groupBy(*keys).agg(
-        F.sum("_c").alias("_n"), F.min("_num").alias("_lo"), F.max("_num").alias("_hi"),
-        F.count_if(hot_tie).alias("_nt"))
-    is_hot = (F.col("_n") > F.lit(threshold)) & F.col("_lo").isNotNull()
+    stats = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_num").alias("_lo"),
+                                        F.max("_num").alias("_hi")) \
+                   .filter(F.col("_n") > F.lit(threshold))
     est_rows = F.col("_n") / F.lit(fraction)
     nb = (F.ceil(est_rows / F.lit(max_rows_per_segment)) * F.lit(FINE_BUCKETS_PER_SEGMENT)).cast("int")
-    stats = stats.withColumn("_hot", is_hot).withColumn("_nb", nb) \
+    stats = stats.withColumn("_hot", F.col("_lo").isNotNull()).withColumn("_nb", nb) \
                  .withColumn("_width", F.greatest((F.col("_hi") - F.col("_lo")) / F.col("_nb"), F.lit(1e-9)))
-    summary = stats.agg(F.count_if(F.col("_hot")).alias("n_hot"),
-                        F.sum(F.when(F.col("_hot"), F.col("_nb"))).alias("n_buckets"),
-                        F.sum("_nt").alias("n_ties")).first()
-    n_hot, n_buckets = int(summary["n_hot"] or 0), int(summary["n_buckets"] or 0)
-    n_ties = int(summary["n_ties"] or 0)
-    if n_hot == 0 and n_ties == 0:
+    summary = stats.agg(F.count(F.lit(1)).alias("n_big"), F.count_if(F.col("_hot")).alias("n_hot"),
+                        F.sum(F.when(F.col("_hot"), F.col("_nb"))).alias("n_buckets")).first()
+    n_big, n_hot = int(summary["n_big"] or 0), int(summary["n_hot"] or 0)
+    n_buckets = int(summary["n_buckets"] or 0)
+    if n_big == 0:
+        # a tie group is never larger than its key: no big key, no hot tie
         return None
-    ties = by_value.filter(hot_tie).select(*keys, seq) if n_ties else None
+    # hot ties, looked for only among the big keys' sampled rows
+    big = stats.select(*keys)
+    big_small = n_big * 64 <= BROADCAST_LIMIT_BYTES
+    ties = sampled.join(F.broadcast(big) if big_small else big, keys, "left_semi") \
+                  .groupBy(*keys, seq).agg(F.count(F.lit(1)).alias("_c")) \
+                  .filter(F.col("_c") > F.lit(threshold)).select(*keys, seq)
+    n_ties = ties.count()
+    ties = ties if n_ties else None
     ties_small = n_ties * 64 <= BROADCAST_LIMIT_BYTES
     if n_hot == 0:
-        return SegmentPlan(None, 0, 0, True, ties, n_ties, ties_small)
+        return SegmentPlan(None, 0, 0, True, ties, n_ties, ties_small) if n_ties else None
     bounds = stats.filter(F.col("_hot")).select(*keys, "_lo", "_width", "_nb")
     small = n_hot * 64 + n_buckets * 8 <= BROADCAST_LIMIT_BYTES
     joined = base.join(F.broadcast(bounds) if small else bounds, keys)
