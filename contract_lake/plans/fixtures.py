@@ -91,6 +91,24 @@ def write_event_feature_lines(events: DataFrame, path: str) -> str:
     return path
 
 
+def write_event_collection_lines(events: DataFrame, path: str, per_doc: int = FEATURES_PER_DOC) -> str:
+    """Write FeatureCollection files laid out one feature per line (a header
+    and footer of structure lines, features separated by a trailing comma),
+    one collection per file, each holding the events of one block of
+    ``per_doc`` ids (bounded)."""
+    block = F.floor(F.col("event_id") / F.lit(per_doc))
+    feature = event_feature()
+    feature = feature.withField("properties.props", F.parse_json(F.col("props")))
+    feature_json = F.to_json(feature, {"timestampNTZFormat": JSON_TIME_FORMAT})
+    lines = F.array_join(F.array_sort(F.collect_list(F.struct(F.col("event_id"), feature_json.alias("j"))))
+                         .getField("j"), ",\n")
+    text = F.concat_ws("\n", F.lit("{"), F.lit('"type": "FeatureCollection",'), F.lit('"name": "events",'),
+                       F.lit('"features": ['), lines, F.lit("]"), F.lit("}"))
+    events.groupBy(block.alias("doc_block")).agg(text.alias("value")).select("value") \
+        .write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
 # The contract entry the event queries run under (ours: the reference's own
 # contract file is not part of it). ``ts`` uses the opt-in timestamp_ntz type.
 EVENTS_ENTRY = Entry(

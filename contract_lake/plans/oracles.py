@@ -240,6 +240,7 @@ FROM (SELECT unnest(json_keys(props)) AS field FROM events) GROUP BY field""",
     "scd2_compacted": ENTRY_HISTORY,
     "scd2_maintained": ENTRY_HISTORY,
     "stream_lines_history": ENTRY_HISTORY,
+    "stream_collection_lines": ENTRY_HISTORY,
     "variant_projection": CONTRACT_PROJECTION,
     "stream_quarantine": f"""WITH {KEYED_DOCS}
 SELECT feature_id, doc_id, lang, source, 'valid_id' AS validation_rule_failed

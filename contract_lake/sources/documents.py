@@ -96,6 +96,72 @@ def stream_feature_lines(spark: SparkSession, path: str, schema: T.StructType,
                       F.col("_metadata.file_block_start").alias(BLOCK_START))
 
 
+# The lines of a FeatureCollection written one feature per
+# line (as GDAL's GeoJSON writer lays it out) that hold only the collection's
+# own structure. Matched after trimming white space and one trailing comma.
+COLLECTION_STRUCTURE_LINES = (
+    r"^[\[\]{}]*$",                                # {  }  [  ]  ]}
+    r'^"features"\s*:\s*\[$',                       # "features": [
+    r'^\{.*"features"\s*:\s*\[$',                   # {"type": "FeatureCollection", ..., "features": [
+    r'^"[^"]+"\s*:\s*("[^"]*"|-?[0-9][0-9.eE+-]*|true|false|null|\{.*\}|\[.*\])$',  # "name": "x"
+)
+
+
+def collection_line_features(lines: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
+    """One row per feature from text lines of feature collections (S1 for
+    large FeatureCollection files).
+
+    Lines are read split across tasks (a text file splits at any line), so a
+    collection file far larger than one task is parsed in parallel. A line
+    after trimming (and dropping one trailing comma) is either the
+    collection's own structure (dropped: see ``COLLECTION_STRUCTURE_LINES``),
+    one feature ``{...}``, or a whole collection on one line (its
+    ``features`` exploded). Anything else, and a ``{...}`` line that does not
+    parse, is kept as a ``_corrupt_record`` row, so a file in another layout
+    (features printed over several lines) lands in quarantine instead of
+    being dropped silently. An empty collection gives no row, as with
+    ``explode``. ``schema`` is the feature schema
+    (``contract.read_schema(..., feature_lines=True)``); lineage columns of
+    ``lines`` are kept.
+    """
+    lineage = [c for c in lines.columns if c in (SOURCE_FILE, SOURCE_MTIME, BLOCK_START)]
+    line = F.regexp_replace(F.col(text_col), r"^\s+|\s*,?\s*$", "")
+    structural = None
+    for pattern in COLLECTION_STRUCTURE_LINES:
+        cond = line.rlike(pattern)
+        structural = cond if structural is None else structural | cond
+    candidate = line.startswith("{") & line.endswith("}")
+    feature_type = T.StructType(list(schema.fields))
+    parse_schema = T.StructType(list(schema.fields) + [
+        T.StructField("features", T.ArrayType(feature_type, True), True),
+        T.StructField(CORRUPT, T.StringType(), True)])
+    parsed = F.from_json(line, parse_schema, {"columnNameOfCorruptRecord": CORRUPT})
+    kept = lines.filter(~structural).select(
+        line.alias("_line"), candidate.alias("_cand"), parsed.alias("_p"), *lineage)
+    corrupt = F.when(~F.col("_cand"), F.col("_line")).otherwise(F.col("_p")[CORRUPT])
+    one = F.struct(*[F.col("_p")[f.name].alias(f.name) for f in schema.fields])
+    feats = F.when(corrupt.isNotNull(), F.array(F.lit(None).cast(feature_type))) \
+             .when(F.col("_p.features").isNotNull(), F.col("_p.features")) \
+             .otherwise(F.array(one))
+    return kept.select(F.explode(feats).alias("feature"), corrupt.alias(CORRUPT), *lineage)
+
+
+def stream_collection_lines(spark: SparkSession, path: str, schema: T.StructType,
+                            max_files: int | None = None, streaming: bool = True) -> DataFrame:
+    """Stream (or, with ``streaming=False``, read) FeatureCollection files
+    line by line, split across tasks: see ``collection_line_features``. The
+    result has the shape ``plans.flows.stage`` accepts."""
+    if streaming:
+        reader = spark.readStream.format("text")
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", int(max_files))
+    else:
+        reader = spark.read.format("text")
+    raw = _with_file_metadata(reader.load(path)) \
+        .withColumn(BLOCK_START, F.col("_metadata.file_block_start"))
+    return collection_line_features(raw, schema)
+
+
 def stream_variant(spark: SparkSession, path: str, col: str = "doc",
                    max_files: int | None = None, multi_line: bool = True,
                    streaming: bool = True) -> DataFrame:

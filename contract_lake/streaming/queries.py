@@ -92,6 +92,19 @@ def q_stream_lines_history(spark, sf):
                        "valid_from", "valid_to", "is_current")
 
 
+def q_stream_collection_lines(spark, sf):
+    """S1 for large FeatureCollection files: collections written one feature
+    per line are read line by line, split across tasks, landed, and history
+    is built from the log."""
+    src = fx.write_event_collection_lines(fx.table(spark, sf, "events"), work_dir(spark, "collection_lines"))
+    root = work_dir(spark, "stream_collection_lines")
+    paths = ingest.EntryPaths(source=src, landing=root + "/landing", checkpoint=root + "/_checkpoint")
+    ingest.run_entry(spark, fx.EVENTS_ENTRY, paths, max_files=FILES_PER_TRIGGER, collection_lines=True)
+    hist = ingest.history_from_landing(spark, fx.EVENTS_ENTRY, paths.landing, track=["event_type"])
+    return hist.select("user_id", "feature_id", "event_type", "value", "k",
+                       "valid_from", "valid_to", "is_current")
+
+
 def q_stream_quarantine(spark, sf):
     """K2: the quarantine partition of a streamed landing log (documents
     whose key is NULL, empty or blank)."""
@@ -149,5 +162,6 @@ def queries():
     return {"stream_explode": q_stream_explode, "scd2_stream": q_scd2_stream,
             "scd2_compacted": q_scd2_compacted, "scd2_maintained": q_scd2_maintained,
             "stream_lines_history": q_stream_lines_history,
+            "stream_collection_lines": q_stream_collection_lines,
             "stream_quarantine": q_stream_quarantine, "ingest_counts": q_ingest_counts,
             "variant_drift": q_variant_drift, "variant_projection": q_variant_projection}
