@@ -235,6 +235,27 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
     order = row_order(changes, seq, tie_break)
     if plan is ...:
         plan = plan_segments(df, keys, seq, max_rows_per_segment) if max_rows_per_segment else None
+    out_cols = [F.col(c) for c in cols] + [F.col("_from").alias(valid_from), F.col("_to").alias(valid_to),
+                                           F.col("_to").isNull().alias(is_current)]
+    if plan is None or plan.hot_plan is None:
+        return _versions(df, keys, seq, order, plan, track).select(*out_cols)
+    # Segmented: the windowed rows feed both the per-segment summary and the
+    # rows joined to it. The join implies non-NULL keys on the summary side;
+    # giving the main side the same filter keeps both subtrees identical, so
+    # the exchange and sort run once and are reused. Rows with a NULL key are
+    # never hot; they take the same steps on their own (a scan that Parquet
+    # statistics mostly skip).
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    return _versions(df.filter(present), keys, seq, order, plan, track).select(*out_cols) \
+        .unionByName(_versions(df.filter(~present), keys, seq, order, plan, track).select(*out_cols))
+
+
+def _versions(df: DataFrame, keys: list[str], seq: str, order: list[str], plan: SegmentPlan | None,
+              track: list[str] | None) -> DataFrame:
+    """Steps 1-4 of ``scd2`` on rows with the ``_del`` flag; returns the
+    version rows with ``_from`` and ``_to``."""
     if plan is not None and plan.ties is not None:
         df = collapse_ties(df, keys, seq, order, plan)
     df = _assign_segments(df, keys, seq, plan)
@@ -303,7 +324,10 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
         summ = summ.withColumn("_carry", F.max("_slc").over(wc)) \
                    .select(*part, "_fchg", "_nfchg", "_nfseq", "_carry")
         d = d.join(summ, part, "left")
-        changed = F.when(F.col("_rn") == 1, F.coalesce(F.col("_fchg"), F.lit(True))).otherwise(inner_changed)
+        # (reading _hot here keeps it in this branch's exchange, as in the
+        # summary's, so the two subtrees stay identical and are computed once)
+        changed = F.when(F.col("_rn") == 1, F.when(F.col(HOT), F.coalesce(F.col("_fchg"), F.lit(True)))
+                         .otherwise(F.lit(True))).otherwise(inner_changed)
         next_changed = F.when(F.col("_n_seq").isNull(), F.coalesce(F.col("_nfchg"), F.lit(True))) \
                         .otherwise(inner_next_changed)
         d = d.withColumn("_chg", changed).withColumn("_end", next_changed) \
@@ -315,11 +339,7 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
     run_start = F.max(F.when(F.col("_chg"), F.col(seq))).over(wr)
     d = d.withColumn("_from", F.coalesce(run_start, carry))
 
-    out = d.filter(F.col("_end") & ~F.col(DEL))
-    return out.select(*[F.col(c) for c in cols],
-                      F.col("_from").alias(valid_from),
-                      F.col("_to").alias(valid_to),
-                      F.col("_to").isNull().alias(is_current))
+    return d.filter(F.col("_end") & ~F.col(DEL))
 
 
 def current(history: DataFrame, is_current: str = "is_current") -> DataFrame:

@@ -208,3 +208,15 @@ def test_equal_tie_break_has_one_winner(spark):
     assert want[0][3] == "y"
     for seg in (1, 2_000_000):
         assert run(spark, rows, True, False, seg) == want
+
+
+def test_segmented_plan_shuffles_the_input_once(spark):
+    # the per-segment summary reuses the main exchange instead of reading
+    # and shuffling the input a second time
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    h = cdc.scd2(ev, "user_id", "ts", tie_break=["event_id"], track=["event_type"], max_rows_per_segment=4)
+    h.collect()
+    final = h._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # one input exchange for keyed rows, one for rows with a NULL key
+    assert final.count("REPARTITION_BY_COL") == 2
+    assert any("ReusedExchange" in line and "event_id" in line for line in final.split("\n"))
