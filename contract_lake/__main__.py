@@ -30,6 +30,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--output-root", required=True, help="landing logs and checkpoints")
     parser.add_argument("--max-files", type=int, default=1, help="files per micro-batch (0: no limit)")
     parser.add_argument("--feature-lines", action="store_true", help="sources hold one feature per line")
+    parser.add_argument("--collection-lines", action="store_true",
+                        help="sources are FeatureCollections laid out one feature per line (read split)")
     args = parser.parse_args(argv)
 
     spark = get_spark()
@@ -43,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
         elif args.command == "run":
             ingest.run_all(spark, contract, args.source_root, args.output_root,
                            max_files=args.max_files or None, log=log,
-                           feature_lines=args.feature_lines)
+                           feature_lines=args.feature_lines, collection_lines=args.collection_lines)
         else:
             for entry in contract.entries:
                 landing = ingest.paths_for(entry, args.source_root, args.output_root).landing
