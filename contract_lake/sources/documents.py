@@ -125,19 +125,18 @@ def collection_line_features(lines: DataFrame, schema: T.StructType, text_col: s
     ``lines`` are kept.
     """
     lineage = [c for c in lines.columns if c in (SOURCE_FILE, SOURCE_MTIME, BLOCK_START)]
-    line = F.regexp_replace(F.col(text_col), r"^\s+|\s*,?\s*$", "")
-    structural = None
-    for pattern in COLLECTION_STRUCTURE_LINES:
-        cond = line.rlike(pattern)
-        structural = cond if structural is None else structural | cond
+    trimmed = lines.select(F.regexp_replace(F.col(text_col), r"^\s+|\s*,?\s*$", "").alias("_line"), *lineage)
+    line = F.col("_line")
     candidate = line.startswith("{") & line.endswith("}")
+    # most lines are features: the structure patterns run only on the rest
+    structural = line.rlike("|".join(f"(?:{p})" for p in COLLECTION_STRUCTURE_LINES))
     feature_type = T.StructType(list(schema.fields))
     parse_schema = T.StructType(list(schema.fields) + [
         T.StructField("features", T.ArrayType(feature_type, True), True),
         T.StructField(CORRUPT, T.StringType(), True)])
     parsed = F.from_json(line, parse_schema, {"columnNameOfCorruptRecord": CORRUPT})
-    kept = lines.filter(~structural).select(
-        line.alias("_line"), candidate.alias("_cand"), parsed.alias("_p"), *lineage)
+    kept = trimmed.filter(F.when(candidate, F.lit(True)).otherwise(~structural)).select(
+        "_line", candidate.alias("_cand"), parsed.alias("_p"), *lineage)
     corrupt = F.when(~F.col("_cand"), F.col("_line")).otherwise(F.col("_p")[CORRUPT])
     one = F.struct(*[F.col("_p")[f.name].alias(f.name) for f in schema.fields])
     feats = F.when(corrupt.isNotNull(), F.array(F.lit(None).cast(feature_type))) \
