@@ -90,13 +90,36 @@ def typed(src: Column, src_type: T.DataType, target: T.DataType, lenient: bool =
     if src_type == target:
         return src
     if lenient:
-        return src.try_cast(target)
+        return text_try_cast(src, target) if isinstance(src_type, T.StringType) else src.try_cast(target)
     return src.cast(target)
 
 
+# The text Spark reads as a boolean (any case, after trimming
+# characters up to U+0020 at both ends).
+BOOLEAN_TEXT = ("t", "true", "y", "yes", "1", "f", "false", "n", "no", "0")
+EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
+NOT_INTEGRAL_TEXT = r"[^\x00-\x20+\-0-9]"
+
+
+def text_try_cast(src: Column, target: T.DataType) -> Column:
+    """``try_cast`` of text, with values that cannot convert answered NULL
+    up front. To integral and boolean types Spark evaluates ``try_cast`` as
+    the strict cast inside try/catch, so every failing value costs an
+    exception; text holding a character no integer can contain, or a
+    boolean word Spark does not know, skips the cast. Every other value still
+    goes through ``try_cast``, so the result is the same."""
+    if isinstance(target, T.IntegralType):
+        return F.when(src.rlike(NOT_INTEGRAL_TEXT), F.lit(None).cast(target)).otherwise(src.try_cast(target))
+    if isinstance(target, T.BooleanType):
+        word = F.lower(F.regexp_replace(src, EDGE_CONTROL, ""))
+        return F.when(word.isin(*BOOLEAN_TEXT), src.try_cast(target)).otherwise(F.lit(None).cast(target))
+    return src.try_cast(target)
+
+
 def cast_failed(src: Column, target: T.DataType) -> Column:
-    """True where a present value does not survive the cast to ``target``."""
-    return src.isNotNull() & src.try_cast(target).isNull()
+    """True where a present text value does not survive the cast to
+    ``target``."""
+    return src.isNotNull() & text_try_cast(src, target).isNull()
 
 
 def iso_utc(ts: str | Column) -> Column:

@@ -175,3 +175,25 @@ def test_expect_or_drop_observes_counts(spark):
 def test_unique_failures(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None), (5, None)], "id int, k string")
     assert sorted(r.id for r in quality.unique_failures(df, ["k"]).collect()) == [1, 2]
+
+
+def test_text_try_cast_equals_try_cast(spark):
+    # the exception-free guard answers exactly as try_cast does
+    from hypothesis import given, settings, strategies as st, HealthCheck
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    from contract_lake.functions.columns import text_try_cast
+    fixed = ["7", " 7 ", "\t7\n", "+7", "-7", "1.0", "7e0", " 7", "　7", "99999999999",
+             "9223372036854775808", "07", "", " ", "-", "+-1", "T", "yes", "O", " true ", " true",
+             "TRUE", "1", "2", "on", "No", "f\x01", None]
+    alphabet = st.sampled_from(list("0123456789+-. \t\x01 aeflnorstuyTFYN"))
+    extra = st.lists(st.text(alphabet, max_size=6), min_size=1, max_size=40)
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(extra)
+    def check(more):
+        df = spark.createDataFrame([(v,) for v in fixed + more], "s string")
+        for target in (T.IntegerType(), T.LongType(), T.ShortType(), T.BooleanType()):
+            bad = df.filter(~text_try_cast(F.col("s"), target).eqNullSafe(F.col("s").try_cast(target)))
+            assert bad.count() == 0, (target, bad.collect())
+    check()
