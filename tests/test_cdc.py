@@ -220,3 +220,16 @@ def test_segmented_plan_shuffles_the_input_once(spark):
     # one input exchange for keyed rows, one for rows with a NULL key
     assert final.count("REPARTITION_BY_COL") == 2
     assert any("ReusedExchange" in line and "event_id" in line for line in final.split("\n"))
+
+
+def test_plans_beyond_the_broadcast_bound_use_shuffle_joins(spark, monkeypatch):
+    # with a zero broadcast bound the hot-key plan, the hot-tie list and the
+    # big-key list are joined with shuffles; the history is the same
+    monkeypatch.setattr(cdc, "BROADCAST_LIMIT_BYTES", 0)
+    rng = random.Random(13)
+    rows = [("hot", rng.randint(0, 40), i, rng.choice("xy"), rng.choice([None, None, "DELETE"])) for i in range(300)]
+    rows += [("hot", 50, i, "z", None) for i in range(60)]
+    rows += [("k%d" % (i % 9), i, 0, rng.choice("xy"), None) for i in range(90)]
+    plan = cdc.plan_segments(spark.createDataFrame(rows, SCHEMA), ["k"], "seq", 25)
+    assert plan is not None and not plan.small and not plan.ties_small and plan.n_ties >= 1
+    assert run(spark, rows, True, True, 25) == brute_force(rows, track=True, delete=True)
