@@ -243,13 +243,13 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
     # rows joined to it. The join implies non-NULL keys on the summary side;
     # giving the main side the same filter keeps both subtrees identical, so
     # the exchange and sort run once and are reused. Rows with a NULL key are
-    # never hot; they take the same steps on their own (a scan that Parquet
-    # statistics mostly skip).
+    # never hot (nor in a hot tie): they take the plain path on their own, a
+    # scan that Parquet statistics mostly skip.
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
     return _versions(df.filter(present), keys, seq, order, plan, track).select(*out_cols) \
-        .unionByName(_versions(df.filter(~present), keys, seq, order, plan, track).select(*out_cols))
+        .unionByName(_versions(df.filter(~present), keys, seq, order, None, track).select(*out_cols))
 
 
 def _versions(df: DataFrame, keys: list[str], seq: str, order: list[str], plan: SegmentPlan | None,

@@ -218,6 +218,18 @@ def q_scd2_segmented(spark, sf):
                     max_rows_per_segment=16).select(*HIST_COLS)
 
 
+def q_scd2_hot_user(spark, sf):
+    """C1 + C5 when one key holds a third of all rows: every third event is
+    given to user 0 (no row dropped). With a 256-row segment limit only that
+    user is found hot (on the sample) and its history runs as many
+    sequence-range segments in separate tasks; the result is exact."""
+    ev = fx.table(spark, sf, "events")
+    ev = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("long"))
+                       .otherwise(F.col("user_id")))
+    return cdc.scd2(ev, "user_id", "ts", tie_break=["event_id"], track=["event_type"],
+                    max_rows_per_segment=256).select(*HIST_COLS)
+
+
 def q_scd2_batch_stamp(spark, sf):
     """C1 + C3 with the kind of sequence the reference uses: one stamp shared
     by every row of a delivery (here the event's day), ties broken by
@@ -355,6 +367,7 @@ def queries() -> dict[str, Query]:
         "scd2_track_all": q_scd2_track_all,
         "scd2_segmented": q_scd2_segmented,
         "scd2_batch_stamp": q_scd2_batch_stamp,
+        "scd2_hot_user": q_scd2_hot_user,
         "scd_current": q_scd_current,
         "scd2_as_of": q_scd2_as_of,
         "scd2_deletes": q_scd2_deletes,

@@ -203,6 +203,10 @@ GROUP BY dataset, name HAVING count(*) > 1""",
 
     "scd2_history": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS),
     "scd2_segmented": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS),
+    "scd2_hot_user": scd2_sql(
+        "evh", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS,
+        ctes="evh AS (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN CAST(0 AS BIGINT) "
+             "ELSE user_id END AS user_id) FROM events)"),
     "scd2_batch_stamp": scd2_sql(
         "evd", "user_id", "batch_day", ["ts", "event_id"], "event_type", None,
         EV_COLS + ["batch_day"],
