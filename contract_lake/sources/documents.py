@@ -125,7 +125,10 @@ def collection_line_features(lines: DataFrame, schema: T.StructType, text_col: s
     ``lines`` are kept.
     """
     lineage = [c for c in lines.columns if c in (SOURCE_FILE, SOURCE_MTIME, BLOCK_START)]
-    trimmed = lines.select(F.regexp_replace(F.col(text_col), r"^\s+|\s*,?\s*$", "").alias("_line"), *lineage)
+    # white space (also the CR of CRLF files) and a byte-order mark at the
+    # start; white space and one separating comma at the end
+    trimmed = lines.select(F.regexp_replace(F.col(text_col), r"^[\s\uFEFF]+|\s*,?\s*$", "").alias("_line"),
+                           *lineage)
     line = F.col("_line")
     candidate = line.startswith("{") & line.endswith("}")
     # most lines are features: the structure patterns run only on the rest

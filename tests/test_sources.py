@@ -68,3 +68,11 @@ def test_large_collection_splits_across_tasks(spark, tmp_path):
         .select(F.explode("features").alias("f")).select(F.col("f.id").alias("id"), F.col("f.properties.a").alias("a"))
     assert got == sorted((int(r["id"]), r["a"]) for r in whole.collect())
     assert len(got) == 20000
+
+
+def test_byte_order_mark_and_crlf(spark, tmp_path):
+    text = _line_layout([_feature(i) for i in range(3)]).replace("\n", "\r\n")
+    (tmp_path / "bom.geojson").write_bytes(b"\xef\xbb\xbf" + text.encode("utf-8"))
+    rows = _read(spark, tmp_path).collect()
+    assert sorted(int(r["id"]) for r in rows) == [0, 1, 2]
+    assert all(r[CORRUPT] is None for r in rows)
