@@ -22,6 +22,18 @@ DEFAULT_LOG_LEVEL = "INFO"
 VALIDITY_RULE_TEMPLATE = "{key} IS NOT NULL AND TRIM({key}) != ''"
 
 
+def hashable(dtype: T.DataType) -> bool:
+    """Whether Spark's hash functions take values of ``dtype`` (maps and
+    VARIANT values are refused, also nested)."""
+    if isinstance(dtype, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return hashable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(hashable(f.dataType) for f in dtype.fields)
+    return True
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

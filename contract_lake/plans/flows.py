@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import Entry
-from ..functions.columns import validity_rule
+from ..functions.columns import hashable, validity_rule
 from ..operators.cdc import scd2
 from ..operators.features import explode_features
 from ..operators.projection import CAST_FAILURES, project_by_contract, stamp
@@ -46,10 +46,12 @@ def stage(docs: DataFrame, entry: Entry, extended_types: bool = True,
     else:
         # one feature per row already (GeoJSON text sequence): no explode.
         # Spark gives no line offset for JSON text, so rows that share key,
-        # sequence, file and block are ordered by a hash of their content:
+        # sequence, file and block are ordered by a hash of their content
+        # (of the struct itself, no JSON text is built):
         # deterministic, though not file order (use a business sequence to
         # avoid such ties).
-        exploded = docs.select("feature", *lineage, F.xxhash64(F.to_json("feature")).alias(POSITION))
+        content = F.col("feature") if hashable(docs.schema["feature"].dataType) else F.to_json("feature")
+        exploded = docs.select("feature", *lineage, F.xxhash64(content).alias(POSITION))
     keep = [c for c in (SOURCE_MTIME, SOURCE_FILE, BLOCK_START, POSITION, CORRUPT) if c in exploded.columns]
     staged = project_by_contract(exploded, entry.properties, keep=keep, lenient=True,
                                  with_cast_failures=True, extended_types=extended_types)

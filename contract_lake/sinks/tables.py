@@ -6,17 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-
-def _hashable(dtype: T.DataType) -> bool:
-    if isinstance(dtype, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(dtype, T.ArrayType):
-        return _hashable(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return all(_hashable(f.dataType) for f in dtype.fields)
-    return True
+from ..functions.columns import hashable
 
 
 def bucket_id(keys: list[str], n_buckets: int):
@@ -44,7 +35,7 @@ def write_bucketed(df: DataFrame, table: str, keys: list[str], n_buckets: int,
     rely on it.
     """
     order = sort_by or keys
-    spread = F.xxhash64(*[F.col(f.name) for f in df.schema.fields if _hashable(f.dataType)])
+    spread = F.xxhash64(*[F.col(f.name) for f in df.schema.fields if hashable(f.dataType)])
     laid = df.repartitionByRange(n_files or n_buckets, bucket_id(keys, n_buckets),
                                  *[F.col(c) for c in order], spread)
     writer = laid.write.mode("overwrite").bucketBy(n_buckets, *keys).sortBy(*order)
