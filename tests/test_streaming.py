@@ -249,3 +249,28 @@ def test_processing_time_sequence_with_hot_ties(spark, tmp_path):
     last_seq = {(b, f"k{i}"): max(f["properties"]["seq"] for f in feats[b] if f["id"] == f"k{i}")
                 for b in range(3) for i in range(2)}
     assert {r[1] for r in a} <= set(last_seq.values())
+
+
+def test_rebuilt_changes_copy_continues_the_upkeep(spark, tmp_path):
+    # compaction: the changes copy is rebuilt from the landing log while
+    # the upkeep is stopped; the upkeep then continues on the new copy
+    src = f"{tmp_path}/src"
+    _write_docs(src, [_doc([_feature(f"k{i % 4}", 10 * i + b, "ab"[(i + b) % 2]) for i in range(8)])
+                      for b in range(3)])
+    paths = _paths(tmp_path, src)
+    hist_path, ckpt = f"{tmp_path}/history", f"{tmp_path}/upkeep"
+    ingest.run_entry(spark, ENTRY, paths, max_files=1)
+    ingest.maintain_history(spark, ENTRY, paths.landing, hist_path, ckpt, n_buckets=4, track=["v"],
+                            max_files=1).awaitTermination()
+    old_dirs = [d for d in os.listdir(f"{hist_path}_changes/_bucket=0") if d.startswith("_batch=")]
+    assert len(old_dirs) > 1
+    compact = ingest.rebuild_changes(spark, ENTRY, paths.landing, f"{tmp_path}/changes_v2", n_buckets=4)
+    assert all(os.listdir(f"{compact}/{b}") == ["_batch=-1"] for b in os.listdir(compact) if b.startswith("_bucket="))
+    with open(f"{src}/late.json", "w") as fh:
+        json.dump(_doc([_feature("k1", 15, "z")]), fh)
+    ingest.run_entry(spark, ENTRY, paths, max_files=1)
+    ingest.maintain_history(spark, ENTRY, paths.landing, hist_path, ckpt, n_buckets=4, track=["v"],
+                            changes=compact).awaitTermination()
+    maintained = ingest.read_history(spark, hist_path)
+    expected = ingest.history_from_landing(spark, ENTRY, paths.landing, track=["v"])
+    assert _history_rows(maintained) == _history_rows(expected)
