@@ -39,6 +39,8 @@ SEG = "_seg"
 HOT = "_hot"
 DEL = "_del"
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# per-row allowance for a broadcast relation's own bookkeeping
+ROW_OVERHEAD_BYTES = 32
 FINE_BUCKETS_PER_SEGMENT = 4
 SAMPLE_ROWS_PER_SEGMENT = 200
 
@@ -58,6 +60,25 @@ def _seq_number(df: DataFrame, seq: str) -> Column:
     return None
 
 
+def _byte_width(df: DataFrame, name: str) -> Column:
+    """Bytes a value of column ``name`` takes: the length of text and binary
+    values, the JSON text length of nested values (a generous stand-in), and
+    for other types the slot a row gives them (8 bytes, 16 for decimals)."""
+    dtype = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+    return F.lit(16 if isinstance(dtype, T.DecimalType) else 8)
+
+
+def _fits(n_bytes: int) -> bool:
+    """Whether a relation of ``n_bytes`` raw bytes may be broadcast (twice
+    the bytes are allowed for the hashed form)."""
+    return 2 * n_bytes <= BROADCAST_LIMIT_BYTES
+
+
 @dataclass(frozen=True)
 class SegmentPlan:
     """What the planning pass found.
@@ -105,33 +126,40 @@ def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment
     sampled = base if fraction >= 1.0 else base.sample(fraction=fraction, seed=seed)
     # a group is a candidate when its sample says at least half the limit
     threshold = max_rows_per_segment * fraction * (0.5 if fraction < 1.0 else 1.0)
+    key_bytes = sum((_byte_width(df, k) for k in keys[1:]), _byte_width(df, keys[0]))
     stats = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_num").alias("_lo"),
-                                        F.max("_num").alias("_hi")) \
+                                        F.max("_num").alias("_hi"), F.max(key_bytes).alias("_kb"),
+                                        F.max(_byte_width(df, seq)).alias("_sb")) \
                    .filter(F.col("_n") > F.lit(threshold))
     est_rows = F.col("_n") / F.lit(fraction)
     nb = (F.ceil(est_rows / F.lit(max_rows_per_segment)) * F.lit(FINE_BUCKETS_PER_SEGMENT)).cast("int")
     stats = stats.withColumn("_hot", F.col("_lo").isNotNull()).withColumn("_nb", nb) \
                  .withColumn("_width", F.greatest((F.col("_hi") - F.col("_lo")) / F.col("_nb"), F.lit(1e-9)))
     summary = stats.agg(F.count(F.lit(1)).alias("n_big"), F.count_if(F.col("_hot")).alias("n_hot"),
-                        F.sum(F.when(F.col("_hot"), F.col("_nb"))).alias("n_buckets")).first()
+                        F.sum(F.when(F.col("_hot"), F.col("_nb"))).alias("n_buckets"),
+                        F.max("_kb").alias("key_bytes"), F.max("_sb").alias("seq_bytes")).first()
     n_big, n_hot = int(summary["n_big"] or 0), int(summary["n_hot"] or 0)
     n_buckets = int(summary["n_buckets"] or 0)
     if n_big == 0:
         # a tie group is never larger than its key: no big key, no hot tie
         return None
+    # Broadcast bounds from the widest sampled key and sequence: the lists
+    # below hold sampled values only, so these sizes are upper bounds.
+    kb, sb = int(summary["key_bytes"] or 0), int(summary["seq_bytes"] or 0)
     # hot ties, looked for only among the big keys' sampled rows
     big = stats.select(*keys)
-    big_small = n_big * 64 <= BROADCAST_LIMIT_BYTES
+    big_small = _fits(n_big * (kb + ROW_OVERHEAD_BYTES))
     ties = sampled.join(F.broadcast(big) if big_small else big, keys, "left_semi") \
                   .groupBy(*keys, seq).agg(F.count(F.lit(1)).alias("_c")) \
                   .filter(F.col("_c") > F.lit(threshold)).select(*keys, seq)
     n_ties = ties.count()
     ties = ties if n_ties else None
-    ties_small = n_ties * 64 <= BROADCAST_LIMIT_BYTES
+    ties_small = _fits(n_ties * (kb + sb + ROW_OVERHEAD_BYTES))
     if n_hot == 0:
         return SegmentPlan(None, 0, 0, True, ties, n_ties, ties_small) if n_ties else None
     bounds = stats.filter(F.col("_hot")).select(*keys, "_lo", "_width", "_nb")
-    small = n_hot * 64 + n_buckets * 8 <= BROADCAST_LIMIT_BYTES
+    # per hot key: keys, three numbers and the bucket-to-segment map
+    small = _fits(n_hot * (kb + 24 + ROW_OVERHEAD_BYTES) + n_buckets * 8)
     joined = base.join(F.broadcast(bounds) if small else bounds, keys)
     # values outside the sampled range fall into the edge buckets
     bucket = F.least(F.greatest(F.floor((F.col("_num") - F.col("_lo")) / F.col("_width")).cast("int"),

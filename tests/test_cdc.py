@@ -233,3 +233,16 @@ def test_plans_beyond_the_broadcast_bound_use_shuffle_joins(spark, monkeypatch):
     plan = cdc.plan_segments(spark.createDataFrame(rows, SCHEMA), ["k"], "seq", 25)
     assert plan is not None and not plan.small and not plan.ties_small and plan.n_ties >= 1
     assert run(spark, rows, True, True, 25) == brute_force(rows, track=True, delete=True)
+
+
+def test_broadcast_bound_grows_with_key_width(spark, monkeypatch):
+    # the broadcast decision uses the widest sampled key, not a fixed row size
+    long_key = "k" * 50_000
+    rows = [(long_key, i, 0, "x", None) for i in range(40)] + [("a", i, 0, "x", None) for i in range(3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(cdc, "BROADCAST_LIMIT_BYTES", 1_000_000)
+    assert cdc.plan_segments(df, ["k"], "seq", 10).small
+    monkeypatch.setattr(cdc, "BROADCAST_LIMIT_BYTES", 100_000)  # bound: 2 * (50,000 + 56 + 16 * 8)
+    plan = cdc.plan_segments(df, ["k"], "seq", 10)
+    assert plan.n_hot == 1 and not plan.small
+    assert run(spark, rows, True, False, 10) == brute_force(rows)
