@@ -104,7 +104,11 @@ COLLECTION_STRUCTURE_LINES = (
     r'^"features"\s*:\s*\[$',                       # "features": [
     r'^\{.*"features"\s*:\s*\[$',                   # {"type": "FeatureCollection", ..., "features": [
     r'^"[^"]+"\s*:\s*("[^"]*"|-?[0-9][0-9.eE+-]*|true|false|null|\{.*\}|\[.*\])$',  # "name": "x"
+    r'^\{\s*"[^"]+"\s*:\s*("[^"]*"|-?[0-9][0-9.eE+-]*|true|false|null|\{.*\}|\[.*\])$',  # {"type": "FeatureCollection"
 )
+# Fixed value: the start of a line that opens the features array (with or
+# without the collection's own opening brace and members before it).
+COLLECTION_HEADER_PREFIX = r'^(\{.*?)?"features"\s*:\s*\[\s*'
 
 
 def collection_line_features(lines: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
@@ -127,10 +131,18 @@ def collection_line_features(lines: DataFrame, schema: T.StructType, text_col: s
     lineage = [c for c in lines.columns if c in (SOURCE_FILE, SOURCE_MTIME, BLOCK_START)]
     # white space (also the CR of CRLF files) and a byte-order mark at the
     # start; white space and one separating comma at the end
-    trimmed = lines.select(F.regexp_replace(F.col(text_col), r"^[\s\uFEFF]+|\s*,?\s*$", "").alias("_line"),
-                           *lineage)
+    trimmed = F.regexp_replace(F.col(text_col), r"^[\s\uFEFF]+|\s*,?\s*$", "")
+    # a header that also opens the first feature ({"type": ..., "features": [{...)
+    # loses the header; a line ending in "]}" is left whole, since a complete
+    # collection on one line ends so (an ambiguous line then fails to parse
+    # and is quarantined, never dropped)
+    opens_first = trimmed.rlike(COLLECTION_HEADER_PREFIX + r"\{") & ~trimmed.rlike(r"\]\s*\}$")
+    trimmed = F.when(opens_first, F.regexp_replace(trimmed, COLLECTION_HEADER_PREFIX, "")).otherwise(trimmed)
+    trimmed = lines.select(trimmed.alias("_line"), *lineage)
     line = F.col("_line")
-    candidate = line.startswith("{") & line.endswith("}")
+    # the last feature may carry the collection's closing "]" or "]}": the
+    # parser reads the first JSON value of a line and ignores what follows
+    candidate = line.startswith("{") & (line.endswith("}") | line.endswith("]"))
     # most lines are features: the structure patterns run only on the rest
     structural = line.rlike("|".join(f"(?:{p})" for p in COLLECTION_STRUCTURE_LINES))
     feature_type = T.StructType(list(schema.fields))

@@ -76,3 +76,29 @@ def test_byte_order_mark_and_crlf(spark, tmp_path):
     rows = _read(spark, tmp_path).collect()
     assert sorted(int(r["id"]) for r in rows) == [0, 1, 2]
     assert all(r[CORRUPT] is None for r in rows)
+
+
+def test_compact_headers_and_closers(spark, tmp_path):
+    # first feature on the header line, last feature carrying the closers
+    f = [json.dumps(_feature(i)) for i in range(6)]
+    (tmp_path / "a.geojson").write_text(
+        '{"type": "FeatureCollection", "features": [' + f[0] + ",\n" + f[1] + ",\n" + f[2] + "]}\n")
+    (tmp_path / "b.geojson").write_text(
+        '{"type": "FeatureCollection",\n"features": [' + f[3] + ",\n" + f[4] + "]\n}\n")
+    (tmp_path / "c.geojson").write_text(
+        '{"type": "FeatureCollection", "features": [' + f[5] + "]}\n")     # whole collection on a line
+    rows = _read(spark, tmp_path).collect()
+    assert sorted(int(r["id"]) for r in rows) == list(range(6))
+    assert all(r[CORRUPT] is None for r in rows)
+
+
+def test_ambiguous_header_line_is_quarantined(spark, tmp_path):
+    # a header line whose first feature ends in "]}" (a bbox) cannot be told
+    # from a whole collection: it is kept as a corrupt record, not dropped
+    first = dict(_feature(0), bbox=[0, 0, 1, 1])
+    (tmp_path / "d.geojson").write_text(
+        '{"type": "FeatureCollection", "features": [' + json.dumps(first) + ",\n"
+        + json.dumps(_feature(1)) + "\n]}\n")
+    rows = _read(spark, tmp_path).collect()
+    assert sorted(r["id"] for r in rows if r["id"] is not None) == ["1"]
+    assert sum(r[CORRUPT] is not None for r in rows) == 1
