@@ -24,7 +24,7 @@ the running run start) is carried by a per-segment summary: one small row per
 hot segment, joined back on ``(keys, _seg)``. That join needs no exchange of
 the big side, because the big side is already partitioned on those columns.
 The planning passes read only ``(keys, seq)``, shuffle small partial counts
-and send three numbers to the driver.
+and send a few numbers (counts and byte widths) to the driver.
 """
 
 from __future__ import annotations
@@ -104,7 +104,7 @@ def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment
 
     One pass over a Bernoulli sample, sized so that a group at the limit
     shows about ``SAMPLE_ROWS_PER_SEGMENT`` sampled rows, counts rows per
-    key (a few partial counts per task are shuffled; three numbers reach the
+    key (a few partial counts per task are shuffled; five numbers reach the
     driver). A key with about ``max_rows_per_segment`` rows or more is hot:
     its sequence range is cut into segments (below). When there is none,
     that is all. Otherwise the hot keys' sampled rows are counted per
