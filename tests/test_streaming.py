@@ -274,3 +274,17 @@ def test_rebuilt_changes_copy_continues_the_upkeep(spark, tmp_path):
     maintained = ingest.read_history(spark, hist_path)
     expected = ingest.history_from_landing(spark, ENTRY, paths.landing, track=["v"])
     assert _history_rows(maintained) == _history_rows(expected)
+
+
+def test_a_failing_stream_stops_the_others(spark, tmp_path):
+    def boom(batch, batch_id):
+        raise ValueError("bad batch")
+
+    failing = spark.readStream.format("rate").option("rowsPerSecond", 5).load() \
+        .writeStream.foreachBatch(boom).option("checkpointLocation", f"{tmp_path}/a").start()
+    endless = spark.readStream.format("rate").option("rowsPerSecond", 5).load() \
+        .writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/b") \
+        .trigger(processingTime="1 second").start()
+    with pytest.raises(Exception, match="bad batch"):
+        ingest.await_queries(spark, [failing, endless], poll_seconds=0.5)
+    assert not endless.isActive and not failing.isActive
