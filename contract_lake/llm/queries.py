@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contract_lake.llm import simhash
+from contract_lake.llm import simhash, suffixes
 from contract_lake.llm.common import table
 
 
@@ -15,8 +15,12 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_report(table(spark, sf_dir, "documents"), window=200)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op1_simhash_near_dedup, op4_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
