@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contract_lake.llm import simhash, suffixes
+from contract_lake.llm import quality, simhash, suffixes
 from contract_lake.llm.common import table
 
 
@@ -19,8 +19,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup_report(table(spark, sf_dir, "documents"), window=200)
 
 
+def op5_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op4_suffix_dedup)}
+    return {f.__name__: f for f in (op1_simhash_near_dedup, op4_suffix_dedup, op5_quality_pu)}
 
 
 def oracle_sql() -> dict[str, str]:
