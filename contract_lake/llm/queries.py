@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contract_lake.llm import quality, simhash, suffixes
+from contract_lake.llm import mixing, packing, quality, simhash, suffixes, tokens
 from contract_lake.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.default_vocabulary(), limit=2048)
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup_report(table(spark, sf_dir, "documents"), window=200)
 
@@ -24,8 +28,19 @@ def op5_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokens.default_vocabulary(), capacity=2048)
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "n_bytes", "block", "slot", "release", "deadline", "phase")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op4_suffix_dedup, op5_quality_pu)}
+    return {f.__name__: f for f in (
+        op1_simhash_near_dedup, op3_token_counts, op4_suffix_dedup, op5_quality_pu, op7_best_fit_packing,
+        op8_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
