@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contract_lake.llm import mixing, packing, quality, simhash, suffixes, tokens
+from contract_lake.llm import mixing, neighbours, packing, quality, simhash, suffixes, tokens
 from contract_lake.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op5_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokens.default_vocabulary(), capacity=2048)
 
@@ -39,7 +43,8 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_simhash_near_dedup, op3_token_counts, op4_suffix_dedup, op5_quality_pu, op7_best_fit_packing,
+        op1_simhash_near_dedup, op3_token_counts, op4_suffix_dedup, op5_quality_pu, op6_embedding_near_dedup,
+        op7_best_fit_packing,
         op8_mix_sources)}
 
 
