@@ -5,16 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from contract_lake.llm import mixing, neighbours, packing, quality, simhash, suffixes, tokens
+from contract_lake.llm import mixing, mtree, neighbours, packing, quality, simhash, suffixes, tokens
 from contract_lake.llm.common import table
 
 
+OP2_SQL = """
+WITH whole AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)]) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+  WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4).select(
         "doc_id", "fingerprint", "component_id")
 
 
+def op2_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.default_vocabulary(), limit=2048)
 
@@ -43,10 +65,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_simhash_near_dedup, op3_token_counts, op4_suffix_dedup, op5_quality_pu, op6_embedding_near_dedup,
+        op1_simhash_near_dedup, op2_mtree_top_k, op3_token_counts, op4_suffix_dedup, op5_quality_pu, op6_embedding_near_dedup,
         op7_best_fit_packing,
         op8_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_mtree_top_k": OP2_SQL}
