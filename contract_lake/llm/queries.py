@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract_lake.llm import mixing, mtree, neighbours, packing, quality, simhash, suffixes, tokens
+from contract_lake.llm import langcrf, mixing, mtree, neighbours, packing, quality, simhash, suffixes, tokens
 from contract_lake.llm.common import table
 
 
@@ -63,11 +63,16 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "n_bytes", "block", "slot", "release", "deadline", "phase")
 
 
+def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langcrf.predictions(docs, langcrf.train(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash_near_dedup, op2_mtree_top_k, op3_token_counts, op4_suffix_dedup, op5_quality_pu, op6_embedding_near_dedup,
         op7_best_fit_packing,
-        op8_mix_sources)}
+        op8_mix_sources, op9_language_crf)}
 
 
 def oracle_sql() -> dict[str, str]:
