@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract_lake.llm import langcrf, mixing, mtree, neighbours, packing, quality, simhash, suffixes, tokens
+from contract_lake.llm import langcrf, mixing, mtree, neighbours, packing, quality, simhash, suffixes, tokens, wrappers
 from contract_lake.llm.common import table
 
 
@@ -68,11 +68,15 @@ def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langcrf.predictions(docs, langcrf.train(docs))
 
 
+def op10_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash_near_dedup, op2_mtree_top_k, op3_token_counts, op4_suffix_dedup, op5_quality_pu, op6_embedding_near_dedup,
         op7_best_fit_packing,
-        op8_mix_sources, op9_language_crf)}
+        op8_mix_sources, op9_language_crf, op10_wrapper_text)}
 
 
 def oracle_sql() -> dict[str, str]:
