@@ -157,17 +157,18 @@ def _sorted_out(runs: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFram
     runs = written(runs.join(counts, "digit"), "suffix-runs")
     one_kind = runs.where("not several").select("key", "place")
     several = runs.where("several").drop("several")
-    kinds = several.groupBy("digit", "whole").agg(F.count("*").alias("n"), F.min(name).alias("first"))
-    several = several.join(kinds, ["digit", "whole"])
-    repeated = one_kind.union(several.where("n > 1").select("key", "place"))
+    # Written, as the counts are: a join of two plain exchanges can split a hot digit.
+    kinds = written(several.groupBy("digit", "whole").agg(F.count("*").alias("n"), F.min(name).alias("first")).where("n > 1").drop("n"), "suffix-kinds")
+    several = several.join(kinds, ["digit", "whole"], "left")
+    repeated = one_kind.union(several.where("first IS NOT NULL").select("key", "place"))
     # Of equal runs one stands for all against the runs that share a part.
-    pending = several.where((F.col("n") == 1) | (name == F.col("first"))).select("key", "place")
+    pending = several.where(F.col("first").isNull() | (name == F.col("first"))).select("key", "place")
     return repeated, pending
 
 
 def _digit_counts(runs: DataFrame) -> DataFrame:
-    return (runs.groupBy("digit").agg(F.count("*").alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high"))
-            .where("n > 1").select("digit", (F.col("low") != F.col("high")).alias("several")))
+    return written(runs.groupBy("digit").agg(F.count("*").alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high"))
+                   .where("n > 1").select("digit", (F.col("low") != F.col("high")).alias("several")), "suffix-digits")
 
 
 def repeated_spans(docs: DataFrame, window: int = 200) -> tuple[DataFrame, DataFrame]:
@@ -184,7 +185,7 @@ def repeated_spans(docs: DataFrame, window: int = 200) -> tuple[DataFrame, DataF
             for digit, whole, _, _ in anchor_runs(list(byte_views(batch.column("text"))), window):
                 yield batch_of(pa.schema(list(ROWS)[:2]), digit, whole)
 
-    counts = written(_digit_counts(arrow_map(texts.select("text"), digits, "digit long, whole long")), "suffix-digits")
+    counts = _digit_counts(arrow_map(texts.select("text"), digits, "digit long, whole long"))
     bitmap = spark.sparkContext.broadcast(_bitmap(counts, F.col("digit")))
 
     def runs(batches):
