@@ -183,7 +183,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, cell: in
     roots = connected_components(near_links(rows.select("fp").distinct(), max_bits, cell), "simhash-cc")
     grouped = (rows.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
                .withColumn("group_fp", F.coalesce("root", "fp")))
-    least = grouped.groupBy("group_fp").agg(F.min("doc_id").alias("component_id"))
+    # Written: a join of two plain exchanges can split a hot group.
+    least = written(grouped.groupBy("group_fp").agg(F.min("doc_id").alias("component_id")), "simhash-least")
     return grouped.join(least, "group_fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "row_key", "group_fp")
 
