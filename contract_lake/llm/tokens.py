@@ -9,9 +9,11 @@ hold none) and both agree on every token from there to the next such place.
 Without one, the overlap is doubled; when it has grown to the whole chunk, the
 chunk itself is lengthened, in the worst case to the whole text.
 
-Texts up to ``chunk`` characters are encoded word by word (split at the same
-kind of boundary) and each distinct word only once a worker: the memo is
-bounded and starts over when full, so it changes speed, never results.
+Texts up to ``chunk`` characters are encoded part by part (the parts the
+library itself cuts a text into before it merges, or words between spaces) and
+distinct parts once: the memo is bounded and forgets what is no longer in use,
+so it changes speed, never results. ``Encoder`` refuses a vocabulary that does
+not part text this way.
 
 Null texts count as empty (no bytes, no tokens); repeated rows come back once
 each; columns other than ``doc_id`` and ``text`` are ignored.
@@ -20,8 +22,10 @@ each; columns other than ``doc_id`` and ``text`` are ignored.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,21 +33,45 @@ from pyspark.sql import functions as F
 from contract_lake.llm.common import arrow_map
 
 CHUNK, OVERLAP = 1 << 16, 512
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
+#: Letters of texts whose words are looked up together.
+TOGETHER = 1 << 19
 BOUNDARY = " \n"
 
 _loaded: dict[str, Encoder] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies:
+    printable ones for themselves, the others from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+# How these vocabularies part lower-cased text, written for
+# texts of ASCII and the letters of Latin-1, which are the same in every
+# normal form; and what lies outside of them.
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^ \t-\r0-9a-z\u00df-\u00f6\u00f8-\u00ff]+")
+OUTSIDE = re.compile("[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]")
+
+
 class Encoder:
-    """One vocabulary file of the ``tokenizers`` library, with a word memo."""
+    """One vocabulary file of the ``tokenizers`` library, with a memo of the
+    ids of words and word parts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {"": b""}
+        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        for text in ("Ab\u00c9c, d\n e's 12 --x?", "str\u00e4nge \u00d0\u00ff it'll (A1)\t'tis"):
+            if next(self.ids([text])) != np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes():
+                raise ValueError(f"{path} does not read lower case and part text as this encoder does")
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -51,37 +79,58 @@ class Encoder:
             _loaded[path] = Encoder(path)
         return _loaded[path]
 
-    def learn(self, words: set[str]) -> None:
-        """Put ``words`` into the memo: ids as little-endian 32-bit numbers."""
-        if len(self.memo) + len(words) > MEMO_WORDS:
-            self.memo = {"": b""}
-        missing = [w for w in words if w not in self.memo]
-        for at in range(0, len(missing), 4096):
-            part = missing[at:at + 4096]
-            for word, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo[word] = b"".join(i.to_bytes(4, "little") for i in found.ids)
+    def parts(self, text: str) -> list[str]:
+        """Pieces of a text that the library encodes by themselves: its own
+        parts for plain texts, else words between spaces or line breaks."""
+        if OUTSIDE.search(text) or any(s in text for s in self.specials):
+            return [w for w in text.replace("\n", " ").split(" ") if w]
+        return PARTS.findall(text.lower())
+
+    def learn(self, parts: set[str]) -> None:
+        """Put ``parts`` into the memo: ids as little-endian 32-bit numbers. A
+        full memo becomes the old one, from which parts still in use return."""
+        if len(self.memo) + len(parts) > MEMO_WORDS:
+            self.old, self.memo = self.memo, {}
+        fresh = parts.difference(self.memo)
+        self.memo.update({p: self.old[p] for p in fresh if p in self.old})
+        rest = []
+        bpe = self.library.model.tokenize
+        for part in fresh.difference(self.memo):
+            if part == part.lower() and PARTS.fullmatch(part) and not OUTSIDE.search(part) and not any(s in part for s in self.specials):
+                # normalised and parted already: straight to the library's merges
+                name = part if part.isalnum() and part.isascii() else "".join(map(BYTE_LETTERS.__getitem__, part.encode()))
+                self.memo[part] = b"".join([t.id.to_bytes(4, "little") for t in bpe(name)])
+            else:
+                rest.append(part)
+        for at in range(0, len(rest), 4096):
+            some = rest[at:at + 4096]
+            for part, found in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.memo[part] = np.array(found.ids, "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, whole, as little-endian 32-bit numbers."""
-        for at in range(0, len(texts), 64):
-            split = [t.replace("\n", " ").split(" ") for t in texts[at:at + 64]]
-            for words in split:
-                try:
-                    yield b"".join([self.memo[w] for w in words])
-                except KeyError:
-                    distinct = set(words)
-                    # a text of more distinct words than the memo holds goes in parts
-                    if len(distinct) > MEMO_WORDS // 2:
-                        yield b"".join(self._in_parts(words))
-                    else:
-                        self.learn(distinct)
-                        yield b"".join([self.memo[w] for w in words])
-
-    def _in_parts(self, words: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(words), MEMO_WORDS // 4):
-            part = words[at:at + MEMO_WORDS // 4]
-            self.learn(set(part))
-            yield b"".join([self.memo[w] for w in part])
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= TOGETHER):
+                size += len(texts[end])
+                end += 1
+            split = [self.parts(t) for t in texts[at:end]]
+            distinct = set().union(*split)
+            if len(distinct) > MEMO_WORDS // 2:  # more than the memo should hold at once
+                for parts in split:
+                    yield b"".join(self._in_turns(parts))
+            else:
+                self.learn(distinct)
+                for parts in split:
+                    yield b"".join(map(self.memo.__getitem__, parts))
+            at = end
+
+    def _in_turns(self, parts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(parts), MEMO_WORDS // 4):
+            some = parts[at:at + MEMO_WORDS // 4]
+            self.learn(set(some))
+            yield b"".join(map(self.memo.__getitem__, some))
 
     def tokens(self, text: str, offset: int) -> list[tuple[int, int]]:
         """(start in the document, id) of each token of a chunk."""

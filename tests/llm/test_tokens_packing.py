@@ -9,7 +9,7 @@ from contract_lake.llm import packing, tokens
 from tests.llm.conftest import edge_rows
 
 VOCABULARY = tokens.default_vocabulary()
-LETTERS = st.sampled_from([*"abz'sŚéΣ  \n\t\x1c1;", "́", "日本", "<|startoftext|>", "<|endoftext|>", "'re", " word "])
+LETTERS = st.sampled_from([*"abz'sŚéΣ  \n\t\x1c1;", "́", "日本", "<|startoftext|>", "<|endoftext|>", "'re", " word ", "Word.", "WORD!?", "Σας,", "İx;", "ǅ.", "e\u0301t.", "Ⅷ²."])
 
 
 def library(text):
@@ -32,6 +32,11 @@ def test_memo_starts_over(monkeypatch):
     assert len(encoder.memo) <= 20
 
 
+def test_only_fitting_vocabularies_are_served():
+    with pytest.raises(ValueError, match="lower case"):
+        tokens.Encoder(tokens.default_vocabulary("byte_bpe_50k.json"))
+
+
 @pytest.mark.parametrize("chunk", [1 << 16, 1000])
 def test_counts_of_edges(edge_docs, no_docs, chunk):
     rows = tokens.token_counts(edge_docs, VOCABULARY, chunk=chunk, overlap=50).collect()
