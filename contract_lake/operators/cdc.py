@@ -12,10 +12,11 @@ Hot keys
 A key's history is ordered, so a plain ``Window.partitionBy(key)`` puts one
 key in one task; a key holding a third of all rows would stall the job. Keys
 with more than ``max_rows_per_segment`` rows (found on a sample) are therefore
-cut into segments of consecutive sequence ranges (equal-width fine buckets
-merged by exact counts, so a segment holds about ``max_rows_per_segment``
-rows). Rows of one
-sequence value always land in the same segment, so the tie step stays local.
+cut into segments of consecutive sequence ranges. The bounds are quantiles of
+the key's sampled sequence values, so bursts are cut as finely as the rest and
+any orderable sequence works, text too; a NULL or part-NULL key is a key like
+any other. Rows of one sequence value always land in the same segment, so the
+tie step stays local.
 A ``(key, seq)`` group too large for one segment (the usual case when the
 sequence is a micro-batch's processing time) is first collapsed to its last
 row by a combinable ``max_by``, reduced map-side before any shuffle.
@@ -35,29 +36,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import work_dir
+
 SEG = "_seg"
 HOT = "_hot"
 DEL = "_del"
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 # per-row allowance for a broadcast relation's own bookkeeping
 ROW_OVERHEAD_BYTES = 32
-FINE_BUCKETS_PER_SEGMENT = 4
 SAMPLE_ROWS_PER_SEGMENT = 200
-
-
-def _seq_number(df: DataFrame, seq: str) -> Column:
-    """A numeric image of the sequence column, monotone in its order."""
-    dtype = df.schema[seq].dataType
-    c = F.col(seq)
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    return None
+# Bounds of a key are looked up in two steps of at most about this many.
+BOUNDS_PER_STEP = 64
+# All key columns as one struct: equal also where both are NULL.
+KEY = "_k"
 
 
 def _byte_width(df: DataFrame, name: str) -> Column:
@@ -83,95 +74,95 @@ def _fits(n_bytes: int) -> bool:
 class SegmentPlan:
     """What the planning pass found.
 
-    ``hot_plan``: one row per hot key (``keys..., _lo, _width, _nb, _bmap``,
-    the map from fine bucket to segment), or None when no key is hot.
-    ``ties``: ``(keys, seq)`` pairs with more rows than a segment may hold,
+    ``hot_plan``: one row per hot key (``_k``, the sorted first sequence
+    values of its segments but the first, and every 64th of them), a written
+    table, or None when no key is cut.
+    ``ties``: ``(_k, seq)`` pairs with more rows than a segment may hold,
     or None. Each comes with its count and whether its proven size fits a
     broadcast (else it is joined with a shuffle, AQE splitting skew).
     """
     hot_plan: DataFrame | None
     n_hot: int
-    n_buckets: int
+    n_bounds: int
     small: bool
     ties: DataFrame | None = None
     n_ties: int = 0
     ties_small: bool = True
 
 
+def _key_struct(keys: list[str]) -> Column:
+    return F.struct(*[F.col(k) for k in keys])
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """A small table in the shared folder: every use reads the same rows."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def plan_segments(df: DataFrame, keys: list[str], seq: str, max_rows_per_segment: int,
                   seed: int = 17) -> SegmentPlan | None:
     """Segment plan for hot keys and hot ties, or None when there are none.
 
     One pass over a Bernoulli sample, sized so that a group at the limit
     shows about ``SAMPLE_ROWS_PER_SEGMENT`` sampled rows, counts rows per
-    key (a few partial counts per task are shuffled; five numbers reach the
-    driver). A key with about ``max_rows_per_segment`` rows or more is hot:
-    its sequence range is cut into segments (below). When there is none,
-    that is all. Otherwise the hot keys' sampled rows are counted per
-    ``(keys, seq)``: a group that large is a hot tie, which sequence ranges
-    cannot split (every row of it must meet in the tie step), so ``scd2``
-    collapses it first with a combinable aggregate. That case is the normal
-    one when the sequence is the processing time of a micro-batch: every row
-    of a batch shares it. Which groups are chosen only affects balance, never
-    the result.
-
-    Fine-bucket counts of hot keys are then exact (a pass over the same two
-    columns). The plans' sizes are bounded by the sampled row count over the
-    per-group sample threshold.
+    key (a few partial counts per task are shuffled; three numbers reach the
+    driver). A key with about ``max_rows_per_segment`` rows or more is hot.
+    When there is none, that is all. Otherwise the hot keys' sampled rows are
+    counted per ``(key, seq)`` and kept, and the rest is read from them: a
+    group that large is a hot tie, which sequence ranges cannot split (every
+    row of it must meet in the tie step), so ``scd2`` collapses it first with
+    a combinable aggregate (the normal case when the sequence is the
+    processing time of a micro-batch: every row of a batch shares it); and
+    the segment bounds, one every ``max_rows_per_segment`` rows by the sample.
+    Both are tables of sampled values, so all uses of a plan agree. Which
+    rows were sampled only affects balance, never the result.
     """
-    num = _seq_number(df, seq)
-    base = df.select(*keys, F.col(seq), (num if num is not None else F.lit(None).cast("double")).alias("_num")) \
-             .filter(F.col(seq).isNotNull())
+    key_bytes = sum((_byte_width(df, k) for k in keys[1:]), _byte_width(df, keys[0]))
+    base = df.filter(F.col(seq).isNotNull()).select(_key_struct(keys).alias(KEY), F.col(seq), key_bytes.alias("_kb"),
+                                                    _byte_width(df, seq).alias("_sb"))
     fraction = min(1.0, SAMPLE_ROWS_PER_SEGMENT / float(max_rows_per_segment))
     sampled = base if fraction >= 1.0 else base.sample(fraction=fraction, seed=seed)
     # a group is a candidate when its sample says at least half the limit
     threshold = max_rows_per_segment * fraction * (0.5 if fraction < 1.0 else 1.0)
-    key_bytes = sum((_byte_width(df, k) for k in keys[1:]), _byte_width(df, keys[0]))
-    stats = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_num").alias("_lo"),
-                                        F.max("_num").alias("_hi"), F.max(key_bytes).alias("_kb"),
-                                        F.max(_byte_width(df, seq)).alias("_sb")) \
-                   .filter(F.col("_n") > F.lit(threshold))
-    est_rows = F.col("_n") / F.lit(fraction)
-    nb = (F.ceil(est_rows / F.lit(max_rows_per_segment)) * F.lit(FINE_BUCKETS_PER_SEGMENT)).cast("int")
-    stats = stats.withColumn("_hot", F.col("_lo").isNotNull()).withColumn("_nb", nb) \
-                 .withColumn("_width", F.greatest((F.col("_hi") - F.col("_lo")) / F.col("_nb"), F.lit(1e-9)))
-    summary = stats.agg(F.count(F.lit(1)).alias("n_big"), F.count_if(F.col("_hot")).alias("n_hot"),
-                        F.sum(F.when(F.col("_hot"), F.col("_nb"))).alias("n_buckets"),
-                        F.max("_kb").alias("key_bytes"), F.max("_sb").alias("seq_bytes")).first()
-    n_big, n_hot = int(summary["n_big"] or 0), int(summary["n_hot"] or 0)
-    n_buckets = int(summary["n_buckets"] or 0)
+    stats = _kept(sampled.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.max("_kb").alias("_kb"), F.max("_sb").alias("_sb"))
+                  .filter(F.col("_n") > F.lit(threshold)), "hot_keys")
+    summary = stats.agg(F.count(F.lit(1)).alias("n_big"), F.max("_kb").alias("key_bytes"), F.max("_sb").alias("seq_bytes")).first()
+    n_big = int(summary["n_big"] or 0)
     if n_big == 0:
         # a tie group is never larger than its key: no big key, no hot tie
         return None
     # Broadcast bounds from the widest sampled key and sequence: the lists
     # below hold sampled values only, so these sizes are upper bounds.
     kb, sb = int(summary["key_bytes"] or 0), int(summary["seq_bytes"] or 0)
-    # hot ties, looked for only among the big keys' sampled rows
-    big = stats.select(*keys)
+    big = stats.select(KEY)
     big_small = _fits(n_big * (kb + ROW_OVERHEAD_BYTES))
-    ties = sampled.join(F.broadcast(big) if big_small else big, keys, "left_semi") \
-                  .groupBy(*keys, seq).agg(F.count(F.lit(1)).alias("_c")) \
-                  .filter(F.col("_c") > F.lit(threshold)).select(*keys, seq)
+    hot = _kept(sampled.join(F.broadcast(big) if big_small else big, KEY, "left_semi")
+                .groupBy(KEY, seq).agg(F.count(F.lit(1)).alias("_c")), "hot_sample")
+    tie = F.col("_c") > F.lit(threshold)
+    ties = hot.filter(tie).select(KEY, seq)
     n_ties = ties.count()
-    ties = ties if n_ties else None
+    # A segment starts at the first value at or past each multiple of the
+    # limit in the running count of sampled rows; a collapsed tie is one row.
+    per = max(1.0, max_rows_per_segment * fraction)
+    upto = F.sum(F.when(tie, F.lit(1)).otherwise(F.col("_c"))).over(
+        Window.partitionBy(KEY).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1))
+    counted = hot.select(KEY, seq, F.coalesce(upto, F.lit(0)).alias("_before"))
+    segment = F.floor(F.col("_before") / per)
+    starts = counted.groupBy(KEY, segment.alias("_s")).agg(F.min(seq).alias("_start")).filter(F.col("_s") > 0)
+    step = F.lit(BOUNDS_PER_STEP)
+    bounds = starts.groupBy(KEY).agg(F.array_sort(F.collect_list("_start")).alias("_bounds"))
+    plan = _kept(bounds.withColumn("_coarse", F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_bounds") - 1) / step).cast("int")),
+        lambda i: F.get(F.col("_bounds"), (i * step).cast("int")))), "hot_plan")
+    size = plan.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("_bounds") + F.size("_coarse")).alias("b")).first()
+    n_hot, n_bounds = int(size["n"] or 0), int(size["b"] or 0)
+    small = _fits(n_hot * (kb + 2 * ROW_OVERHEAD_BYTES) + n_bounds * (sb + 8))
     ties_small = _fits(n_ties * (kb + sb + ROW_OVERHEAD_BYTES))
-    if n_hot == 0:
-        return SegmentPlan(None, 0, 0, True, ties, n_ties, ties_small) if n_ties else None
-    bounds = stats.filter(F.col("_hot")).select(*keys, "_lo", "_width", "_nb")
-    # per hot key: keys, three numbers and the bucket-to-segment map
-    small = _fits(n_hot * (kb + 24 + ROW_OVERHEAD_BYTES) + n_buckets * 8)
-    joined = base.join(F.broadcast(bounds) if small else bounds, keys)
-    # values outside the sampled range fall into the edge buckets
-    bucket = F.least(F.greatest(F.floor((F.col("_num") - F.col("_lo")) / F.col("_width")).cast("int"),
-                                F.lit(0)), F.col("_nb") - 1)
-    per_bucket = joined.groupBy(*keys, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn(
-        SEG, F.floor(F.coalesce(F.sum("_c").over(w), F.lit(0)) / F.lit(max_rows_per_segment)).cast("int"))
-    seg_of = per_bucket.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("_b", SEG))).alias("_bmap"))
-    hot_plan = bounds.join(seg_of, keys)
-    return SegmentPlan(hot_plan, n_hot, n_buckets, small, ties, n_ties, ties_small)
+    if not n_hot and not n_ties:
+        return None
+    return SegmentPlan(plan if n_hot else None, n_hot, n_bounds, small, ties if n_ties else None, n_ties, ties_small)
 
 
 def _orderable(dtype: T.DataType) -> bool:
@@ -201,9 +192,9 @@ def collapse_ties(df: DataFrame, keys: list[str], seq: str, order: list[str], pl
     task reduces its share of a group to one row and the exchange carries one
     row per group and task. Other rows pass through unchanged."""
     t = plan.ties.withColumn("_tie", F.lit(True))
-    tagged = df.join(F.broadcast(t) if plan.ties_small else t, keys + [seq], "left")
-    rest = tagged.filter(F.col("_tie").isNull()).drop("_tie")
-    hot = tagged.filter(F.col("_tie")).drop("_tie")
+    tagged = df.withColumn(KEY, _key_struct(keys)).join(F.broadcast(t) if plan.ties_small else t, [KEY, seq], "left")
+    rest = tagged.filter(F.col("_tie").isNull()).select(*df.columns)
+    hot = tagged.filter(F.col("_tie")).select(*df.columns)
     others = [c for c in df.columns if c not in keys and c != seq]
     rank = F.struct(*[F.col(c) for c in order if c != seq])
     last = hot.groupBy(*keys, seq).agg(F.max_by(F.struct(*others), rank).alias("_last"))
@@ -212,17 +203,18 @@ def collapse_ties(df: DataFrame, keys: list[str], seq: str, order: list[str], pl
 
 
 def _assign_segments(df: DataFrame, keys: list[str], seq: str, plan: SegmentPlan | None) -> DataFrame:
+    """``df`` with its segment and whether its key is hot; segmented plans
+    also carry the key struct."""
     if plan is None or plan.hot_plan is None:
         return df.withColumn(SEG, F.lit(0)).withColumn(HOT, F.lit(False))
     hp = plan.hot_plan.withColumn(HOT, F.lit(True))
-    joined = df.join(F.broadcast(hp) if plan.small else hp, keys, "left")
-    bucket = F.least(F.greatest(F.floor((_seq_number(df, seq) - F.col("_lo")) / F.col("_width")).cast("int"),
-                                F.lit(0)), F.col("_nb") - 1)
-    # Every non-NULL sequence of a hot key falls in a bucket the plan counted;
-    # 0 is only a guard.
-    seg = F.when(F.col(HOT), F.coalesce(F.element_at(F.col("_bmap"), bucket), F.lit(0))).otherwise(F.lit(0))
-    return joined.withColumn(SEG, seg).withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False))) \
-                 .drop("_lo", "_width", "_nb", "_bmap")
+    joined = df.withColumn(KEY, _key_struct(keys)).join(F.broadcast(hp) if plan.small else hp, KEY, "left")
+    value, step = F.col(seq), F.lit(BOUNDS_PER_STEP)
+    not_after = lambda bounds: F.size(F.filter(bounds, lambda b: b <= value))
+    block = not_after(F.col("_coarse"))
+    seg = F.when(block > 0, (block - 1) * step + not_after(F.slice("_bounds", (block - 1) * step + 1, step))).otherwise(F.lit(0))
+    return joined.withColumn(SEG, F.when(F.col(HOT), seg.cast("int")).otherwise(F.lit(0))) \
+                 .withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False))).drop("_bounds", "_coarse")
 
 
 def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
@@ -268,16 +260,8 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
     if plan is None or plan.hot_plan is None:
         return _versions(df, keys, seq, order, plan, track).select(*out_cols)
     # Segmented: the windowed rows feed both the per-segment summary and the
-    # rows joined to it. The join implies non-NULL keys on the summary side;
-    # giving the main side the same filter keeps both subtrees identical, so
-    # the exchange and sort run once and are reused. Rows with a NULL key are
-    # never hot (nor in a hot tie): they take the plain path on their own, a
-    # scan that Parquet statistics mostly skip.
-    present = F.lit(True)
-    for k in keys:
-        present = present & F.col(k).isNotNull()
-    return _versions(df.filter(present), keys, seq, order, plan, track).select(*out_cols) \
-        .unionByName(_versions(df.filter(~present), keys, seq, order, None, track).select(*out_cols))
+    # rows joined to it, through one exchange and sort, which are reused.
+    return _versions(df, keys, seq, order, plan, track).select(*out_cols)
 
 
 def _versions(df: DataFrame, keys: list[str], seq: str, order: list[str], plan: SegmentPlan | None,
@@ -289,7 +273,7 @@ def _versions(df: DataFrame, keys: list[str], seq: str, order: list[str], plan:
     df = _assign_segments(df, keys, seq, plan)
     segmented = plan is not None and plan.hot_plan is not None
 
-    part = keys + [SEG]
+    part = [KEY, SEG] if segmented else keys + [SEG]
     if segmented:
         # Hot keys: spread their segments over tasks. Explicit, because an
         # input already bucketed by the keys would satisfy the window's
@@ -336,7 +320,7 @@ def _versions(df: DataFrame, keys: list[str], seq: str, order: list[str], plan:
             F.min_by(edge, F.col("_rn")).alias("_first"),
             F.max_by(edge, F.col("_rn")).alias("_last"),
             F.max(F.when((F.col("_rn") > 1) & inner_changed, F.col(seq))).alias("_lchg"))
-        ws = Window.partitionBy(*keys).orderBy(SEG)
+        ws = Window.partitionBy(KEY).orderBy(SEG)
         summ = summ.withColumn("_prev", F.lag("_last").over(ws)) \
                    .withColumn("_next", F.lead("_first").over(ws))
         first_changed = F.col("_prev").isNull() | F.col("_first.d") | F.col("_prev.d") | \

@@ -6,6 +6,9 @@ import random
 
 from hypothesis import given, settings, strategies as st, HealthCheck
 
+import pytest
+from pyspark.sql import functions as F
+
 from contract_lake.operators import cdc
 
 SCHEMA = "k string, seq long, tie long, v string, tag string"
@@ -246,3 +249,18 @@ def test_broadcast_bound_grows_with_key_width(spark, monkeypatch):
     plan = cdc.plan_segments(df, ["k"], "seq", 10)
     assert plan.n_hot == 1 and not plan.small
     assert run(spark, rows, True, False, 10) == brute_force(rows)
+
+
+@pytest.mark.parametrize("kind", ["bursty", "text", "null key"])
+def test_no_segment_of_a_hot_key_is_much_over_the_limit(spark, kind):
+    limit, n = 1000, 40_000
+    seq = F.when(F.col("id") % 1000 == 0, F.col("id") * 1_000_000).otherwise(10 ** 9 + F.col("id"))
+    if kind == "text":
+        seq = F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 9, "0"))
+    key = F.lit(None).cast("string") if kind == "null key" else F.lit("hot")
+    df = spark.range(n).select(key.alias("k"), seq.alias("s"), (F.col("id") % 7).alias("v"))
+    plan = cdc.plan_segments(df, ["k"], "s", limit)
+    sizes = [r["count"] for r in cdc._assign_segments(df, ["k"], "s", plan).groupBy(cdc.SEG).count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * limit and len(sizes) >= n / limit / 2
+    cut, plain = (cdc.scd2(df, "k", "s", track=["v"], max_rows_per_segment=m) for m in (limit, 0))
+    assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()
