@@ -86,7 +86,7 @@ def resolve_path(df: DataFrame, path: str, strict: bool = False) -> tuple[Column
     return F.col(".".join(f"`{p}`" for p in walked)), dtype
 
 
-def typed(src: Column, src_type: T.DataType, target: T.DataType, lenient: bool = True) -> Column:
+def typed(src: Column, src_type: T.DataType, target: T.DataType, lenient: bool = True, truncate: bool = False) -> Column:
     """Cast ``src`` to ``target`` the way the contract means it.
 
     * nested values asked for as string become JSON text, not display text;
@@ -102,7 +102,7 @@ def typed(src: Column, src_type: T.DataType, target: T.DataType, lenient: bool =
     if src_type == target:
         return src
     if lenient:
-        return text_try_cast(src, target) if isinstance(src_type, T.StringType) else src.try_cast(target)
+        return text_try_cast(src, target, truncate) if isinstance(src_type, T.StringType) else src.try_cast(target)
     return src.cast(target)
 
 
@@ -111,27 +111,35 @@ def typed(src: Column, src_type: T.DataType, target: T.DataType, lenient: bool =
 BOOLEAN_TEXT = ("t", "true", "y", "yes", "1", "f", "false", "n", "no", "0")
 EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
 NOT_INTEGRAL_TEXT = r"[^\x00-\x20+\-0-9]"
+# A decimal number in text: with a fraction, an exponent, or both.
+DECIMAL_TEXT = r"^[\x00-\x20]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?[\x00-\x20]*$"
 
 
-def text_try_cast(src: Column, target: T.DataType) -> Column:
+def text_try_cast(src: Column, target: T.DataType, truncate: bool = False) -> Column:
     """``try_cast`` of text, with values that cannot convert answered NULL
     up front. To integral and boolean types Spark evaluates ``try_cast`` as
     the strict cast inside try/catch, so every failing value costs an
     exception; text holding a character no integer can contain, or a
     boolean word Spark does not know, skips the cast. Every other value still
-    goes through ``try_cast``, so the result is the same."""
+    goes through ``try_cast``, so the result is the same; but text of a whole
+    number in another form (JSON ``7.0`` or ``7e2``) is that number, and with
+    ``truncate`` a fraction is cut off as a plain cast of a number does."""
     if isinstance(target, T.IntegralType):
-        return F.when(src.rlike(NOT_INTEGRAL_TEXT), F.lit(None).cast(target)).otherwise(src.try_cast(target))
+        number = src.try_cast(T.DecimalType(38, 18))
+        whole = number.try_cast(target)
+        if not truncate:
+            whole = F.when(number == whole, whole)
+        return F.when(~src.rlike(NOT_INTEGRAL_TEXT), src.try_cast(target)).when(src.rlike(DECIMAL_TEXT), whole)
     if isinstance(target, T.BooleanType):
         word = F.lower(F.regexp_replace(src, EDGE_CONTROL, ""))
         return F.when(word.isin(*BOOLEAN_TEXT), src.try_cast(target)).otherwise(F.lit(None).cast(target))
     return src.try_cast(target)
 
 
-def cast_failed(src: Column, target: T.DataType) -> Column:
+def cast_failed(src: Column, target: T.DataType, truncate: bool = False) -> Column:
     """True where a present text value does not survive the cast to
     ``target``."""
-    return src.isNotNull() & text_try_cast(src, target).isNull()
+    return src.isNotNull() & text_try_cast(src, target, truncate).isNull()
 
 
 def iso_utc(ts: str | Column) -> Column:

@@ -2,7 +2,8 @@
 
 The streaming source is Spark's own file source: it discovers new files,
 records each processed file in the checkpoint's file log (exactly once), and
-parses JSON on the executors. The read schema comes from the contract, with
+parses JSON on the executors. Files are read as text and parsed with
+``from_json``, so that a text the parser did not read to its end is noticed. The read schema comes from the contract, with
 every leaf as text (see ``contract.read_schema``), so the parser skips the
 fields nobody asked for and a bad value reaches the quarantine instead of
 becoming a silent NULL.
@@ -10,7 +11,7 @@ becoming a silent NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +19,7 @@ CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
 SOURCE_MTIME = "_source_mtime"
 BLOCK_START = "_block_start"
+DOC = "_doc"
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -55,60 +57,128 @@ def infer_schema(spark: SparkSession, path: str, multi_line: bool = True,
                 .option("samplingRatio", sampling_ratio).json(path).schema
 
 
+# Bracket a text as a JSON array that closes with this element: if the parser
+# reaches it, it has read the text to its end and nothing was left out.
+_END = "_end_of_text"
+LINE = "_line"
+
+
+def _values(text: Column) -> Column:
+    """The JSON objects of ``text`` (separated by commas), each as its own
+    text, or NULL when it is anything else: not JSON, more after the last
+    value, or a value that is no object."""
+    values = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')), T.ArrayType(T.StringType()))
+    n = F.size(values) - 1
+    kept = F.slice(values, 1, F.greatest(n, F.lit(1)))
+    objects = F.forall(kept, lambda v: v.isNotNull() & v.startswith("{"))
+    return F.when((n > 0) & (F.element_at(values, -1) == _END) & objects, kept)
+
+
+def _parsed(element: T.StructType) -> Column:
+    """One object's text ``_d`` as ``element``; what does not fit the types
+    leaves its text in ``_corrupt_record``."""
+    return F.from_json("_d", _with_corrupt(element), {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def documents_of_text(texts: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
+    """One row per JSON document of each text (a whole file, or a line).
+
+    A text may be one document in any layout, several documents one per line
+    (JSON lines, as ``sinks.files.write_changeset`` writes them), or a JSON
+    array of documents. Anything else, a text with content after its last
+    document included, is one row with the text as ``_corrupt_record``: no
+    document is dropped. Blank texts give no row. Rows carry the columns of
+    ``schema``, ``_corrupt_record``, the other columns of ``texts`` and
+    ``_doc``, the document's place in its text."""
+    fields = [f for f in schema.fields if f.name != CORRUPT]
+    others = [c for c in texts.columns if c != text_col]
+    text = F.regexp_replace(F.col(text_col), r"^[\s\uFEFF]+|\s+$", "")
+    lines = F.array_join(F.filter(F.split(F.col("_text"), r"[\r\n]+"), lambda x: F.trim(x) != ""), ",")
+    whole = F.col("_text")
+    docs = F.coalesce(_values(whole), F.when(whole.startswith("["), _values(F.regexp_replace(whole, r"^\[|\]$", ""))), _values(lines))
+    rows = (texts.select(text.alias("_text"), *others).filter((whole != "") & ~whole.rlike(r"^\[\s*\]$"))
+            .select("_text", docs.alias("_docs"), *others)
+            .select("_text", F.col("_docs").isNull().alias("_bad"),
+                    F.posexplode(F.coalesce("_docs", F.array(F.lit(None).cast("string")))).alias(DOC, "_d"), *others)
+            .withColumn("_p", _parsed(T.StructType(fields))))
+    return rows.select(*[F.col("_p")[f.name].alias(f.name) for f in fields],
+                       F.when(F.col("_bad"), whole).otherwise(F.col("_p")[CORRUPT]).alias(CORRUPT), DOC, *others)
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``_line``, growing in the order a task reads them. With
+    the file and the block's start it gives the order of lines in a file;
+    Spark's text source has no line number of its own. One narrow pass over
+    Arrow batches, memory of one batch."""
+    schema = T.StructType(list(lines.schema.fields) + [T.StructField(LINE, T.LongType(), False)])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        at = 0
+        for batch in batches:
+            number = pa.array(np.arange(at, at + batch.num_rows, dtype=np.int64))
+            at += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, number], names=[*batch.schema.names, "_line"])
+
+    return lines.mapInArrow(run, schema)
+
+
+def _text_reader(spark: SparkSession, path: str, streaming: bool, whole: bool, max_files: int | None) -> DataFrame:
+    reader = (spark.readStream if streaming else spark.read).format("text").option("wholetext", str(whole).lower())
+    if streaming and max_files:
+        reader = reader.option("maxFilesPerTrigger", int(max_files))
+    raw = _with_file_metadata(reader.load(path))
+    return raw if whole else raw.withColumn(BLOCK_START, F.col("_metadata.file_block_start"))
+
+
 def stream_features(spark: SparkSession, path: str, schema: T.StructType,
-                    max_files: int | None = 1, multi_line: bool = True,
-                    keep_corrupt: bool = True, with_file: bool = True) -> DataFrame:
+                    max_files: int | None = None, multi_line: bool = True,
+                    with_file: bool = True, streaming: bool = True) -> DataFrame:
     """Stream feature documents from a folder.
 
-    ``max_files`` is the rate limit (files per micro-batch; 1 as in the
-    reference, ``None`` for no limit). A stream needs a schema up front; use
-    ``contract.read_schema``. The file path and modification time are kept for
-    deterministic tie-breaking of rows that share a processing time.
-    """
-    reader = spark.readStream.format("json").option("multiLine", str(multi_line).lower())
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", int(max_files))
-    if keep_corrupt:
-        schema = _with_corrupt(schema)
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.schema(schema).load(path)
-    return _with_file_metadata(df) if with_file else df
+    ``max_files`` is the rate limit (files per micro-batch; the reference uses
+    1, the default is no limit). A stream needs a schema up front; use
+    ``contract.read_schema``. ``multi_line=True`` takes each file as one text
+    (one task per file; one document in any layout, or JSON lines, see
+    ``documents_of_text``); ``False`` reads documents one per line, split
+    across tasks, each with its line number for ties. The file path and
+    modification time are kept for the deterministic order of rows that share
+    a sequence value."""
+    raw = _text_reader(spark, path, streaming, multi_line, max_files)
+    docs = documents_of_text(raw if multi_line else numbered_lines(raw), schema)
+    return docs if with_file else docs.drop(SOURCE_FILE, SOURCE_MTIME, BLOCK_START)
 
 
 def stream_feature_lines(spark: SparkSession, path: str, schema: T.StructType,
-                         max_files: int | None = None, keep_corrupt: bool = True) -> DataFrame:
+                         max_files: int | None = None, streaming: bool = True) -> DataFrame:
     """Stream GeoJSON text sequences: one Feature object per line (S1 for
     large deliveries). Unlike a FeatureCollection file, which is one JSON
     value parsed whole by one task, these files split across tasks and need
     no explode. Use ``contract.read_schema(..., feature_lines=True)``. The
     result has one ``feature`` struct column plus lineage columns, the shape
-    ``plans.flows.stage`` accepts."""
-    reader = spark.readStream.format("json").option("multiLine", "false")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", int(max_files))
-    if keep_corrupt:
-        schema = _with_corrupt(schema)
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    raw = _with_file_metadata(reader.schema(schema).load(path))
+    ``plans.flows.stage`` accepts. Several features on a line are all read; a
+    line that is anything else is a corrupt row."""
+    docs = documents_of_text(numbered_lines(_text_reader(spark, path, streaming, False, max_files)), schema)
     fields = [f for f in schema.fieldNames() if f != CORRUPT]
-    extra = [CORRUPT] if keep_corrupt else []
-    return raw.select(F.struct(*fields).alias("feature"), *extra, SOURCE_FILE, SOURCE_MTIME,
-                      F.col("_metadata.file_block_start").alias(BLOCK_START))
-
-
-# The lines of a FeatureCollection written one feature per
-# line (as GDAL's GeoJSON writer lays it out) that hold only the collection's
-# own structure. Matched after trimming white space and one trailing comma.
-COLLECTION_STRUCTURE_LINES = (
-    r"^[\[\]{}]*$",                                # {  }  [  ]  ]}
-    r'^"features"\s*:\s*\[$',                       # "features": [
-    r'^\{.*"features"\s*:\s*\[$',                   # {"type": "FeatureCollection", ..., "features": [
-    r'^"[^"]+"\s*:\s*("[^"]*"|-?[0-9][0-9.eE+-]*|true|false|null|\{.*\}|\[.*\])$',  # "name": "x"
-    r'^\{\s*"[^"]+"\s*:\s*("[^"]*"|-?[0-9][0-9.eE+-]*|true|false|null|\{.*\}|\[.*\])$',  # {"type": "FeatureCollection"
-)
-# Fixed value: the start of a line that opens the features array (with or
-# without the collection's own opening brace and members before it).
-COLLECTION_HEADER_PREFIX = r'^(\{.*?)?"features"\s*:\s*\[\s*'
+    return docs.select(F.struct(*fields).alias("feature"), CORRUPT, SOURCE_FILE, SOURCE_MTIME, BLOCK_START, LINE, DOC)
+
+
+# Members a FeatureCollection has itself, next to its features.
+COLLECTION_MEMBERS = ("name", "crs", "bbox", "title", "description", "links", "generator", "copyright", "timeStamp",
+                      "numberMatched", "numberReturned", "totalFeatures", "xy_coordinate_resolution", "metadata")
+# Lines of a collection that hold nothing but its own structure (trimmed,
+# without one trailing comma).
+COLLECTION_STRUCTURE = "|".join((
+    r"^[\[\]{}\s,]*$",
+    r'^\{?\s*"type"\s*:\s*"FeatureCollection"$',
+    r'^\{?\s*("type"\s*:\s*"FeatureCollection"\s*,\s*)?"(' + "|".join(COLLECTION_MEMBERS)
+    + r')"\s*:\s*("[^"]*"|-?[0-9][0-9.eE+-]*|true|false|null|\{[^"]*("[^"]*"[^"]*)*\}|\[[^"]*("[^"]*"[^"]*)*\])$',
+))
+# The start of a line that opens the features array, with or without the
+# collection's own brace and members before it.
+COLLECTION_HEADER = r'^(\{[^{}]*(\{[^{}]*(\{[^{}]*\}[^{}]*)*\}[^{}]*)*)?"features"\s*:\s*\[\s*'
 
 
 def collection_line_features(lines: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
@@ -116,48 +186,38 @@ def collection_line_features(lines: DataFrame, schema: T.StructType, text_col: s
     large FeatureCollection files).
 
     Lines are read split across tasks (a text file splits at any line), so a
-    collection file far larger than one task is parsed in parallel. A line
-    after trimming (and dropping one trailing comma) is either the
-    collection's own structure (dropped: see ``COLLECTION_STRUCTURE_LINES``),
-    one feature ``{...}``, or a whole collection on one line (its
-    ``features`` exploded). Anything else, and a ``{...}`` line that does not
-    parse, is kept as a ``_corrupt_record`` row, so a file in another layout
-    (features printed over several lines) lands in quarantine instead of
-    being dropped silently. An empty collection gives no row, as with
-    ``explode``. ``schema`` is the feature schema
+    collection file far larger than one task is parsed in parallel. A line is
+    trimmed, loses one trailing comma and a header that opens the features
+    array, and is then read as a list of features: as it stands, or without
+    the closing ``]`` or ``]}`` of the collection. All features of a line are
+    read. Lines with nothing but the collection's own structure (see
+    ``COLLECTION_STRUCTURE``; a fixed list of members) are dropped; any other
+    line, such as a member of a feature printed over several lines, is kept as
+    a ``_corrupt_record`` row, so a file in another layout lands in quarantine
+    instead of being dropped. ``schema`` is the feature schema
     (``contract.read_schema(..., feature_lines=True)``); lineage columns of
     ``lines`` are kept.
     """
-    lineage = [c for c in lines.columns if c in (SOURCE_FILE, SOURCE_MTIME, BLOCK_START)]
+    lineage = [c for c in lines.columns if c in (SOURCE_FILE, SOURCE_MTIME, BLOCK_START, LINE)]
+    element = T.StructType([f for f in schema.fields if f.name != CORRUPT])
     # white space (also the CR of CRLF files) and a byte-order mark at the
     # start; white space and one separating comma at the end
     trimmed = F.regexp_replace(F.col(text_col), r"^[\s\uFEFF]+|\s*,?\s*$", "")
-    # a header that also opens the first feature ({"type": ..., "features": [{...)
-    # loses the header; a line ending in "]}" is left whole, since a complete
-    # collection on one line ends so (an ambiguous line then fails to parse
-    # and is quarantined, never dropped)
-    opens_first = trimmed.rlike(COLLECTION_HEADER_PREFIX + r"\{") & ~trimmed.rlike(r"\]\s*\}$")
-    trimmed = F.when(opens_first, F.regexp_replace(trimmed, COLLECTION_HEADER_PREFIX, "")).otherwise(trimmed)
-    trimmed = lines.select(trimmed.alias("_line"), *lineage)
-    line = F.col("_line")
-    # the last feature may carry the collection's closing "]" or "]}": the
-    # parser reads the first JSON value of a line and ignores what follows
-    candidate = line.startswith("{") & (line.endswith("}") | line.endswith("]"))
-    # most lines are features: the structure patterns run only on the rest
-    structural = line.rlike("|".join(f"(?:{p})" for p in COLLECTION_STRUCTURE_LINES))
-    feature_type = T.StructType(list(schema.fields))
-    parse_schema = T.StructType(list(schema.fields) + [
-        T.StructField("features", T.ArrayType(feature_type, True), True),
-        T.StructField(CORRUPT, T.StringType(), True)])
-    parsed = F.from_json(line, parse_schema, {"columnNameOfCorruptRecord": CORRUPT})
-    kept = trimmed.filter(F.when(candidate, F.lit(True)).otherwise(~structural)).select(
-        "_line", candidate.alias("_cand"), parsed.alias("_p"), *lineage)
-    corrupt = F.when(~F.col("_cand"), F.col("_line")).otherwise(F.col("_p")[CORRUPT])
-    one = F.struct(*[F.col("_p")[f.name].alias(f.name) for f in schema.fields])
-    feats = F.when(corrupt.isNotNull(), F.array(F.lit(None).cast(feature_type))) \
-             .when(F.col("_p.features").isNotNull(), F.col("_p.features")) \
-             .otherwise(F.array(one))
-    return kept.select(F.explode(feats).alias("feature"), corrupt.alias(CORRUPT), *lineage)
+    rows = lines.select(trimmed.alias("_text"), *lineage).filter(~F.col("_text").rlike(COLLECTION_STRUCTURE))
+    rows = rows.withColumn("_body", F.regexp_replace("_text", COLLECTION_HEADER, ""))
+    # a header with no feature behind it
+    rows = rows.filter(~F.col("_body").rlike(r"^[\]}\s]*$"))
+    body = F.col("_body")
+    feats = F.coalesce(_values(body), _values(F.regexp_replace(body, r"\s*\]\s*\}?$", "")))
+    rows = (rows.select("_text", feats.alias("_feats"), *lineage)
+            .select("_text", F.col("_feats").isNull().alias("_bad"),
+                    F.posexplode(F.coalesce("_feats", F.array(F.lit(None).cast("string")))).alias(DOC, "_d"), *lineage)
+            .withColumn("_p", _parsed(element)))
+    # a collection that kept its header is no feature
+    collection = F.col("_d").contains('"features"') & F.get_json_object("_d", "$.features").isNotNull()
+    corrupt = F.when(F.col("_bad") | F.coalesce(collection, F.lit(False)), F.col("_text")).otherwise(F.col("_p")[CORRUPT])
+    return rows.select(corrupt.alias(CORRUPT), F.struct(*[F.col("_p")[f.name].alias(f.name) for f in element.fields]).alias("_f"), DOC, *lineage) \
+               .select(F.when(F.col(CORRUPT).isNull(), F.col("_f")).alias("feature"), CORRUPT, DOC, *lineage)
 
 
 def stream_collection_lines(spark: SparkSession, path: str, schema: T.StructType,
@@ -165,15 +225,7 @@ def stream_collection_lines(spark: SparkSession, path: str, schema: T.StructType
     """Stream (or, with ``streaming=False``, read) FeatureCollection files
     line by line, split across tasks: see ``collection_line_features``. The
     result has the shape ``plans.flows.stage`` accepts."""
-    if streaming:
-        reader = spark.readStream.format("text")
-        if max_files:
-            reader = reader.option("maxFilesPerTrigger", int(max_files))
-    else:
-        reader = spark.read.format("text")
-    raw = _with_file_metadata(reader.load(path)) \
-        .withColumn(BLOCK_START, F.col("_metadata.file_block_start"))
-    return collection_line_features(raw, schema)
+    return collection_line_features(numbered_lines(_text_reader(spark, path, streaming, False, max_files)), schema)
 
 
 def stream_variant(spark: SparkSession, path: str, col: str = "doc",

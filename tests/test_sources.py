@@ -5,7 +5,8 @@ import json
 from pyspark.sql import functions as F
 
 from contract_lake.contract import Property, read_schema
-from contract_lake.sources.documents import CORRUPT, read_features, stream_collection_lines
+from contract_lake.sources.documents import (CORRUPT, read_features, stream_collection_lines, stream_feature_lines,
+                                              stream_features)
 
 PROPS = (Property("feature_id", "feature.id", "string"), Property("a", "feature.properties.a", "long"))
 SCHEMA = read_schema(PROPS, feature_lines=True)
@@ -92,13 +93,75 @@ def test_compact_headers_and_closers(spark, tmp_path):
     assert all(r[CORRUPT] is None for r in rows)
 
 
-def test_ambiguous_header_line_is_quarantined(spark, tmp_path):
-    # a header line whose first feature ends in "]}" (a bbox) cannot be told
-    # from a whole collection: it is kept as a corrupt record, not dropped
+def _id_rows(spark, path):
+    rows = _read(spark, path).collect()
+    return sorted(r["id"] for r in rows if r["id"] is not None), [r[CORRUPT] for r in rows if r[CORRUPT] is not None]
+
+
+def test_header_line_with_a_feature_that_ends_like_a_collection(spark, tmp_path):
     first = dict(_feature(0), bbox=[0, 0, 1, 1])
     (tmp_path / "d.geojson").write_text(
         '{"type": "FeatureCollection", "features": [' + json.dumps(first) + ",\n"
         + json.dumps(_feature(1)) + "\n]}\n")
-    rows = _read(spark, tmp_path).collect()
-    assert sorted(r["id"] for r in rows if r["id"] is not None) == ["1"]
-    assert sum(r[CORRUPT] is not None for r in rows) == 1
+    assert _id_rows(spark, tmp_path) == (["0", "1"], [])
+
+
+def test_several_features_on_a_line(spark, tmp_path):
+    f = [json.dumps(_feature(i)) for i in range(5)]
+    (tmp_path / "a.geojson").write_text('{"type": "FeatureCollection",\n"features": [\n' + f[0] + ", " + f[1] + ",\n" + f[2] + "\n]}\n")
+    (tmp_path / "b.geojson").write_text('{"type": "FeatureCollection",\n"features": [' + f[3] + ", " + f[4] + "]\n}\n")
+    assert _id_rows(spark, tmp_path) == (list("01234"), [])
+
+
+def test_a_feature_over_several_member_lines_is_quarantined(spark, tmp_path):
+    one = '{\n"id": "1",\n"properties": {"a": 1},\n"geometry": null\n}'
+    (tmp_path / "a.geojson").write_text('{"type": "FeatureCollection", "features": [\n' + one + ",\n" + one + "\n]}\n")
+    ids, corrupt = _id_rows(spark, tmp_path)
+    assert ids == [] and len(corrupt) == 6
+    (tmp_path / "a.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [_feature(1)]}, indent=4))
+    ids, corrupt = _id_rows(spark, tmp_path)
+    assert ids == [] and any('"id": "1"' in c for c in corrupt)
+
+
+def test_what_follows_a_value_is_noticed(spark, tmp_path):
+    whole = json.dumps({"type": "FeatureCollection", "features": [_feature(1)]})
+    (tmp_path / "a.geojson").write_text(whole[:-1] + ', "extra": [1]}\n' + json.dumps(_feature(2)) + " junk\n" + whole + whole + "\n")
+    ids, corrupt = _id_rows(spark, tmp_path)
+    assert ids == [] and len(corrupt) == 3
+
+
+def _documents(spark, path, multi_line):
+    rows = stream_features(spark, str(path), read_schema(PROPS), multi_line=multi_line, streaming=False).collect()
+    ids = sorted((r["_doc"], [f["id"] for f in r["features"]]) for r in rows if r[CORRUPT] is None and r["features"] is not None)
+    return ids, [r[CORRUPT] for r in rows if r[CORRUPT] is not None]
+
+
+def test_whole_files_hold_documents_in_any_layout(spark, tmp_path):
+    doc = lambda *i: {"type": "FeatureCollection", "features": [_feature(k) for k in i]}
+    layouts = {"indented": json.dumps(doc(1, 2), indent=4), "lines": "\n".join(json.dumps(doc(k)) for k in range(10)) + "\n",
+               "array": json.dumps([doc(1), doc(2)], indent=1), "empty": json.dumps(doc()), "blank": " \n", "none": "[]"}
+    expected = {"indented": [(0, ["1", "2"])], "lines": [(k, [str(k)]) for k in range(10)], "array": [(0, ["1"]), (1, ["2"])],
+                "empty": [(0, [])], "blank": [], "none": []}
+    for name, text in layouts.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.json").write_text("\ufeff" + text)
+        assert _documents(spark, tmp_path / name, True) == (expected[name], []), name
+    for name, text in {"junk": json.dumps(doc(1)) + " junk", "two": json.dumps(doc(1)) + json.dumps(doc(2)), "broken": "{oops",
+                       "number": "17", "type": '{"features":5}'}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.json").write_text(text)
+        assert _documents(spark, tmp_path / name, True) == ([], [text]), name
+        assert _documents(spark, tmp_path / name, False) == ([], [text]), name
+    assert _documents(spark, tmp_path / "lines", False) == ([(0, [str(k)]) for k in range(10)], [])
+
+
+def test_lines_keep_their_order_across_splits(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text("\n".join(json.dumps(_feature(i)) for i in range(5000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        rows = stream_feature_lines(spark, str(tmp_path), SCHEMA, streaming=False) \
+            .orderBy("_block_start", "_line", "_doc").select("feature.id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [int(r.id) for r in rows] == list(range(5000))
