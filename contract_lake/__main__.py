@@ -1,8 +1,9 @@
 """Command line: ``python -m contract_lake <command> --contract FILE ...``
 
   gate     check every entry's source folder; print failures, exit 1 if any
-  run      gate, then ingest every entry (availableNow) into its landing log
-  history  print the current version count per entry from the landing logs
+  run      gate, ingest every entry (availableNow) into its landing log, and
+           bring its history table up to date
+  history  print the current version count of every entry's history table
 
 Paths may be any Hadoop path; the contract is read with Spark, so it may live
 next to the data. Spark settings come from ``spark-submit``.
@@ -28,7 +29,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--contract", required=True, help="contract YAML path")
     parser.add_argument("--source-root", required=True, help="folder holding one folder per entry")
     parser.add_argument("--output-root", required=True, help="landing logs and checkpoints")
-    parser.add_argument("--max-files", type=int, default=1, help="files per micro-batch (0: no limit)")
+    parser.add_argument("--max-files", type=int, default=0, help="files per micro-batch (0: no limit)")
+    parser.add_argument("--document-lines", action="store_true", help="sources hold one document per line (read split)")
     parser.add_argument("--feature-lines", action="store_true", help="sources hold one feature per line")
     parser.add_argument("--collection-lines", action="store_true",
                         help="sources are FeatureCollections laid out one feature per line (read split)")
@@ -44,12 +46,11 @@ def main(argv: list[str] | None = None) -> int:
             print("gate passed")
         elif args.command == "run":
             ingest.run_all(spark, contract, args.source_root, args.output_root,
-                           max_files=args.max_files or None, log=log,
+                           max_files=args.max_files or None, log=log, multi_line=not args.document_lines,
                            feature_lines=args.feature_lines, collection_lines=args.collection_lines)
         else:
             for entry in contract.entries:
-                landing = ingest.paths_for(entry, args.source_root, args.output_root).landing
-                hist = ingest.history_from_landing(spark, entry, landing)
+                hist = ingest.read_history(spark, ingest.paths_for(entry, args.source_root, args.output_root).history)
                 print(entry.name, hist.filter("is_current").count())
     except GateError as exc:
         print(exc, file=sys.stderr)

@@ -67,6 +67,11 @@ class Entry:
     folder: str | None = None
     volume: str | None = None
     sequence_by: str | None = None
+    #: Columns whose change opens a version (None: all), the condition of a
+    #: tombstone, and whether fractions are cut for integer properties.
+    track: tuple[str, ...] | None = None
+    delete_when: str | None = None
+    truncate: bool = False
 
     @property
     def property_names(self) -> list[str]:
@@ -109,7 +114,9 @@ def contract_from_dict(doc: dict[str, Any]) -> Contract:
         entries.append(Entry(name=name, key=item["key"], properties=props,
                              source=item.get("source"), table_name=item.get("table_name"),
                              folder=item.get("folder"), volume=item.get("volume"),
-                             sequence_by=item.get("sequence_by")))
+                             sequence_by=item.get("sequence_by"),
+                             track=tuple(item["track"]) if item.get("track") else None,
+                             delete_when=item.get("delete_when"), truncate=bool(item.get("truncate"))))
     return Contract(entries=tuple(entries), servers=dict(doc.get("servers") or {}))
 
 

@@ -111,21 +111,25 @@ def validate_manifest(manifest: DataFrame, as_of, expected_datasets: DataFrame |
 
 
 class GateError(RuntimeError):
-    """Raised by :func:`gate`; ``failures`` holds the reported rows."""
+    """Raised by :func:`gate`; ``failures`` holds the rows named in the
+    message, ``n_failures`` counts all."""
 
-    def __init__(self, message: str, failures: list):
+    def __init__(self, message: str, failures: list, n_failures: int):
         super().__init__(message)
-        self.failures = failures
+        self.failures, self.n_failures = failures, n_failures
 
 
-def gate(failures: DataFrame, max_report: int = 20) -> bool:
+def gate(failures: DataFrame, report: str | None = None, max_shown: int = 20) -> bool:
     """V7: True when there is no failure row; otherwise raise before any
-    stream starts, naming at most ``max_report`` failures (the limit bounds the
-    report, not the check)."""
-    rows = failures.limit(max_report + 1).collect()
-    if not rows:
+    stream starts. Every failure is written under ``report`` (JSON lines) if
+    it is given; the message has their number and names the first few."""
+    if report is not None:
+        failures.write.mode("errorifexists").json(report)
+        failures = failures.sparkSession.read.schema(failures.schema).json(report)
+    n = failures.count()
+    if not n:
         return True
-    shown = rows[:max_report]
+    shown = failures.orderBy("check", "dataset", "name", "path").limit(max_shown).collect()
     lines = [f"{r['check']}: {r['dataset']}/{r['name'] or ''} {r['detail'] or ''}".strip() for r in shown]
-    more = " (more not shown)" if len(rows) > max_report else ""
-    raise GateError("source file validation failed" + more + ":\n" + "\n".join(lines), shown)
+    where = f", all in {report}" if report else ""
+    raise GateError(f"source file validation failed: {n} failures{where}; first {len(shown)}:\n" + "\n".join(lines), shown, n)

@@ -14,13 +14,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contract import Property
+from ..contract import Property, read_schema
 from ..functions.columns import validity_rule
 from ..operators import cdc, drift, files, observe, quality
 from ..operators.features import explode_features, flatten_features, tag_changes
 from ..operators.projection import project_by_contract
 from ..session import work_dir
 from ..sinks.files import write_log_rows, write_metrics
+from ..sources.documents import read_features, stream_features
+from ..sources.manifest import empty_manifest, scan_manifest
 from ..sources.opslog import read_logs, read_metrics
 from . import fixtures as fx
 from . import flows
@@ -74,12 +76,22 @@ TYPED_PROPERTIES = (
 
 
 def q_typed_casts(spark, sf):
-    docs = fx.event_documents_text(fx.table(spark, sf, "events"))
+    """P4 on JSON numbers and booleans as a file delivers them; fractions are
+    cut off for integers, as the reference's cast of inferred numbers does."""
+    path = fx.write_typed_documents(fx.table(spark, sf, "events"), work_dir(spark, "typed_docs"))
+    docs = stream_features(spark, path, read_schema(TYPED_PROPERTIES), multi_line=False, streaming=False)
     feats = explode_features(docs, keep=[])
-    out = project_by_contract(feats, TYPED_PROPERTIES, with_cast_failures=True)
+    out = project_by_contract(feats, TYPED_PROPERTIES, with_cast_failures=True, truncate=True)
     return out.withColumn("cast_failed", F.array_join("_cast_failures", ",")).drop("_cast_failures")
 
 
+def q_batch_inference(spark, sf):
+    """S4 + S7: documents read as a batch, types inferred from the files."""
+    path = fx.write_event_documents(fx.table(spark, sf, "events"), work_dir(spark, "inferred_docs"))
+    flat = flatten_features(read_features(spark, path, multi_line=False))
+    return flat.select("id", "type", F.element_at("coordinates", 1).alias("x"), "user_id", "event_type", "value", F.col("props.k").alias("k"))
+
+
 def q_tag_changes(spark, sf):
     docs = tag_changes(fx.event_documents(fx.table(spark, sf, "events")), "UPDATE")
     rows = explode_features(docs, keep=[])
@@ -194,6 +206,30 @@ def q_gate_failures(spark, sf):
     return files.validate_manifest(m, AS_OF_ORDERS)
 
 
+def q_folder_gate(spark, sf):
+    """S10 + V2 + V7 on real folders: customer names, one folder and file a
+    nation, and one folder that is missing. Every failure is in the report the
+    gate leaves, however many its message names."""
+    root, report = work_dir(spark, "gate_in"), work_dir(spark, "gate_report")
+    fx.table(spark, sf, "customer").select("c_nationkey", F.col("c_name").alias("value")) \
+        .repartition("c_nationkey").write.partitionBy("c_nationkey").text(root)
+    manifest, failures = empty_manifest(spark), []
+    for nation in range(26):  # nations are 0 to 24
+        folder = f"{root}/c_nationkey={nation}"
+        try:
+            manifest = manifest.unionByName(scan_manifest(spark, folder, f"nation{nation}"))
+        except FileNotFoundError:
+            failures.append(files.unreachable_row(spark, f"nation{nation}", folder, "cannot list"))
+    found = files.validate_manifest(manifest, F.current_timestamp(), min_kb=200)
+    for row in failures:
+        found = found.unionByName(row)
+    try:
+        files.gate(found, report)
+    except files.GateError:
+        pass
+    return spark.read.schema(found.schema).json(report).select("dataset", "check", "detail")
+
+
 # ---- change data capture ---------------------------------------------------------
 
 def _events_history(spark, sf, track=("event_type",), delete_when=None):
@@ -230,6 +266,19 @@ def q_scd2_hot_user(spark, sf):
                     max_rows_per_segment=256).select(*HIST_COLS)
 
 
+def q_scd2_bursty_user(spark, sf):
+    """C1 + C5 when a hot key's rows come in one burst: every third event is
+    given to user 0, and 99 of 100 of these fall within a fraction of a second.
+    Bounds are quantiles, so the burst is cut like the rest."""
+    ev = fx.table(spark, sf, "events")
+    hot, burst = F.col("event_id") % 3 == 0, F.col("event_id") % 100 != 0
+    at = F.expr("TIMESTAMP_NTZ'2024-01-10 00:00:00' + make_dt_interval(0, 0, 0, event_id / 1000000.0BD)")
+    ev = ev.withColumn("ts", F.when(hot & burst, at).otherwise(F.col("ts"))) \
+           .withColumn("user_id", F.when(hot, F.lit(0).cast("long")).otherwise(F.col("user_id")))
+    return cdc.scd2(ev, "user_id", "ts", tie_break=["event_id"], track=["event_type"],
+                    max_rows_per_segment=256).select(*HIST_COLS)
+
+
 def q_scd2_batch_stamp(spark, sf):
     """C1 + C3 with the kind of sequence the reference uses: one stamp shared
     by every row of a delivery (here the event's day), ties broken by
@@ -368,6 +417,9 @@ def queries() -> dict[str, Query]:
         "scd2_segmented": q_scd2_segmented,
         "scd2_batch_stamp": q_scd2_batch_stamp,
         "scd2_hot_user": q_scd2_hot_user,
+        "scd2_bursty_user": q_scd2_bursty_user,
+        "folder_gate": q_folder_gate,
+        "batch_inference": q_batch_inference,
         "scd_current": q_scd_current,
         "scd2_as_of": q_scd2_as_of,
         "scd2_deletes": q_scd2_deletes,

@@ -62,23 +62,19 @@ def write_event_documents(events: DataFrame, path: str, per_doc: int = FEATURES_
     return path
 
 
-def event_documents_text(events: DataFrame, per_doc: int = FEATURES_PER_DOC) -> DataFrame:
-    """The same documents with every property as JSON text, the way a JSON
-    file delivers them, so typed casts go through text."""
+def write_typed_documents(events: DataFrame, path: str, per_doc: int = FEATURES_PER_DOC) -> str:
+    """The same documents as JSON lines with numbers and booleans as such."""
     feature = F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.struct(F.lit("Point").alias("type"),
                  F.array(F.col("value"), F.col("user_id").cast("double")).alias("coordinates")).alias("geometry"),
-        F.struct(F.col("user_id").cast("string").alias("user_id"),
-                 F.col("event_type"),
-                 F.col("ts").cast("string").alias("ts"),
-                 F.col("value").cast("string").alias("value"),
-                 F.col("props"),
-                 (F.col("event_type") == F.lit("error")).cast("string").alias("is_error")).alias("properties"),
+        F.struct("user_id", "event_type", "ts", "value", F.parse_json("props").alias("props"),
+                 (F.col("event_type") == F.lit("error")).alias("is_error")).alias("properties"),
     )
     block = F.floor(F.col("event_id") / F.lit(per_doc))
-    return events.groupBy(F.col("user_id").alias("doc_user"), block.alias("doc_block")) \
-                 .agg(F.array_sort(F.collect_list(feature)).alias("features"))
+    events.groupBy(F.col("user_id").alias("doc_user"), block.alias("doc_block")).agg(F.collect_list(feature).alias("features")) \
+        .write.option("timestampNTZFormat", JSON_TIME_FORMAT).json(path)
+    return path
 
 
 def write_event_feature_lines(events: DataFrame, path: str) -> str:
@@ -116,6 +112,31 @@ def write_event_collection_lines(events: DataFrame, path: str,
     return path
 
 
+def write_event_layouts(events: DataFrame, path: str, layouts: tuple[str, ...], per_doc: int = FEATURES_PER_DOC) -> str:
+    """FeatureCollection files of one block of ``per_doc`` ids each, features
+    in id order, block b in layout ``layouts[b mod n]``: ``one_line`` (all in
+    one line), ``lines`` (a feature a line), ``pairs`` (two a line), ``inline``
+    (the array on the header's line) or ``indented``."""
+    block = F.floor(F.col("event_id") / F.lit(per_doc))
+    feature = event_feature().withField("properties.props", F.parse_json(F.col("props")))
+    feature = feature.withField("properties.doc_key", F.concat_ws("-", block.cast("string"), F.col("user_id").cast("string")))
+    times = {"timestampNTZFormat": JSON_TIME_FORMAT}
+    rows = F.array_sort(F.collect_list(F.struct("event_id", F.to_json(feature, times).alias("j"), F.to_json(feature, times | {"pretty": "true"}).alias("p"))))
+    docs = events.groupBy(block.alias("b")).agg(rows.alias("r"))
+    texts = F.transform("r", lambda x: x["j"])
+    head, kind = F.lit('{"type": "FeatureCollection", "features": ['), F.get(F.array(*map(F.lit, layouts)), (F.col("b") % len(layouts)).cast("int"))
+    lines = lambda body: F.concat(F.lit('{\n"type": "FeatureCollection",\n"name": "events",\n"features": [\n'), body, F.lit("\n]\n}"))
+    pairs = F.array_join(F.transform("r", lambda x, i: F.concat(x["j"], F.when(i % 2 == 0, ", ").otherwise(",\n"))), "")
+    text = (F.when(kind == "one_line", F.concat(head, F.array_join(texts, ", "), F.lit("]}")))
+            .when(kind == "lines", lines(F.array_join(texts, ",\n")))
+            .when(kind == "pairs", lines(F.regexp_replace(pairs, r",\s*$", "")))
+            .when(kind == "inline", F.concat(F.lit('{"type": "FeatureCollection",\n"features": ['), F.array_join(texts, ", "), F.lit("]\n}")))
+            .when(kind == "indented", F.concat(F.lit('{\n"type" : "FeatureCollection",\n"features" : [\n'),
+                                               F.array_join(F.transform("r", lambda x: x["p"]), ",\n"), F.lit("\n]\n}"))))
+    docs.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
 # The contract entry the event queries run under (ours: the reference's own
 # contract file is not part of it). ``ts`` uses the opt-in timestamp_ntz type.
 EVENTS_ENTRY = Entry(

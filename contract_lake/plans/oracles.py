@@ -104,12 +104,12 @@ SELECT CAST(event_id AS VARCHAR) AS id, 'Point' AS type, value AS x, CAST(user_i
 
     "typed_casts": """
 SELECT user_id, value AS value_double, CAST(value AS FLOAT) AS value_float,
-       CAST(NULL AS INTEGER) AS value_int,
+       CAST(trunc(value) AS INTEGER) AS value_int,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
        CAST(json_extract_string(props, '$.k') AS BIGINT) AS k_long,
        event_type = 'error' AS is_error, event_type, event_type AS event_type_default,
        CAST(NULL AS INTEGER) AS absent, CAST(NULL AS DOUBLE) AS no_source,
-       'value_int' AS cast_failed
+       '' AS cast_failed
 FROM events""",
 
     "tag_changes": """
@@ -247,8 +247,49 @@ FROM (SELECT unnest(json_keys(props)) AS field FROM events) GROUP BY field""",
     "stream_collection_lines": ENTRY_HISTORY,
     "variant_projection": CONTRACT_PROJECTION,
     "stream_quarantine": f"""WITH {KEYED_DOCS}
-SELECT feature_id, doc_id, lang, source, 'valid_id' AS validation_rule_failed
+SELECT feature_id, doc_id, lang, source,
+       'feature_id IS NOT NULL AND TRIM(feature_id) != ''''' AS validation_rule_failed,
+       'valid_id' AS validation_rule_name, true AS stamped
 FROM kd WHERE NOT coalesce({DOC_OK}, false)""",
+    "scd2_bursty_user": scd2_sql(
+        "evb", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS,
+        ctes="evb AS (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN CAST(0 AS BIGINT) ELSE user_id END AS user_id, "
+             "CASE WHEN event_id % 3 = 0 AND event_id % 100 <> 0 "
+             "THEN TIMESTAMP '2024-01-10 00:00:00' + to_microseconds(event_id) ELSE ts END AS ts) FROM events)"),
+    "batch_inference": """
+SELECT CAST(event_id AS VARCHAR) AS id, 'Point' AS type, value AS x, user_id, event_type, value,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
+    "folder_gate": """
+WITH f AS (SELECT c_nationkey AS n, sum(length(c_name) + 1) AS size FROM customer GROUP BY 1)
+SELECT 'nation' || CAST(n AS VARCHAR) AS dataset, 'small_file' AS "check",
+       printf('%.2f KB < %s KB', round(size / 1024.0, 2), '200') AS detail
+FROM f WHERE round(size / 1024.0, 2) < 200
+UNION ALL
+SELECT 'nation' || CAST(i AS VARCHAR), 'unreachable', 'cannot list' FROM range(26) t(i)
+WHERE i NOT IN (SELECT n FROM f)""",
+    "scd2_maintained_deletes": scd2_sql("ev5", "user_id", "ts", ["feature_id"], "event_type", None, ENTRY_COLS,
+                                        ctes=EVENT_ROWS + ", ev5 AS (SELECT * FROM ev WHERE user_id % 5 <> 0)"),
+    "changeset_roundtrip": f"""WITH {EVENT_ROWS}
+SELECT feature_id, user_id, event_type, value, k, 'UPDATE' AS change FROM ev""",
+    "stream_whole_files": ENTRY_HISTORY,
+    "collection_lines_mixed": """
+SELECT CAST(event_id AS VARCHAR) AS feature_id,
+       CASE WHEN (event_id // 256) % 4 = 3 THEN 'quarantined' ELSE 'landed' END AS status FROM events""",
+    "scd2_processing_time": """
+WITH r AS (
+  SELECT CAST(event_id // 4096 AS VARCHAR) || '-' || CAST(user_id AS VARCHAR) AS doc_key, event_id, event_type, value,
+         row_number() OVER (PARTITION BY event_id // 4096, user_id ORDER BY event_id DESC) AS n
+  FROM events)
+SELECT reader, doc_key, CAST(event_id AS VARCHAR) AS feature_id, event_type, value, true AS is_current
+FROM r, (VALUES ('whole'), ('lines')) v(reader) WHERE n = 1""",
+    "stream_evolved_contract": scd2_sql(
+        "eve", "user_id", "ts", ["feature_id"], "event_type", None, ENTRY_COLS,
+        ctes=EVENT_ROWS + ", eve AS (SELECT * REPLACE (CASE WHEN user_id % 2 = 1 THEN value END AS value, "
+                          "CASE WHEN user_id % 2 = 1 THEN k END AS k) FROM ev)"),
+    "run_all_history": f"""
+SELECT 'events' AS entry, CAST(user_id AS VARCHAR) AS key, event_type AS label, feature_id, is_current FROM ({ENTRY_HISTORY})
+UNION ALL
+SELECT 'documents', feature_id, lang, feature_id, true FROM (WITH {KEYED_DOCS} SELECT * FROM kd WHERE {DOC_OK})""",
     "ingest_counts": """
 SELECT 'rows_in' AS metric_name, count(*) AS total FROM events
 UNION ALL SELECT 'rows_passed', count(*) FROM events

@@ -78,8 +78,9 @@ def test_corrupt_document_goes_to_quarantine(spark, tmp_path):
     assert len(bad) == 2
     corrupt = [r for r in bad if r._corrupt_record is not None]
     assert len(corrupt) == 1 and corrupt[0]._source_file.endswith("broken.json")
-    assert {r.validation_rule_failed for r in bad} == {"valid_id,sequence_present"} | {"valid_id"}
-    assert {r.validation_rule_text for r in bad} >= {"feature_id IS NOT NULL AND TRIM(feature_id) != ''"}
+    assert {r.validation_rule_name for r in bad} == {"valid_id,text_parsed,sequence_present"} | {"valid_id"}
+    assert {r.validation_rule_failed for r in bad} >= {"feature_id IS NOT NULL AND TRIM(feature_id) != ''"}
+    assert all(r.quarantine_timestamp is not None for r in bad)
     good = ingest.read_landing(spark, paths.landing, 1).collect()
     assert [r.feature_id for r in good] == ["a"]
 
@@ -90,7 +91,7 @@ def test_one_file_per_trigger_and_batch_metrics(spark, tmp_path):
     paths = _paths(tmp_path, src)
     q = ingest.run_entry(spark, ENTRY, paths, max_files=1)
     assert sum(1 for p in q.recentProgress if p.numInputRows > 0) == 3
-    m = ingest.batch_metrics(spark, q).collect()
+    m = ingest.batch_metrics(spark, paths.landing).collect()
     by_name = {}
     for r in m:
         by_name[r.metric_name] = by_name.get(r.metric_name, 0) + r.value
@@ -288,3 +289,76 @@ def test_a_failing_stream_stops_the_others(spark, tmp_path):
     with pytest.raises(Exception, match="bad batch"):
         ingest.await_queries(spark, [failing, endless], poll_seconds=0.5)
     assert not endless.isActive and not failing.isActive
+
+
+def test_a_changeset_comes_back_whole_with_the_defaults(spark, tmp_path):
+    from contract_lake.operators.features import tag_changes
+    from contract_lake.sinks.files import write_changeset
+    docs = spark.createDataFrame([([_feature(f"k{i}", i, "x")],) for i in range(10)],
+                                 "features array<struct<id:string,geometry:struct<type:string,coordinates:array<double>>,"
+                                 "properties:struct<v:string,n:int,seq:long>>>").coalesce(1)
+    src = write_changeset(tag_changes(docs, "UPDATE"), f"{tmp_path}/changes")
+    paths = _paths(tmp_path, src)
+    ingest.run_entry(spark, ENTRY, paths)
+    assert ingest.read_landing(spark, paths.landing, 1).count() == 10
+    assert ingest.read_landing(spark, paths.landing, 0).count() == 0
+
+
+def test_counts_of_many_batches_are_exact(spark, tmp_path):
+    src = f"{tmp_path}/src"
+    _write_docs(src, [_doc([_feature(f"k{i}", i, "x")]) for i in range(130)], pretty=False)
+    paths = _paths(tmp_path, src)
+    query = ingest.run_entry(spark, ENTRY, paths, max_files=1, wait=False)
+    query.awaitTermination()
+    rows = [r for r in ingest.batch_metrics(spark, paths.landing).collect() if r.metric_name == "rows_in"]
+    assert len(rows) == 130 and sum(r.value for r in rows) == 130
+
+
+def _upkeep(spark, paths, **how):
+    ingest.maintain_history(spark, ENTRY, paths.landing, paths.history, paths.history_checkpoint, **{"n_buckets": 4, "track": ["v"]} | how).awaitTermination()
+
+
+def test_an_emptied_bucket_shows_nothing_and_others_keep_their_files(spark, tmp_path):
+    src = f"{tmp_path}/src"
+    _write_docs(src, [_doc([_feature(f"k{i}", 1, "a") for i in range(12)])])
+    paths = ingest.EntryPaths(src, f"{tmp_path}/landing", f"{tmp_path}/c", f"{tmp_path}/history", f"{tmp_path}/hc")
+    ingest.run_entry(spark, ENTRY, paths)
+    _upkeep(spark, paths, delete_when="v = 'gone'")
+    bucket = {r.feature_id: r.b for r in ingest.read_history(spark, paths.history).select("feature_id", ingest.key_bucket("feature_id", 4).alias("b")).collect()}
+    gone = [k for k in bucket if bucket[k] == bucket["k0"]]
+    before = set(ingest.read_history(spark, paths.history).inputFiles())
+    _write_docs(src, [])
+    with open(f"{src}/late.json", "w") as fh:
+        json.dump(_doc([_feature(k, 1, "gone") for k in gone]), fh)
+    ingest.run_entry(spark, ENTRY, paths)
+    _upkeep(spark, paths, delete_when="v = 'gone'")
+    after = ingest.read_history(spark, paths.history)
+    assert {r.feature_id for r in after.collect()} == set(bucket) - set(gone)
+    assert set(after.inputFiles()) < before
+    with pytest.raises(ValueError, match="4 key buckets"):
+        _upkeep(spark, paths, n_buckets=8)
+
+
+def test_every_gate_failure_is_kept(spark, tmp_path):
+    from pyspark.sql import functions as F
+    failures = spark.range(50).select(F.lit("d").alias("dataset"), F.concat(F.lit("f"), F.col("id")).alias("name"), F.lit(None).cast("string").alias("path"),
+                                      F.lit("small_file").alias("check"), F.lit("x").alias("detail"))
+    with pytest.raises(files.GateError, match="50 failures") as err:
+        files.gate(failures, f"{tmp_path}/report")
+    assert err.value.n_failures == 50 and len(err.value.failures) == 20
+    assert spark.read.json(f"{tmp_path}/report").count() == 50
+
+
+def test_a_property_added_later_shows_in_the_landing_log(spark, tmp_path):
+    from dataclasses import replace
+    src = f"{tmp_path}/src"
+    paths = _paths(tmp_path, src)
+    _write_docs(src, [_doc([_feature("a", 1, "x")])])
+    ingest.run_entry(spark, replace(ENTRY, properties=ENTRY.properties[:2] + ENTRY.properties[3:]), paths)
+    with open(f"{src}/late.json", "w") as fh:
+        json.dump(_doc([_feature("b", 2, "y", n=7)]), fh)
+    ingest.run_entry(spark, ENTRY, paths)
+    rows = ingest.read_landing(spark, paths.landing, 1, ENTRY).orderBy("feature_id").collect()
+    assert [(r.feature_id, r.n) for r in rows] == [("a", None), ("b", 7)]
+    hist = ingest.history_from_landing(spark, ENTRY, paths.landing)
+    assert "n" in hist.columns and hist.count() == 2
