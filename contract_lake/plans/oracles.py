@@ -154,14 +154,15 @@ WITH c AS (
   SELECT count(o_orderkey) AS n_key, count(o_orderstatus) AS n_status,
          count(*) FILTER (WHERE o_orderstatus IS NOT NULL AND upper(trim(o_orderstatus))
              NOT IN ('T', 'TRUE', 'Y', 'YES', '1', 'F', 'FALSE', 'N', 'NO', '0')) AS f_status,
-         count(o_totalprice) AS n_price, count(o_orderdate) AS n_date, count(o_orderpriority) AS n_prio
+         count(o_totalprice) AS n_price,
+         count(*) FILTER (WHERE o_totalprice <> trunc(o_totalprice)) AS f_price, count(o_orderdate) AS n_date, count(o_orderpriority) AS n_prio
   FROM orders)
 SELECT 'o_orderkey' AS "column", 'bigint' AS expected_type, 'string' AS actual_type, 'ok' AS issue,
        n_key AS n_present, CAST(0 AS BIGINT) AS n_cast_failed FROM c
 UNION ALL SELECT 'o_orderstatus', 'boolean', 'string', CASE WHEN f_status > 0 THEN 'cast_failures' ELSE 'ok' END,
        n_status, f_status FROM c
-UNION ALL SELECT 'o_totalprice', 'int', 'string', CASE WHEN n_price > 0 THEN 'cast_failures' ELSE 'ok' END,
-       n_price, n_price FROM c
+UNION ALL SELECT 'o_totalprice', 'int', 'string', CASE WHEN f_price > 0 THEN 'cast_failures' ELSE 'ok' END,
+       n_price, f_price FROM c
 UNION ALL SELECT 'o_orderdate', 'string', 'string', 'unknown_type', n_date, 0 FROM c
 UNION ALL SELECT 'o_orderpriority', 'string', 'string', 'ok', n_prio, 0 FROM c
 UNION ALL SELECT 'o_clerk', 'string', NULL, 'missing', NULL, NULL FROM c
