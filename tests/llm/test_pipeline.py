@@ -1,11 +1,11 @@
 import corpus_pipeline
-from contract_lake.llm import packing, quality, simhash, suffixes, tokens
+from contract_lake.llm import quality, simhash
 from contract_lake.llm import queries as q
 from tests.llm.conftest import SCHEMA
 from tests.llm.test_suffixes import slow
 from tests.llm.test_tokens_packing import check_packing
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 def test_stages_against_their_parts(spark):
@@ -56,4 +56,3 @@ def test_every_operator_has_its_query():
     import __spark_entry__ as entry
     assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in entry.queries())] == []
     assert "pipeline" in entry.queries() and set(q.queries()) <= set(entry.queries())
-    assert (packing, suffixes, tokens)
