@@ -18,11 +18,18 @@ from contract_lake.session import work_dir
 
 
 _shipped: set[str] = set()
+#: Rows of an Arrow batch, unless the session says otherwise: 10,000 long texts
+#: (Spark's default) take a task hundreds of MB on either side.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+DEFAULT_ROWS, FEWER_ROWS = "10000", "2000"
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package's modules to the executors' Python, once an
-    application (what ``--py-files`` does by hand)."""
+    application (what ``--py-files`` does by hand); and let Arrow batches hold
+    fewer rows than Spark's default, if that is what is set."""
+    if spark.conf.get(BATCH_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(BATCH_ROWS, FEWER_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
