@@ -438,4 +438,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     from . import oracles
-    return oracles.ORACLES
+    return dict(oracles.ORACLES)
