@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract_lake.llm import langcrf, mixing, mtree, neighbours, packing, quality, simhash, suffixes, tokens, wrappers
+from contract_lake.llm import (alignment, langcrf, mixing, mtree, negatives, neighbours, packing, quality, simhash, suffixes, tokens, urlrules,
+                               wrappers)
 from contract_lake.llm.common import table
 
 
@@ -27,6 +28,32 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+OP11_SQL = """
+WITH whole AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum([a.v[i] * c.v[i] for i in range(1, len(a.v) + 1)]) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON c.vec_id <> a.vec_id AND len(c.v) = len(a.v)
+  WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
+
+#: The given URL rules of op13.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4).select(
@@ -72,12 +99,27 @@ def op10_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"), tokens.default_vocabulary("byte_bpe_50k.json"),
+                                tokens.default_vocabulary("piece_bpe_32k.model"))
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urlrules.judged(pages, urlrules.labelled_urls(pages, table(spark, sf_dir, "labels")), URL_RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash_near_dedup, op2_mtree_top_k, op3_token_counts, op4_suffix_dedup, op5_quality_pu, op6_embedding_near_dedup,
         op7_best_fit_packing,
-        op8_mix_sources, op9_language_crf, op10_wrapper_text)}
+        op8_mix_sources, op9_language_crf, op10_wrapper_text, op11_kronecker_negatives, op12_tokenizer_alignment, op13_url_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mtree_top_k": OP2_SQL}
+    return {"op2_mtree_top_k": OP2_SQL, "op11_kronecker_negatives": OP11_SQL}
