@@ -12,12 +12,15 @@ epochs is the pattern of elite sequences (their piece lengths): the next
 island builds them from its own pieces of those lengths, as another parent.
 
 After the epochs the sequences with room to spare are opened and their pieces
-move to fewer islands, until one is left or nothing has room: so every island's
-last, half-empty sequences are filled from each other's. An island is bounded,
-no task ever holds more than about one island's pieces.
+move to fewer islands, level by level, until one island is left or as many
+islands free no sequence: so every island's last, half-empty sequences are filled from
+each other's. An island is bounded (at four times ``island`` when levels
+merge), no task ever holds more than a few islands' pieces.
 
 Null and empty texts are one piece, the closing id. Repeated rows are packed
-each. Runs are seeded: the same rows give the same packing.
+each. Runs are seeded, and pieces are numbered in the order tasks read them:
+the same table cut into the same tasks gives the same packing, another cut
+another one as good.
 """
 
 from __future__ import annotations
@@ -135,13 +138,13 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(vocabulary)
+        end = np.zeros(1, np.uint32)
         for batch in batches:
             out: list[tuple] = []
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts), strict=True):
-                ids += bytes(4)
-                for at in range(0, len(ids), 4 * capacity):
-                    part = ids[at:at + 4 * capacity]
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encoded(batch.column("text")), strict=True):
+                octets = np.concatenate([ids, end]).astype("<u4").tobytes()
+                for at in range(0, len(octets), 4 * capacity):
+                    part = octets[at:at + 4 * capacity]
                     out.append((doc_id, at // (4 * capacity), at // 4, len(part) // 4, zlib.crc32(part)))
             if out:
                 yield batch_of(schema, *zip(*out, strict=True))
@@ -207,18 +210,19 @@ def packed(docs: DataFrame, vocabulary: str, capacity: int = 2048, island: int =
             F.pmod(F.col("island") + epoch, F.lit(n)).alias("island"), F.lit(None).cast("long").alias("bin"), "pattern")
         natives = state.select("item", "length", "island", "bin", F.lit(None).cast("array<long>").alias("pattern"))
         state = written(_on_islands(natives.union(immigrants), capacity, population, children, 1 + epoch * 1_000_003), "packing-epoch")
+    # Level by level: what is full stays, the pieces of roomy sequences meet on fewer islands.
     done, level = [], 0
     while n > 1:
-        roomy = F.col("fill") < FULL * capacity
-        done.append(state.where(~roomy).withColumn("level", F.lit(level)))
-        rest = state.where(roomy).select("item", "length")
-        left, level = rest.count(), level + 1
-        n = max(1, min(-(-n // merge), -(-left // island)))
-        if left > 4 * island * n:  # still too many for so few islands
-            n = -(-left // island)
-            if level > 8:
-                break
-        state = written(_on_islands(_dealt(rest, n, level), capacity, population, children, 1 + level * 7_000_003), "packing-merge")
+        done.append(state.where(F.col("fill") >= FULL * capacity).withColumn("level", F.lit(level)))
+        state = state.where(F.col("fill") < FULL * capacity)
+        left, before = state.agg(F.count("*"), F.count_if(F.col("offset") == 0)).first()
+        fewer = min(n, max(1, -(-n // merge), -(-left // (4 * island))))
+        merged = written(_on_islands(_dealt(state.select("item", "length"), fewer, level + 1), capacity, population, children, 1 + (level + 1) * 7_000_003), "packing-merge")
+        if merged.where("offset = 0").count() < before:
+            state, level = merged, level + 1
+        elif fewer == n:  # no sequence freed: they stay as they were
+            break
+        n = fewer
     done.append(state.withColumn("level", F.lit(level)))
     places = done[0]
     for more in done[1:]:

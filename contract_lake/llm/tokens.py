@@ -7,13 +7,15 @@ before it is an ASCII space or line break (which no token, merge or
 normalisation of these vocabularies crosses; the vocabulary's special strings
 hold none) and both agree on every token from there to the next such place.
 Without one, the overlap is doubled; when it has grown to the whole chunk, the
-chunk itself is lengthened, in the worst case to the whole text.
+chunk itself is doubled, in the worst case to the whole text, so that a text
+without such a place is encoded a few times over, not once for every chunk.
 
 Texts up to ``chunk`` characters are encoded part by part (the parts the
-library itself cuts a text into before it merges, or words between spaces) and
-distinct parts once: the memo is bounded and forgets what is no longer in use,
-so it changes speed, never results. ``Encoder`` refuses a vocabulary that does
-not part text this way.
+library itself cuts a text into before it merges, or words between spaces):
+a batch is lower-cased, parted and numbered by Arrow, distinct parts are looked
+up or encoded once, and their ids are gathered by number. The memo is bounded
+and forgets what is no longer in use, so it changes speed, never results.
+``Encoder`` refuses a vocabulary that does not part text this way.
 
 Null texts count as empty (no bytes, no tokens); repeated rows come back once
 each; columns other than ``doc_id`` and ``text`` are ignored.
@@ -27,15 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contract_lake.llm.common import arrow_map
+from contract_lake.llm.words import gathered, numbered, row_sums, slices
 
 CHUNK, OVERLAP = 1 << 16, 512
 MEMO_WORDS = 250_000
-#: Letters of texts whose words are looked up together.
-TOGETHER = 1 << 19
 BOUNDARY = " \n"
 
 _loaded: dict[str, Encoder] = {}
@@ -53,8 +55,10 @@ BYTE_LETTERS = _byte_letters()
 # How these vocabularies part lower-cased text, written for
 # texts of ASCII and the letters of Latin-1, which are the same in every
 # normal form; and what lies outside of them.
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^ \t-\r0-9a-z\u00df-\u00f6\u00f8-\u00ff]+")
-OUTSIDE = re.compile("[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]")
+LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+NOT_LETTERS = f"'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ \t-\r0-9{LETTERS}]+"
+PART = re.compile(f"[{LETTERS}]+|{NOT_LETTERS}")
+OUTSIDE = "[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]"
 
 
 class Encoder:
@@ -67,6 +71,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.outside = "|".join([OUTSIDE, *map(re.escape, self.specials)])
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         for text in ("Ab\u00c9c, d\n e's 12 --x?", "str\u00e4nge \u00d0\u00ff it'll (A1)\t'tis"):
@@ -79,24 +84,31 @@ class Encoder:
             _loaded[path] = Encoder(path)
         return _loaded[path]
 
-    def parts(self, text: str) -> list[str]:
-        """Pieces of a text that the library encodes by themselves: its own
-        parts for plain texts, else words between spaces or line breaks."""
-        if OUTSIDE.search(text) or any(s in text for s in self.specials):
-            return [w for w in text.replace("\n", " ").split(" ") if w]
-        return PARTS.findall(text.lower())
-
-    def learn(self, parts: set[str]) -> None:
-        """Put ``parts`` into the memo: ids as little-endian 32-bit numbers. A
-        full memo becomes the old one, from which parts still in use return."""
+    def parts(self, texts: pa.Array) -> pa.Array:
+        """Pieces of each text that the library encodes by themselves (and
+        empty ones), as a list column: its own parts for plain texts, else
+        words between spaces or line breaks."""
+        odd = pc.match_substring_regex(texts, self.outside)
+        if not pc.any(odd).as_py():
+            return pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts), f"({NOT_LETTERS})", r" \1 "))
+        words = pc.split_pattern(pc.replace_substring(pc.if_else(odd, texts, ""), "\n", " "), " ")
+        return pc.if_else(odd, words, self.parts(pc.if_else(odd, "", texts)))
+
+    def learned(self, parts: list[str]) -> list[bytes]:
+        """The ids of each of ``parts`` as little-endian 32-bit numbers, from
+        the memo or new. A full memo becomes the old one, from which parts
+        still in use return."""
         if len(self.memo) + len(parts) > MEMO_WORDS:
-            self.old, self.memo = self.memo, {}
-        fresh = parts.difference(self.memo)
-        self.memo.update({p: self.old[p] for p in fresh if p in self.old})
+            self.old, self.memo = self.memo, {"": b""}
+        self.memo.setdefault("", b"")
         rest = []
         bpe = self.library.model.tokenize
-        for part in fresh.difference(self.memo):
-            if part == part.lower() and PARTS.fullmatch(part) and not OUTSIDE.search(part) and not any(s in part for s in self.specials):
+        for part in parts:
+            if part in self.memo:
+                continue
+            if part in self.old:
+                self.memo[part] = self.old[part]
+            elif part == part.lower() and PART.fullmatch(part) and not re.search(self.outside, part):
                 # normalised and parted already: straight to the library's merges
                 name = part if part.isalnum() and part.isascii() else "".join(map(BYTE_LETTERS.__getitem__, part.encode()))
                 self.memo[part] = b"".join([t.id.to_bytes(4, "little") for t in bpe(name)])
@@ -106,31 +118,41 @@ class Encoder:
             some = rest[at:at + 4096]
             for part, found in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 self.memo[part] = np.array(found.ids, "<u4").tobytes()
+        return [self.memo[p] for p in parts]
+
+    def _looked_up(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For runs of the texts: row of the first, the ids of the distinct
+        parts, how many each has, the part of each occurrence, offsets."""
+        for first, some in slices(pc.fill_null(texts, "")):
+            parts, which, offsets = numbered(self.parts(some))
+            found = self.learned(parts)
+            lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            yield first, np.frombuffer(b"".join(found), "<u4"), lengths, which, offsets
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text (null: none)."""
+        out = np.zeros(len(texts), np.int64)
+        for first, _, lengths, which, offsets in self._looked_up(texts):
+            out[first:first + len(offsets) - 1] += row_sums(lengths[which], offsets)
+        return out
+
+    def encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text (null: none), whole, as 32-bit numbers."""
+        row, held = 0, []
+        for first, values, lengths, which, offsets in self._looked_up(texts):
+            ids = gathered(values, lengths, which)
+            edges = np.concatenate([[0], np.cumsum(row_sums(lengths[which], offsets))])
+            for k in range(len(offsets) - 1):
+                if first + k != row:
+                    yield np.concatenate(held)
+                    row, held = first + k, []
+                held.append(ids[edges[k]:edges[k + 1]])
+        if len(texts):
+            yield np.concatenate(held)
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, whole, as little-endian 32-bit numbers."""
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= TOGETHER):
-                size += len(texts[end])
-                end += 1
-            split = [self.parts(t) for t in texts[at:end]]
-            distinct = set().union(*split)
-            if len(distinct) > MEMO_WORDS // 2:  # more than the memo should hold at once
-                for parts in split:
-                    yield b"".join(self._in_turns(parts))
-            else:
-                self.learn(distinct)
-                for parts in split:
-                    yield b"".join(map(self.memo.__getitem__, parts))
-            at = end
-
-    def _in_turns(self, parts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(parts), MEMO_WORDS // 4):
-            some = parts[at:at + MEMO_WORDS // 4]
-            self.learn(set(some))
-            yield b"".join(map(self.memo.__getitem__, some))
+        """The ids of each text as little-endian 32-bit numbers."""
+        return (ids.astype("<u4").tobytes() for ids in self.encoded(pa.array(texts, pa.string())))
 
     def tokens(self, text: str, offset: int) -> list[tuple[int, int]]:
         """(start in the document, id) of each token of a chunk."""
@@ -164,7 +186,8 @@ def resynchronised(encoder: Encoder, text: str, chunk: int = CHUNK, overlap: int
         while True:
             start = max(begin, end - back)
             stop = min(len(text), end + chunk)
-            if start <= begin:  # nothing aligns in the whole chunk: lengthen it
+            if start <= begin:  # nothing aligns in the whole chunk: double it
+                stop = min(len(text), max(stop, 2 * end - begin))
                 kept = encoder.tokens(text[begin:stop], begin)
                 break
             more = encoder.tokens(text[start:stop], start)
@@ -193,12 +216,13 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048, chunk: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(vocabulary)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            short = encoder.ids([t if len(t) <= chunk else "" for t in texts])
-            counts = [len(resynchronised(encoder, t, chunk, overlap)) if len(t) > chunk else len(ids) // 4
-                      for t, ids in zip(texts, short, strict=True)]
+            texts = batch.column("text")
+            huge = pc.fill_null(pc.greater(pc.utf8_length(texts), chunk), False)
+            counts = encoder.counts(pc.if_else(huge, "", texts))
+            for row in np.flatnonzero(huge.to_numpy(zero_copy_only=False)).tolist():
+                counts[row] = len(resynchronised(encoder, texts[row].as_py(), chunk, overlap))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())],
+                [batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts), pa.array(counts > limit)],
                 schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long").alias("n_bytes"),

@@ -29,7 +29,7 @@ def test_memo_starts_over(monkeypatch):
     encoder = tokens.Encoder(VOCABULARY)
     texts = ["one two three four five", "six seven eight nine ten eleven twelve thirteen", "one two " * 20]
     assert [np.frombuffer(b, "<u4").tolist() for b in encoder.ids(texts)] == [library(t) for t in texts]
-    assert len(encoder.memo) <= 20
+    assert len(encoder.memo) <= 25
 
 
 def test_only_fitting_vocabularies_are_served():
@@ -72,6 +72,72 @@ def test_packing_of_edges(edge_docs, no_docs, island):
     assert packing.packed(no_docs, VOCABULARY).count() == 0
 
 
+@pytest.mark.parametrize("merge", [2, 8])
+def test_pieces_just_over_half_a_sequence_are_packed_once(spark, merge):
+    """No two fit together, so levels free nothing: merging ends and every
+    piece has one place."""
+    texts = [(i, "a b c d " * (8 if i % 5 else 9)) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = packing.packed(docs, VOCABULARY, capacity=64, island=4, merge=merge).collect()
+    assert len(rows) == len({(r.doc_id, r.piece) for r in rows})
+    assert check_packing(rows, texts, 64) == 400
+
+
+def test_many_levels_of_merging(spark):
+    """Islands of few pieces, halved level by level."""
+    chance = np.random.default_rng(3)
+    texts = [(i, " ".join(["word"] * int(n))) for i, n in enumerate(chance.integers(1, 40, 900))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    rows = packing.packed(docs, VOCABULARY, capacity=64, island=8, epochs=1, merge=2).collect()
+    used = check_packing(rows, texts, 64)
+    assert used <= 1.05 * -(-sum(r.length for r in rows) // 64) + 1
+
+
+def brute_fewest(lengths, capacity):
+    best = len(lengths)
+
+    def place(at, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if at == len(lengths):
+            best = len(bins)
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[at] <= capacity:
+                place(at + 1, [*bins[:k], bins[k] + lengths[at], *bins[k + 1:]])
+        place(at + 1, [*bins, lengths[at]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_small_packings_against_the_fewest_sequences(seed):
+    lengths = [int(x) for x in np.random.default_rng(seed).integers(5, 70, 9)]
+    bins = packing.evolve(lengths, 100, seed)
+    assert sorted(i for b in bins for i in b) == list(range(9))
+    assert len(bins) <= brute_fewest(lengths, 100)
+
+
+def test_a_run_without_spaces_is_encoded_a_few_times_over(monkeypatch):
+    encoder, seen = tokens.Encoder(VOCABULARY), []
+    whole = encoder.tokens
+    monkeypatch.setattr(encoder, "tokens", lambda text, offset: seen.append(len(text)) or whole(text, offset))
+    text = "ab," * 20_000
+    assert tokens.resynchronised(encoder, text, chunk=500, overlap=20) == library(text)
+    assert sum(seen) < 8 * len(text)
+
+
+def test_long_texts_are_looked_up_in_runs(monkeypatch):
+    cut = tokens.slices
+    monkeypatch.setattr(tokens, "slices", lambda texts: cut(texts, 64))
+    texts = [None, "", "one two  three " * 40, "x" * 300, "é ñ日本 " * 50, "short", "a  b\n c"]
+    encoder = tokens.Encoder.of(VOCABULARY)
+    assert [x.tolist() for x in encoder.encoded(tokens.pa.array(texts))] == [library(t or "") for t in texts]
+    assert encoder.counts(tokens.pa.array(texts)).tolist() == [len(library(t or "")) for t in texts]
+
+
 def test_packing_of_documents_is_near_the_bound(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = packing.packed(docs, VOCABULARY, island=300).collect()
