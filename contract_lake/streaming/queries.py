@@ -20,7 +20,7 @@ from ..plans import flows
 from ..session import work_dir
 from ..sinks.files import write_changeset
 from ..sources.documents import stream_features, stream_variant
-from . import ingest
+from . import ingest, merge
 
 FILES_PER_TRIGGER = 4
 
@@ -80,14 +80,14 @@ HISTORY_COLS = ["user_id", "feature_id", "event_type", "value", "k", "valid_from
 
 def q_scd2_maintained(spark, sf):
     """C8 as a maintained table: landing stream in micro-batches of two files,
-    then an upkeep stream of as many batches that rewrites the touched key
-    buckets of the history table."""
+    then an upkeep stream of as many batches, each merged into the stored
+    versions of its keys."""
     src = fx.write_event_layouts(fx.table(spark, sf, "events"), work_dir(spark, "docs"), ("one_line",), per_doc=1024)
     paths = _paths(spark, src, "scd2_maintained")
     ingest.run_entry(spark, fx.EVENTS_ENTRY, paths, max_files=2)
-    ingest.maintain_history(spark, fx.EVENTS_ENTRY, paths.landing, paths.history, paths.history_checkpoint,
-                            n_buckets=16, track=["event_type"], max_files=2).awaitTermination()
-    return ingest.read_history(spark, paths.history).select(*HISTORY_COLS)
+    merge.merge_history(spark, fx.EVENTS_ENTRY, paths.landing, paths.history, paths.history_checkpoint,
+                        track=["event_type"], max_files=2).awaitTermination()
+    return merge.read_merged(spark, fx.EVENTS_ENTRY, paths.history, track=["event_type"]).select(*HISTORY_COLS)
 
 
 def q_scd2_maintained_deletes(spark, sf):
