@@ -366,3 +366,42 @@ def as_of(history: DataFrame, ts, valid_from: str = "valid_from",
     vf, vt = F.col(valid_from), F.col(valid_to)
     return history.filter((vf <= t.cast(history.schema[valid_from].dataType)) &
                           (vt.isNull() | (t.cast(history.schema[valid_to].dataType) < vt)))
+
+
+def as_of_each(history: DataFrame, probes: DataFrame, keys: list[str] | str, at: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
+               prefix: str = "version_", max_rows_per_segment: int = 2_000_000, plan=...) -> DataFrame:
+    """Each row of ``probes`` with the version of its key in force at its time
+    ``at`` (C7 for a table of times): the probe's columns, then the history's
+    columns other than the keys under ``prefix``, NULL where no version was.
+
+    Versions and probes are one table sorted by key and time, in which a probe
+    takes the last version before it (a sweep, no range join): one exchange,
+    one sort. Keys with more than ``max_rows_per_segment`` rows are cut into
+    ranges of time as in ``scd2``; a range starts with the last version of
+    those before it. A probe with a NULL key or time finds nothing."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    values = [c for c in history.columns if c not in keys]
+    time = history.schema[valid_from].dataType
+    version, probe = F.struct(*values), F.struct(*probes.columns)
+    typed = {k: history.schema[k].dataType for k in keys}
+    rows = (history.select(*keys, F.col(valid_from).alias("_t"), F.lit(0).alias("_probes"), version.alias("_v"))
+            .unionByName(probes.select(*[F.col(k).cast(t).alias(k) for k, t in typed.items()], F.col(at).cast(time).alias("_t"),
+                                       F.lit(1).alias("_probes"), probe.alias("_p")), allowMissingColumns=True))
+    if plan is ...:
+        plan = plan_segments(rows, keys, "_t", max_rows_per_segment)
+    segmented = plan is not None and plan.hot_plan is not None
+    part = [KEY, SEG] if segmented else [*keys, SEG]
+    rows = _assign_segments(rows, keys, "_t", plan)
+    so_far = Window.partitionBy(*part).orderBy("_t", "_probes").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = rows.withColumn("_f", F.last("_v", ignorenulls=True).over(so_far))
+    if segmented:
+        last = rows.filter(HOT).groupBy(KEY, SEG).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t"))).alias("_last"))
+        before = Window.partitionBy(KEY).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+        carried = last.select(KEY, SEG, F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+        swept = swept.join(carried, part, "left").withColumn("_f", F.coalesce("_f", "_carry"))
+    to = F.col("_f")[valid_to]
+    known = F.col("_t").isNotNull() & F.col("_f").isNotNull() & (to.isNull() | (F.col("_t") < to))
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    found = swept.filter(F.col("_probes") == 1)
+    return found.select(*[F.col("_p")[c].alias(c) for c in probes.columns], *[F.when(known, F.col("_f")[c]).alias(prefix + c) for c in values])

@@ -304,6 +304,16 @@ def q_scd2_as_of(spark, sf):
     return cdc.as_of(_events_history(spark, sf), AS_OF_EVENTS).select(*HIST_COLS)
 
 
+def q_scd2_as_of_each(spark, sf):
+    """C7 for a table of times: for every event the version its user had some
+    hours before or after it; every user is cut into 64-row ranges of time."""
+    ev = fx.table(spark, sf, "events")
+    hist = cdc.scd2(ev, "user_id", "ts", tie_break=["event_id"], track=["event_type"], delete_when="event_type = 'error'")
+    hours = F.make_dt_interval(hours=(F.col("event_id") % 97 - 48).cast("int"))
+    probes = ev.select(F.col("event_id").alias("probe_id"), "user_id", (F.col("ts") + hours).alias("asked_at"))
+    return cdc.as_of_each(hist.select("user_id", "event_id", "event_type", "valid_from", "valid_to"), probes, "user_id", "asked_at", max_rows_per_segment=64)
+
+
 def q_scd2_deletes(spark, sf):
     return _events_history(spark, sf, track=None, delete_when="event_type = 'error'").select(*HIST_COLS)
 
@@ -422,6 +432,7 @@ def queries() -> dict[str, Query]:
         "batch_inference": q_batch_inference,
         "scd_current": q_scd_current,
         "scd2_as_of": q_scd2_as_of,
+        "scd2_as_of_each": q_scd2_as_of_each,
         "scd2_deletes": q_scd2_deletes,
         "scd2_track_deletes": q_scd2_track_deletes,
         "scd2_ties": q_scd2_ties,

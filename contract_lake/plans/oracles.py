@@ -92,6 +92,16 @@ SELECT feature_id, user_id, event_type, ts, value, k, note FROM ev"""
 ENTRY_HISTORY = scd2_sql("ev", "user_id", "ts", ["feature_id"], "event_type", None, ENTRY_COLS,
                          ctes=EVENT_ROWS)
 
+AS_OF_EACH = f"""
+WITH hist AS ({scd2_sql("events", "user_id", "ts", ["event_id"], "event_type", "event_type = 'error'", EV_COLS)}),
+probes AS (SELECT event_id AS probe_id, user_id, ts + INTERVAL 1 HOUR * CAST(event_id % 97 - 48 AS INTEGER) AS asked_at FROM events),
+met AS (
+  SELECT p.*, h.event_id, h.event_type, h.valid_from, h.valid_to, h.event_id IS NOT NULL AND (h.valid_to IS NULL OR p.asked_at < h.valid_to) AS known
+  FROM probes p ASOF LEFT JOIN hist h ON p.user_id = h.user_id AND p.asked_at >= h.valid_from)
+SELECT probe_id, user_id, asked_at, CASE WHEN known THEN event_id END AS version_event_id, CASE WHEN known THEN event_type END AS version_event_type,
+       CASE WHEN known THEN valid_from END AS version_valid_from, CASE WHEN known THEN valid_to END AS version_valid_to
+FROM met"""
+
 ORACLES: dict[str, str] = {
     "explode_features": """
 SELECT user_id AS doc_user, CAST(event_id AS VARCHAR) AS id, event_type, ts, value FROM events""",
@@ -217,6 +227,7 @@ GROUP BY dataset, name HAVING count(*) > 1""",
                             where="AND _n_seq IS NULL"),
     "scd2_as_of": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type", None, EV_COLS,
                            where=f"AND _from <= {AS_OF} AND (_n_seq IS NULL OR {AS_OF} < _n_seq)"),
+    "scd2_as_of_each": AS_OF_EACH,
     "scd2_deletes": scd2_sql("events", "user_id", "ts", ["event_id"], None, "event_type = 'error'", EV_COLS),
     "scd2_track_deletes": scd2_sql("events", "user_id", "ts", ["event_id"], "event_type",
                                    "event_type = 'error'", EV_COLS),
