@@ -47,7 +47,7 @@ from contract_lake.llm.common import arrow_map, written
 from contract_lake.llm.tokens import BYTE_LETTERS
 from contract_lake.llm.words import gathered, numbered, row_sums, slices
 
-MEMO_WORDS = 200_000
+MEMO_WORDS = 400_000
 #: White space behind a space, or at either end of a text: its words are cut by CUT.
 OTHER_SPACE = r"^[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]| [\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]| $"
 CUT = re.compile(r"(?<=[^ ])(?= \S)")
@@ -62,33 +62,29 @@ class Word:
 
     __slots__ = ("n_a", "n_b", "n_groups", "said", "links")
 
-    def __init__(self, n_a: int, n_b: int, n_groups: int, said: str, links: list[int]):
+    def __init__(self, n_a: int, n_b: int, n_groups: int, said: str, links: np.ndarray):
         self.n_a, self.n_b, self.n_groups, self.said, self.links = n_a, n_b, n_groups, said, links
 
 
-def aligned(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> Word:
-    """The alignment of two token sequences, (id, bytes) each, of the same
-    total length."""
-    groups: list[str] = []
-    links: list[int] = []
-    i = j = first_a = first_b = 0
-    end_a = a[0][1] if a else 0
-    end_b = b[0][1] if b else 0
-    while i < len(a) and j < len(b):
-        links.append(a[i][0] << 32 | b[j][0])
-        if end_a == end_b:
-            groups.append(",".join(str(t) for t, _ in a[first_a:i + 1]) + "|" + ",".join(str(t) for t, _ in b[first_b:j + 1]))
-            i, j = i + 1, j + 1
-            first_a, first_b = i, j
-            end_a += a[i][1] if i < len(a) else 0
-            end_b += b[j][1] if j < len(b) else 0
-        elif end_a < end_b:
-            i += 1
-            end_a += a[i][1]
-        else:
-            j += 1
-            end_b += b[j][1]
-    return Word(len(a), len(b), len(groups), ";".join(groups), links)
+def aligned(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, a_counts: np.ndarray, b_counts: np.ndarray) -> list[Word]:
+    """The alignments of many words at once: the ids of all words' tokens,
+    their sizes in bytes (the same total in each word), and how many each word
+    has. The words lie end to end on one line of bytes."""
+    a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
+    # an A token meets the B tokens from the first that ends behind its start to the first that reaches its end
+    low, high = np.searchsorted(b_ends, a_ends - a_sizes, side="right"), np.searchsorted(b_ends, a_ends, side="left")
+    n = high - low + 1
+    at = np.repeat(np.arange(len(a)), n)
+    links = a[at] << 32 | b[low[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
+    shared = np.flatnonzero(b_ends[high] == a_ends)  # A tokens that end a group
+    a_edges, b_edges = [0, *(shared + 1).tolist()], [0, *(high[shared] + 1).tolist()]
+    a_said, b_said = list(map(str, a.tolist())), list(map(str, b.tolist()))
+    groups = [",".join(a_said[i:j]) + "|" + ",".join(b_said[k:m]) for i, j, k, m in zip(a_edges, a_edges[1:], b_edges, b_edges[1:])]
+    last = np.cumsum(a_counts)
+    link_edges = [0, *np.cumsum(n)[last - 1].tolist()]
+    group_edges = [0, *np.searchsorted(shared, last, side="left").tolist()]
+    return [Word(x, y, h - g, ";".join(groups[g:h]), links[i:j]) for x, y, g, h, i, j in zip(
+        a_counts.tolist(), b_counts.tolist(), group_edges, group_edges[1:], link_edges, link_edges[1:])]
 
 
 class Aligner:
@@ -108,6 +104,10 @@ class Aligner:
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
         if any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", p) for p in pieces):
             raise ValueError(f"{b_path} has pieces that cross words")
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
+        for i, octets in self.a_bytes.items():
+            self.a_sizes[i] = len(octets)
+        self.b_sizes = np.array([len(octets) for octets in self.b_bytes], np.int64)
         self.memo: dict[str, Word | None] = {}
         self.old: dict[str, Word | None] = {}
 
@@ -117,19 +117,24 @@ class Aligner:
             _loaded[a_path, b_path] = Aligner(a_path, b_path)
         return _loaded[a_path, b_path]
 
-    def fresh(self, words: list[str]) -> Iterator[Word | None]:
+    def fresh(self, words: list[str]) -> list[Word | None]:
         """Each of ``words`` (with its space) aligned, None where the bytes
         differ."""
         ones = self.a.encode_batch_fast(words, add_special_tokens=False)
         twos = self.b.encode([w[1:] for w in words], num_threads=1)
-        for word, one, two in zip(words, ones, twos, strict=True):
-            octets = word.encode()
-            a = [(i, self.a_bytes[i]) for i in one.ids]
-            b = [(i, self.b_bytes[i]) for i in two]
-            if b"".join([x for _, x in a]) != octets or b"".join([x for _, x in b]) != octets:
-                yield None
-            else:
-                yield aligned([(i, len(x)) for i, x in a], [(i, len(x)) for i, x in b])
+        sound, kept = [], []
+        for k, (word, one, two) in enumerate(zip(words, ones, twos, strict=True)):
+            octets, a = word.encode(), one.ids
+            if b"".join([self.a_bytes[i] for i in a]) == octets and b"".join([self.b_bytes[i] for i in two]) == octets:
+                sound.append(k)
+                kept.append((a, two))
+        out: list[Word | None] = [None] * len(words)
+        if sound:
+            a, b = (np.array([i for pair in kept for i in pair[side]], np.int64) for side in (0, 1))
+            a_counts, b_counts = (np.array([len(pair[side]) for pair in kept], np.int64) for side in (0, 1))
+            for k, word in zip(sound, aligned(a, b, self.a_sizes[a], self.b_sizes[b], a_counts, b_counts), strict=True):
+                out[k] = word
+        return out
 
     def words(self, words: list[str]) -> list[Word | None]:
         """Each of ``words``, from the memo or new. A full memo becomes the
@@ -208,7 +213,7 @@ def measured(aligner: Aligner, texts: pa.Array) -> Iterator[tuple]:
         broken = np.array([w is None for w in found])[numbers]
         said = [w.said if w else "" for w in found]
         sizes = np.array([(w.n_a, w.n_b, w.n_groups, len(w.links)) if w else (0, 0, 0, 0) for w in found], np.int64)[numbers]
-        links = np.array([x for w in found if w for x in w.links], np.int64)
+        links = np.concatenate([np.zeros(0, np.int64), *[w.links for w in found if w]])
         # times each pair is linked in each text: sorted by (text, pair), the pair by its rank
         distinct, rank = np.unique(links, return_inverse=True)
         n, lengths = max(1, len(distinct)), np.array([len(w.links) if w else 0 for w in found], np.int64)
@@ -249,7 +254,8 @@ def alignments(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     counts = counts.withColumn("b_id", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)))
     highest = counts.groupBy("b_id").agg(F.max("count").alias("highest"))  # one row an id of B
     counts = written(counts.join(highest, "b_id").select("pair", "count", (F.col("count") == F.col("highest")).alias("best")), "alignment-best")
-    sums = written(linked.join(counts, "pair").groupBy("key").agg(
+    # By shuffle at every size: the table of pairs grows with the corpus, far beyond what could be broadcast.
+    sums = written(linked.join(counts.hint("merge"), "pair").groupBy("key").agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("count")).alias("count_sum")), "alignment-sums")
     by_text = written(of_texts.drop("pairs", "times", "copies").join(sums, "key", "left"), "alignment-measures")
     rows = docs.select(F.col("doc_id").cast("long"), F.unhex(F.md5(F.col("text").cast("string"))).alias("key"))

@@ -176,13 +176,19 @@ def near_links(distinct: DataFrame, max_bits: int = 4, cell: int = 1024) -> Data
     return arrow_map(cells.repartition("cell_key").sortWithinPartitions("cell_key"), compare, "a long, b long")
 
 
+def _grouped(docs: DataFrame, words: int, max_bits: int, cell: int = 1024) -> DataFrame:
+    """``doc_id``, ``row_key``, ``fp`` and ``group_fp`` for each row of
+    ``docs``."""
+    rows = written(fingerprints(docs, words), "simhash-fp")
+    roots = connected_components(near_links(rows.select("fp").distinct(), max_bits, cell), "simhash-cc")
+    return (rows.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+            .withColumn("group_fp", F.coalesce("root", "fp")).drop("root"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, cell: int = 1024) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest
     doc_id reachable), ``row_key`` and ``group_fp`` for each row of ``docs``."""
-    rows = written(fingerprints(docs, words), "simhash-fp")
-    roots = connected_components(near_links(rows.select("fp").distinct(), max_bits, cell), "simhash-cc")
-    grouped = (rows.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-               .withColumn("group_fp", F.coalesce("root", "fp")))
+    grouped = _grouped(docs, words, max_bits, cell)
     # Written: a join of two plain exchanges can split a hot group.
     least = written(grouped.groupBy("group_fp").agg(F.min("doc_id").alias("component_id")), "simhash-least")
     return grouped.join(least, "group_fp").select(
@@ -192,7 +198,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, cell: in
 def one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the smallest doc_id
     (NULL last), whole equal rows once."""
-    first = (near_duplicates(docs, words, max_bits).groupBy("group_fp")
+    # Straight from the rows, so that each task reduces a large group before the shuffle.
+    first = (_grouped(docs, words, max_bits).groupBy("group_fp")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("kept")))
     return (docs.withColumn("row_key", row_key(docs))
             .join(first.select(F.col("kept.row_key").alias("row_key")), "row_key", "left_semi")

@@ -10,13 +10,22 @@ single bytes but ranges of the window, taken from the most telling one on:
 2. the bytes that all windows of an aligned block of 32, then of 8, share,
 3. the whole window.
 
+Each range holds the one before it, so a pass splits the groups so far by
+further bytes and never joins two of them.
+
+Texts are taken once each: copies are found by a count of their names, one row
+of a copied text stands for all with a weight of two, and a copied text itself
+is repeated from end to end. So a text's runs are bounded by its own length,
+however many copies there are.
+
 Windows of one anchor are neighbours, so a pass handles a *run* of them as one
 row. After each pass a run whose digit occurs once leaves (none of its windows
 repeats), a run whose whole byte range occurs elsewhere leaves as repeated,
 and only the rest is cut finer for the next pass: the edges of copied
 passages. A pass is one combinable count by digit and a join back, so a digit
 held by a third of all rows is counted map-side and its rows are never
-gathered in one task. Counts are of whole texts over all documents; nothing is
+gathered in one task; the ``HEAVY`` most frequent kinds of runs are told apart
+without a join. Counts are of whole texts over all documents; nothing is
 capped. Digits are 64-bit hashes; a run counts as repeated only where digit
 and whole-range hash both agree (128 bits).
 
@@ -43,7 +52,9 @@ from contract_lake.session import work_dir
 GRAM, BLOCKS = 50, (32, 8, 1)
 #: Windows hashed at a time; texts are joined up to it or cut at it.
 SEGMENT = 1 << 19
-ROWS = pa.schema([("digit", pa.int64()), ("whole", pa.int64()), ("key", pa.binary()), ("place", pa.int64())])
+ROWS = pa.schema([("digit", pa.int64()), ("whole", pa.int64()), ("key", pa.binary()), ("place", pa.int64()), ("copies", pa.int32())])
+#: The most frequent kinds of a pass, marked from a list.
+HEAVY = 1024
 #: 64-bit words of the bitmap that thins rows before a shuffle: 8 MB at any scale.
 BITMAP_WORDS = 1 << 20
 
@@ -151,89 +162,125 @@ def _in_bitmap(words: np.ndarray, hashed: np.ndarray) -> np.ndarray:
 
 
 def _sorted_out(runs: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(repeated, pending): (key, place) of runs found repeated and of those
-    to cut finer. ``counts`` holds the digits that occur at least twice."""
+    """(repeated, pending): (key, place, copies) of runs found repeated and of
+    those to cut finer. ``counts`` holds the digits that occur at least twice."""
     name = F.xxhash64("key", "place")
     runs = written(runs.join(counts, "digit"), "suffix-runs")
-    one_kind = runs.where("not several").select("key", "place")
-    several = runs.where("several").drop("several")
+    several = runs.where("several")
     # Written, as the counts are: a join of two plain exchanges can split a hot digit.
-    kinds = written(several.groupBy("digit", "whole").agg(F.count("*").alias("n"), F.min(name).alias("first")).where("n > 1").drop("n"), "suffix-kinds")
-    several = several.join(kinds, ["digit", "whole"], "left")
-    repeated = one_kind.union(several.where("first IS NOT NULL").select("key", "place"))
+    kinds = written(several.groupBy("digit", "whole").agg(F.sum("weight").alias("n"), F.min(name).alias("first")).where("n > 1"), "suffix-kinds")
+    heavy = kinds.orderBy(F.desc("n"), "digit", "whole").limit(HEAVY).collect()  # three longs each
+
+    def among(column: str, values) -> str:
+        return f"{column} IN ({', '.join(f'{v}L' if v > -2**63 else 'CAST(-9223372036854775808 AS LONG)' for v in set(values))})"
+
+    columns = ["key", "place", "copies"]
+    # All of a kind's bytes have one digit, so its two hashes need not be paired.
+    is_heavy = F.expr(f"{among('digit', [k.digit for k in heavy])} AND {among('whole', [k.whole for k in heavy])}") if heavy else F.lit(False)
+    stands = F.expr(among("xxhash64(key, place)", [k.first for k in heavy])) if heavy else F.lit(False)
+    light = several.where(~is_heavy).join(kinds.where(~is_heavy), ["digit", "whole"], "left")
+    repeated = (runs.where("not several").select(columns).union(several.where(is_heavy).select(columns))
+                .union(light.where("first IS NOT NULL").select(columns)))
     # Of equal runs one stands for all against the runs that share a part.
-    pending = several.where(F.col("first").isNull() | (name == F.col("first"))).select("key", "place")
+    pending = (several.where(is_heavy & stands).select(columns)
+               .union(light.where(F.col("first").isNull() | (name == F.col("first"))).select(columns)))
     return repeated, pending
 
 
 def _digit_counts(runs: DataFrame) -> DataFrame:
-    return written(runs.groupBy("digit").agg(F.count("*").alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high"))
+    return written(runs.groupBy("digit").agg(F.sum("weight").alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high"))
                    .where("n > 1").select("digit", (F.col("low") != F.col("high")).alias("several")), "suffix-digits")
 
 
-def repeated_spans(docs: DataFrame, window: int = 200) -> tuple[DataFrame, DataFrame]:
+def distinct_texts(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(``key``, ``text``, ``copies``) of each text of a window or more once,
+    ``copies`` being 1 or 2 (for two or more), and those with 2. Texts whose
+    name is in the bitmap of copied names are shuffled, the others are not."""
+    spark = docs.sparkSession
+    texts = docs.select(_key().alias("key"), F.col("text").cast("string")).where(F.octet_length("text") >= window).withColumn("h", F.xxhash64("key"))
+    again = texts.groupBy("key", "h").agg(F.count("*").alias("n")).where("n > 1")
+    bitmap = spark.sparkContext.broadcast(_bitmap(again, F.col("h")))
+
+    def chosen(copied: bool):
+        def run(batches):
+            for batch in batches:
+                kept = _in_bitmap(bitmap.value, batch.column("h").to_numpy()) == copied
+                if kept.any():
+                    yield batch.filter(pa.array(kept)).select(["key", "text"])
+        return arrow_map(texts, run, "key binary, text string")
+
+    held = written(chosen(True).groupBy("key").agg(F.first("text").alias("text"), F.least(F.count("*"), F.lit(2)).cast("int").alias("copies")), "suffix-copied")
+    return chosen(False).withColumn("copies", F.lit(1)).union(held), held.where("copies = 2")
+
+
+def repeated_spans(docs: DataFrame, window: int = 200) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``key``, ``places`` (runs of repeated windows, see ``pack``) of each
-    text with any, and the table ``key``, ``text`` of the texts that may have
-    some, bucketed by key."""
+    text that has any and no copies; the table ``key``, ``text`` of the texts
+    that may have some, bucketed by key; and the texts that have copies."""
     if not GRAM + 1 <= window <= GRAM + 206:
         raise ValueError(f"windows of {GRAM + 1} to {GRAM + 206} bytes are served")
     spark = docs.sparkSession
-    texts = docs.select(_key().alias("key"), F.col("text").cast("string")).where(F.octet_length("text") >= window)
+    texts, copied = distinct_texts(docs, window)
+    digit_rows = pa.schema([ROWS.field("digit"), ROWS.field("whole"), ROWS.field("copies")])
 
     def digits(batches):
         for batch in batches:
-            for digit, whole, _, _ in anchor_runs(list(byte_views(batch.column("text"))), window):
-                yield batch_of(pa.schema(list(ROWS)[:2]), digit, whole)
+            copies = batch.column("copies").to_numpy()
+            for digit, whole, row, _ in anchor_runs(list(byte_views(batch.column("text"))), window):
+                yield batch_of(digit_rows, digit, whole, copies[row])
 
-    counts = _digit_counts(arrow_map(texts.select("text"), digits, "digit long, whole long"))
+    weighted = F.col("copies").cast("long")
+    counts = _digit_counts(arrow_map(texts.select("text", "copies"), digits, "digit long, whole long, copies int").withColumn("weight", weighted))
     bitmap = spark.sparkContext.broadcast(_bitmap(counts, F.col("digit")))
 
     def runs(batches):
         for batch in batches:
-            keys = np.array(batch.column("key").to_pylist(), object)
+            keys, copies = np.array(batch.column("key").to_pylist(), object), batch.column("copies").to_numpy()
             for digit, whole, row, place in anchor_runs(list(byte_views(batch.column("text"))), window):
                 kept = _in_bitmap(bitmap.value, digit)
                 if kept.any():
-                    yield batch_of(ROWS, digit[kept], whole[kept], keys[row[kept]], place[kept])
+                    yield batch_of(ROWS, digit[kept], whole[kept], keys[row[kept]], place[kept], copies[row[kept]])
 
-    schema = "digit long, whole long, key binary, place long"
-    repeated, pending = _sorted_out(arrow_map(texts, runs, schema), counts)
-    repeated, pending = written(repeated, "suffix-repeated"), written(pending, "suffix-pending")
+    schema = "digit long, whole long, key binary, place long, copies int"
+    repeated, pending = _sorted_out(arrow_map(texts, runs, schema).withColumn("weight", weighted), counts)
+    # A copied text is repeated throughout: its runs matter to others only.
+    repeated, pending = written(repeated.where("copies = 1"), "suffix-repeated"), written(pending, "suffix-pending")
     found = [repeated]
 
-    # Texts with any repeated digit, once each, in buckets by key: later passes read them without a shuffle.
+    # Texts with any repeated digit, in buckets by key: later passes read them without a shuffle.
     touched = spark.sparkContext.broadcast(_bitmap(repeated.union(pending).select("key").distinct(), F.xxhash64("key")))
 
     def affected(batches):
         for batch in batches:
             kept = _in_bitmap(touched.value, batch.column("h").to_numpy())
             if kept.any():
-                yield batch.filter(pa.array(kept)).select(["key", "text"])
+                yield batch.filter(pa.array(kept)).select(["key", "text", "copies"])
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = work_dir(spark, "suffix_texts").rsplit("/", 1)[1].replace("-", "_")
-    (arrow_map(texts.withColumn("h", F.xxhash64("key")), affected, "key binary, text string").dropDuplicates(["key"])
+    (arrow_map(texts.withColumn("h", F.xxhash64("key")), affected, "key binary, text string, copies int").repartition(n, "key")
      .write.bucketBy(n, "key").option("path", work_dir(spark, "suffix-texts")).saveAsTable(name))
     held = spark.table(name)
 
     for block in BLOCKS:
         def cut(batches, block=block):
             for batch in batches:
-                keys = np.array(batch.column("key").to_pylist(), object)
+                keys, copies = np.array(batch.column("key").to_pylist(), object), batch.column("copies").to_numpy()
                 lists = [np.asarray(x, np.int64) for x in batch.column("places").to_pylist()]
                 for digit, whole, row, place in finer_runs(list(byte_views(batch.column("text"))), lists, block, window):
-                    yield batch_of(ROWS, digit, whole, keys[row], place)
+                    yield batch_of(ROWS, digit, whole, keys[row], place, copies[row])
 
+        # Texts are distinct, so a list is bounded by its text.
         listed = pending.groupBy("key").agg(F.collect_list("place").alias("places"))
-        cutting = written(arrow_map(held.join(listed, "key"), cut, schema), "suffix-cut")
+        cutting = written(arrow_map(held.join(listed, "key"), cut, schema).withColumn("weight", F.lit(1)), "suffix-cut")
         repeated, pending = _sorted_out(cutting, _digit_counts(cutting))
         if block > 1:
             pending = written(pending, "suffix-pending")
-        found.append(repeated)
+        found.append(repeated.where("copies = 1"))
     places = found[0]
     for more in found[1:]:
         places = places.union(more)
-    return places.groupBy("key").agg(F.collect_list("place").alias("places")), held
+    return places.groupBy("key").agg(F.collect_list("place").alias("places")), held.drop("copies"), copied
 
 
 def covered(n: int, places: np.ndarray, window: int) -> tuple[np.ndarray, int]:
@@ -248,17 +295,22 @@ def covered(n: int, places: np.ndarray, window: int) -> tuple[np.ndarray, int]:
 
 def _cleaned(docs: DataFrame, window: int, schema: str, finish) -> DataFrame:
     """``finish(view, mask, spans)`` of every text with a repeated window, by key."""
-    places, held = repeated_spans(docs, window)
+    places, held, copied = repeated_spans(docs, window)
     names = pa.schema([("key", pa.binary()), *({"long": (f, pa.int64()), "string": (f, pa.string())}[t] for f, t in (x.split() for x in schema.split(", ")))])
 
     def clean(batches):
         for batch in batches:
             out = []
             for view, places in zip(byte_views(batch.column("text")), batch.column("places").to_pylist(), strict=True):
-                out.append(finish(view, *covered(len(view), np.asarray(places, np.int64), window)))
-            yield batch_of(names, batch.column("key").to_pylist(), *zip(*out, strict=True))
-
-    return written(arrow_map(held.join(places, "key"), clean, f"key binary, {schema}"), "suffix-clean")
+                # no places: a copied text, all of it repeated
+                mask, spans = (np.ones(len(view), bool), 1) if places is None else covered(len(view), np.asarray(places, np.int64), window)
+                out.append(finish(view, mask, spans))
+            if out:
+                yield batch_of(names, batch.column("key").to_pylist(), *zip(*out, strict=True))
+
+    cleaned = arrow_map(held.join(places, "key"), clean, f"key binary, {schema}")
+    whole = arrow_map(copied.select("key", "text", F.lit(None).cast("array<long>").alias("places")), clean, f"key binary, {schema}")
+    return written(cleaned.union(whole), "suffix-clean")
 
 
 def dedup_report(docs: DataFrame, window: int = 200) -> DataFrame:

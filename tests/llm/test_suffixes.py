@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from contract_lake.llm import suffixes, windows
-from tests.llm.conftest import edge_rows
+from tests.llm.conftest import edge_rows, prose
 
 
 def slow(texts, window):
@@ -88,3 +88,16 @@ def test_cut_characters_go_whole(spark):
 def test_empty(no_docs):
     assert suffixes.dedup_report(no_docs).count() == 0
     assert suffixes.dedup_texts(no_docs).count() == 0
+
+
+def test_copies_are_one_text_with_bounded_places(spark):
+    """Hundreds of copies give no place lists; a passage they share with
+    another text is still found there."""
+    passage = prose(1, 120)
+    rows = [(i, prose(2, 60) + passage) for i in range(800)] + [(5000, prose(3, 90) + passage + prose(4, 80)), (5001, prose(5, 200))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    places, _, copied = suffixes.repeated_spans(df, 200)
+    assert copied.count() == 1 and places.count() == 1
+    found = {r.doc_id: r for r in suffixes.dedup_report(df, 200).collect()}
+    assert len(found) == 802 and all(found[i].n_removed == found[i].n_bytes and found[i].n_spans == 1 for i in range(800))
+    assert len(passage) <= found[5000].n_removed <= len(passage) + 9 and found[5001].n_removed == 0
