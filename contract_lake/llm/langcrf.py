@@ -1,7 +1,8 @@
 """Language of each word, and of each document, by a linear-chain conditional
 random field.
 
-A word's features are its affixes, its character n-grams and the word itself
+A word is a run of letters, longer runs (scripts without spaces) are cut every
+40 letters; all of it counts. A word's features are its affixes, its character n-grams and the word itself
 (the lexicon), hashed into a weight table; transitions between the labels of
 neighbouring words are learned as well. Training maximises the conditional
 likelihood by forward-backward. Its sequences are runs of words from one to
@@ -16,7 +17,7 @@ edges are a fixed number of words of context, so memory stays bounded.
 
 Training takes about ``per_language`` documents of each language (least
 hashes of doc_id) and ``windows`` runs of words from each; languages come from
-the data, up to ``max_languages`` (more: an error). Rows without doc_id, text
+the data, the ``max_languages`` most frequent ones are learned. Rows without doc_id, text
 or lang are never learnt from. Null texts and texts without a letter are
 ``und`` with score 0. Repeated rows are labelled alike.
 """
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from contract_lake.llm.common import arrow_map, batch_of
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]{1,40}")
 BUCKETS = 1 << 16
 MEMO_WORDS = 500_000
 SEGMENT_WORDS, CONTEXT = 1 << 16, 64
@@ -45,15 +46,12 @@ TOGETHER = 1 << 23
 _CHANCE = np.random.default_rng(31)
 #: Odd random factors for the places of an n-gram, and of the letters of a whole word.
 PLACES = _CHANCE.integers(1, 1 << 62, (6, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-LONGEST = 40
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of lower-case words: all buckets, word after word, and
-    how many are each word's. An n-gram that holds the frame is an affix; a
-    very long word counts by both its ends."""
-    half = LONGEST // 2
-    framed = [f"^{w}$" if len(w) <= LONGEST else f"^{w[:half]}{w[-half:]}$" for w in words]
+    how many are each word's. An n-gram that holds the frame is an affix."""
+    framed = [f"^{w}$" for w in words]
     codes = np.frombuffer("".join(framed).encode("utf-32-le"), np.uint32).astype(np.uint64)
     size = np.fromiter(map(len, framed), np.int64, len(framed))
     end = np.cumsum(size)
@@ -71,7 +69,8 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             total += codes[at + k] * PLACES[n - 1, k]
         hashes.append(total)
         owners.append(word[at])
-    hashes.append(np.add.reduceat(codes * PLACES[5, inner], end - size))
+    place = PLACES[5, inner % 64] * np.power(PLACES[0, 1], (inner // 64).astype(np.uint64))
+    hashes.append(np.add.reduceat(codes * place, end - size))
     owners.append(np.arange(len(framed)))
     total, owner = np.concatenate(hashes), np.concatenate(owners)
     total ^= total >> np.uint64(29)
@@ -139,8 +138,8 @@ def forward_backward(emission: np.ndarray, starts: np.ndarray, lengths: np.ndarr
         if t:
             before = alpha[at - 1]
             if pairs:
-                joint = before[:, :, None] * step[None] * back[:, None, :]
-                expected += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+                every = ((before @ step) * back).sum(axis=1, keepdims=True)
+                expected += step * ((before / every).T @ back)
             beta[:k] = back @ step.T
             beta[:k] /= beta[:k].sum(axis=1, keepdims=True)
     return out, expected
@@ -232,12 +231,10 @@ def held_out(doc_id: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def train(docs: DataFrame, per_language: int = 300, windows: int = 6, words: int = 40, max_languages: int = 200) -> Tagger | None:
+def train(docs: DataFrame, per_language: int = 300, windows: int = 6, words: int = 40, max_languages: int = 1000) -> Tagger | None:
     """A tagger from the rows outside the held-out fold; None if there are none."""
     usable = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().orderBy("lang").limit(max_languages + 1).collect()}
-    if len(counts) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()}
     if not counts:
         return None
     # Rows by hash of doc_id, as many of each language as expected to be wanted; the limit is a hard bound.
@@ -261,7 +258,8 @@ def train(docs: DataFrame, per_language: int = 300, windows: int = 6, words: int
                 yield batch_of(schema, *zip(*out, strict=True))
 
     bound = 2 * per_language * len(counts) * windows
-    found = arrow_map(sample, run, "doc_id long, lang string, words array<string>").limit(bound).collect()
+    found = (arrow_map(sample, run, "doc_id long, lang string, words array<string>")
+             .orderBy(F.xxhash64("doc_id", "lang"), "doc_id", "lang", "words").limit(bound).collect())
     found.sort(key=lambda r: (r.doc_id, r.lang, r.words))
     languages = sorted(counts)
     number = {lang: i for i, lang in enumerate(languages)}

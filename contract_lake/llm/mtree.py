@@ -21,7 +21,9 @@ distance differs from the query's distance to the parent by more than radius
 and bound is left out without computing its distance, and so is a leaf row by
 its distance to the leaf's object. Distances carry rounding errors, so bounds
 get a margin; scores are computed in whole numbers, and ties go to the smaller
-vec_id, so results are exact.
+vec_id, so results are exact. Where a score may leave a long's range it is
+computed in Python's whole numbers and counts as the nearest end of the range,
+and so does a component beyond it.
 
 Rows with a NULL vec_id or a vector that is NULL, empty or holds NULL or
 non-finite components take no part; vectors of different dimension do not
@@ -43,7 +45,12 @@ from pyspark.sql import functions as F
 
 from contract_lake.llm.common import arrow_map, batch_of, sorted_groups, written
 
-MARGIN = 1e-9
+LONG = np.iinfo(np.int64)
+
+
+def margin(longest: float) -> float:
+    """Relative rounding error of a distance: squares below 2^52 are exact."""
+    return 1e-9 if longest < 2.0 ** 52 else 1e-7
 
 PAGE = pa.schema([("tree", pa.int64()), ("page", pa.int32()), ("parent", pa.int32()), ("center", pa.list_(pa.float64())), ("radius", pa.float64()),
                   ("parent_distance", pa.float64()), ("ids", pa.list_(pa.int64())), ("members", pa.list_(pa.int64())), ("distances", pa.list_(pa.float64()))])
@@ -108,7 +115,8 @@ class Tree:
         ``reach`` (a distance), best first."""
         point = np.append(query.astype(np.float64), 0.0)
         length = float(point @ point) + longest
-        slack = MARGIN * (length + 1) ** 0.5
+        slack = margin(longest) * (length + 1) ** 0.5
+        wide = longest >= 2.0 ** 62  # no score is beyond the longest square
         best: list[tuple[int, int]] = []  # heap of (score, -id)
         bound = reach + slack
         distance = float(np.sqrt(((self.centers[0] - point) ** 2).sum()))
@@ -129,13 +137,16 @@ class Tree:
             near = (np.abs(distance - self.distances[node]) <= bound) & (self.ids[node] != own)
             if not near.any():
                 continue
-            scores = self.members[node][near] @ query
+            if wide:
+                scores = np.clip(self.members[node][near].astype(object) @ query.astype(object), LONG.min, LONG.max)
+            else:
+                scores = self.members[node][near] @ query
             for score, i in zip(scores.tolist(), self.ids[node][near].tolist(), strict=True):
                 if len(best) < k:
                     heapq.heappush(best, (score, -i))
                 elif (score, -i) > best[0]:
                     heapq.heapreplace(best, (score, -i))
-            if len(best) == k:
+            if len(best) == k and best[0][0] > LONG.min:
                 bound = min(bound, max(0.0, length - 2 * best[0][0]) ** 0.5 + slack)
         return [(s, -i) for s, i in sorted(best, reverse=True)]
 
@@ -154,7 +165,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     row of ``vectors`` that satisfies ``is_query``."""
     rows = written(whole_numbers(vectors, scale).withColumn("dim", F.size("v")), "mtree-rows")
     # One pass for the longest vector of each dimension; dimensions are few by nature.
-    longest = {r.dim: float(r.m) for r in rows.groupBy("dim").agg(F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)).alias("m")).collect()}
+    longest = {r.dim: r.m * (1 + 1e-12) for r in rows.groupBy("dim").agg(F.max(F.aggregate(F.col("v").cast("array<double>"), F.lit(0.0), lambda a, x: a + x * x)).alias("m")).collect()}
     total = rows.count()
     wanted = min(max_pivots, max(1, -(-total // (8 * tree_rows))))
     pivots: dict[int, np.ndarray] = {}
@@ -245,7 +256,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
                 length = (points * points).sum(axis=1) + longest[dim]
                 least = part.column("least").to_numpy(zero_copy_only=False).astype(np.float64)
                 reach = np.where(np.isnan(least), np.inf, np.sqrt(np.maximum(0, length - 2 * least)))
-                reach += MARGIN * np.sqrt(length + 1)
+                reach[least <= float(LONG.min)] = np.inf
+                reach += margin(longest[dim]) * np.sqrt(length + 1)
                 for c, pivot in enumerate(pivots[dim]):
                     if (dim, c) in radius:
                         near = np.sqrt(((points - pivot) ** 2).sum(axis=1)) - radius[dim, c] <= reach

@@ -70,6 +70,7 @@ def unit_vectors(column) -> np.ndarray:
     """Rows of an Arrow list column of equal lengths, scaled to length one."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])  # no square under- or overflows
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 

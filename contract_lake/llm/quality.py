@@ -3,8 +3,12 @@
 A linear scorer is trained on trusted positives and unlabelled web text only:
 the non-negative unbiased risk (positives weighted by the class prior; the
 negative part estimated from unlabelled text minus positives and kept from
-going below zero) is minimised by full-batch Adam. The class prior is the
-share of label 1 among the usable labelled rows, a plain count.
+going below zero) is minimised by full-batch Adam. The class prior is estimated
+from the same two samples, so labels other than 1 are not needed: a classifier
+of positives against unlabelled text is trained on one half of each and scores
+the other; the prior is the least share of unlabelled scores above a threshold
+for that of positives, where the least is taken with confidence widths added
+(best-bin estimation), averaged over both halves.
 
 Features see the whole text: how often each class of byte (lower case, upper
 case, digit, space, line break, each kind of mark, part of a longer character)
@@ -15,7 +19,8 @@ needs no more memory than a piece beside itself.
 Training uses at most ``max_positive`` positives and ``max_unlabelled``
 unlabelled texts (the rows with the least hash of doc_id); everything else
 covers all rows. Null texts count as empty and get a score like any other;
-rows without a doc_id are scored, never learnt from. Repeated rows score alike.
+rows without a doc_id are scored, never learnt from. Repeated rows score alike;
+of rows that share a doc_id training reads one (the least text).
 """
 
 from __future__ import annotations
@@ -100,9 +105,10 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.02,
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, steps: int = 400, rate: float = 0.02,
         decay: float = 1e-4) -> Scorer:
-    """Minimise the non-negative PU risk with the logistic loss."""
+    """Minimise the non-negative PU risk with the logistic loss; without a
+    prior, that of telling positives from unlabelled rows."""
     every = np.concatenate([positive, unlabelled])
     mean, scale = every.mean(axis=0), every.std(axis=0) + 1e-2
     p, u = (np.clip((x - mean) / scale, -8, 8).astype(np.float64) for x in (positive, unlabelled))
@@ -111,18 +117,50 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -500, 500)))
     for step in range(1, steps + 1):
         sp, su = sigmoid(p @ w + b), sigmoid(u @ w + b)
-        # losses of the negative class: -log(1 - s); of the positive class: -log s
-        negative = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
-        gp, gu = -prior * sp / len(p), su / len(u)  # gradient of the negative part
-        if negative < 0:  # below what a risk can be: step back out of it
-            dp, du = -gp, -gu
-        else:
-            dp, du = gp - prior * (1 - sp) / len(p), gu
+        dp, du = (-(1 - sp) / len(p), su / len(u)) if prior is None else risk_slopes(sp, su, prior)
         grad = np.append(p.T @ dp + u.T @ du + decay * w, dp.sum() + du.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         move = rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return Scorer(mean, scale, w, b, prior)
+    return Scorer(mean, scale, w, b, 0.5 if prior is None else prior)
+
+
+def risk(sp: np.ndarray, su: np.ndarray, prior: float) -> tuple[float, float]:
+    """Positive and (unbiased) negative part of the PU risk at the scores of
+    positives and unlabelled rows. Loss of the negative class: -log(1 - s), of
+    the positive class: -log s."""
+    positive = -prior * np.log(np.maximum(sp, 1e-12)).mean()
+    return positive, -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
+
+
+def risk_slopes(sp: np.ndarray, su: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """Slopes of the risk by each row's score before the sigmoid; where the
+    negative part is below zero, what a risk cannot be, those out of it."""
+    gp, gu = -prior * sp / len(sp), su / len(su)  # of the negative part
+    if risk(sp, su, prior)[1] < 0:
+        return -gp, -gu
+    return gp - prior * (1 - sp) / len(sp), gu
+
+
+def best_bin(positive: np.ndarray, unlabelled: np.ndarray, chance: float = 0.1, gamma: float = 0.01) -> float:
+    """Share of positives among unlabelled rows from scores of both."""
+    p, u = np.sort(positive), np.sort(unlabelled)
+    cuts = np.unique(p)
+    above_p, above_u = (1 - np.searchsorted(x, cuts) / len(x) for x in (p, u))
+    width = sum(np.sqrt(np.log(4 / chance) / (2 * len(x))) for x in (p, u))
+    best = np.argmin((above_u + (1 + gamma) * width) / above_p)
+    return float(above_u[best] / above_p[best])
+
+
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 3) -> float:
+    """The class prior, from 0.01 to 0.99."""
+    chance = np.random.default_rng(seed)
+    halves = [np.array_split(chance.permutation(len(x)), 2) if len(x) > 1 else [np.arange(len(x))] * 2 for x in (positive, unlabelled)]
+    found = []
+    for own, other in ((0, 1), (1, 0)):
+        scorer = fit(positive[halves[0][own]], unlabelled[halves[1][own]], None, steps=200)
+        found.append(best_bin(scorer(positive[halves[0][other]]), scorer(unlabelled[halves[1][other]])))
+    return min(0.99, max(0.01, sum(found) / 2))
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
@@ -131,15 +169,16 @@ def held_out(doc_id: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
 
 
 def _features_of(docs: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Features of the documents named by ``ids`` (bounded by the caller)."""
-    schema = pa.schema([("x", pa.list_(pa.float32()))])
+    """Features of the documents named by ``ids`` (bounded by the caller), one row each."""
+    schema = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float32()))])
 
     def run(batches):
         for batch in batches:
-            yield batch_of(schema, [features(v) for v in byte_views(batch.column("text"))])
+            yield batch_of(schema, batch.column("doc_id"), [features(v) for v in byte_views(batch.column("text"))])
 
-    rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(ids), "doc_id", "left_semi").select("text")
-    found = arrow_map(rows, run, "x array<float>").toArrow().column("x").combine_chunks()
+    rows = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(ids), "doc_id", "left_semi")
+            .groupBy("doc_id").agg(F.min("text").alias("text")))
+    found = arrow_map(rows, run, "doc_id long, x array<float>").toArrow().sort_by("doc_id").column("x").combine_chunks()
     return found.flatten().to_numpy(zero_copy_only=False).reshape(len(found), N_FEATURES)
 
 
@@ -147,16 +186,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_positi
           max_unlabelled: int = 8000) -> Scorer:
     """A scorer from the labels outside the held-out fold. Without a usable
     positive or any text it scores everything 1 (nothing is known against it)."""
-    usable = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+    usable = labels.where(~held_out() & F.col("doc_id").isNotNull() & (F.col(label) == 1))
     known = docs.select(F.col("doc_id")).where(~held_out() & F.col("doc_id").isNotNull()).distinct()
     order = F.xxhash64("doc_id")
-    positive = usable.where(F.col(label) == 1).select("doc_id").distinct().join(known, "doc_id").orderBy(order, "doc_id").limit(max_positive)
+    positive = usable.select("doc_id").distinct().join(known, "doc_id").orderBy(order, "doc_id").limit(max_positive)
     unlabelled = known.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(max_unlabelled)
-    prior = usable.agg(F.avg(label)).first()[0]
     p, u = _features_of(docs, positive), _features_of(docs, unlabelled)
-    if prior is None or not len(p) or not len(u):
+    if not len(p) or not len(u):
         return Scorer(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 500.0, 1.0)
-    return fit(p, u, float(prior))
+    return fit(p, u, estimated_prior(p, u))
 
 
 def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
