@@ -63,15 +63,22 @@ _END = "_end_of_text"
 LINE = "_line"
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` evaluated once (a parse is not cheap)."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def _values(text: Column) -> Column:
     """The JSON objects of ``text`` (separated by commas), each as its own
     text, or NULL when it is anything else: not JSON, more after the last
     value, or a value that is no object."""
-    values = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')), T.ArrayType(T.StringType()))
-    n = F.size(values) - 1
-    kept = F.slice(values, 1, F.greatest(n, F.lit(1)))
-    objects = F.forall(kept, lambda v: v.isNotNull() & v.startswith("{"))
-    return F.when((n > 0) & (F.element_at(values, -1) == _END) & objects, kept)
+    def checked(values: Column) -> Column:
+        n = F.size(values) - 1
+        kept = F.slice(values, 1, F.greatest(n, F.lit(1)))
+        objects = F.forall(kept, lambda v: v.isNotNull() & v.startswith("{"))
+        return F.when((n > 0) & (F.element_at(values, -1) == _END) & objects, kept)
+
+    return _let(F.from_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')), T.ArrayType(T.StringType())), checked)
 
 
 def _parsed(element: T.StructType) -> Column:
@@ -80,6 +87,47 @@ def _parsed(element: T.StructType) -> Column:
     return F.from_json("_d", _with_corrupt(element), {"columnNameOfCorruptRecord": CORRUPT})
 
 
+def _typed(text: Column, element: T.StructType, absent: str | None = None) -> Column:
+    """The JSON objects of ``text`` as ``element`` structs, or NULL unless the
+    text holds nothing else, the parser reached its end, every value fits the
+    types and no object has the member ``absent``. One parse."""
+    extra = [T.StructField(c, T.StringType()) for c in (_END, absent) if c]
+    wrapped = T.StructType([T.StructField("v", T.ArrayType(T.StructType([*element.fields, *extra]))), T.StructField(CORRUPT, T.StringType())])
+
+    def checked(parsed: Column) -> Column:
+        n = F.size(parsed["v"]) - 1
+        kept = F.slice(parsed["v"], 1, F.greatest(n, F.lit(1)))
+        objects = F.forall(kept, lambda v: v.isNotNull() & (v[absent].isNull() if absent else F.lit(True)))
+        return F.when(parsed[CORRUPT].isNull() & (n > 0) & (F.element_at(parsed["v"], -1)[_END] == "1") & objects, kept)
+
+    whole = F.concat(F.lit('{"v":['), text, F.lit(f',{{"{_END}":1}}]}}'))
+    return _let(F.from_json(whole, wrapped, {"columnNameOfCorruptRecord": CORRUPT}), checked)
+
+
+def _objects(rows: DataFrame, text: Column, element: T.StructType, fallback: Column, absent: str | None = None) -> DataFrame:
+    """A row per JSON object of ``text`` with its place ``_doc``, its text
+    ``_d`` and ``_p``, the object as ``element`` with ``_corrupt_record``.
+    A text that parses cleanly is parsed once, straight to the types (``_d`` is NULL
+    then); any other is first split into the texts of its objects by
+    ``fallback``, and each is parsed by itself. Where that finds none either,
+    the row says ``_bad``."""
+    others = rows.columns
+    if {CORRUPT, _END, absent} & set(element.fieldNames()):
+        rows = rows.withColumn("_objects", F.lit(None).cast(T.ArrayType(element)))
+    else:
+        rows = rows.withColumn("_objects", _typed(text, element, absent))
+    # an array of neither: one row that says so
+    rows = rows.withColumn("_texts", F.when(F.col("_objects").isNull(), F.coalesce(fallback, F.array(F.lit(None).cast("string")))))
+    known = F.transform("_objects", lambda v: F.struct(F.lit(None).cast("string").alias("d"), v.alias("p")))
+    split = F.transform("_texts", lambda d: F.struct(d.alias("d"), F.lit(None).alias("p")))
+    rows = rows.select(*others, F.posexplode(F.coalesce(known, split)).alias(DOC, "_o"))
+    rows = rows.select(*others, DOC, F.col("_o.d").alias("_d"), F.col("_o.p").alias("_v"))
+    bad = F.col("_d").isNull() & F.col("_v").isNull()
+    rows = rows.withColumn("_bad", bad).withColumn("_t", F.when(F.col("_d").isNotNull(), _parsed(element)))
+    fields = [F.coalesce(F.col("_v")[f], F.col("_t")[f]).alias(f) for f in element.fieldNames()]
+    return rows.withColumn("_p", F.struct(*fields, F.col("_t")[CORRUPT].alias(CORRUPT))).drop("_v", "_t")
+
+
 def documents_of_text(texts: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
     """One row per JSON document of each text (a whole file, or a line).
 
@@ -96,11 +144,8 @@ def documents_of_text(texts: DataFrame, schema: T.StructType, text_col: str = "v
     lines = F.array_join(F.filter(F.split(F.col("_text"), r"[\r\n]+"), lambda x: F.trim(x) != ""), ",")
     whole = F.col("_text")
     docs = F.coalesce(_values(whole), F.when(whole.startswith("["), _values(F.regexp_replace(whole, r"^\[|\]$", ""))), _values(lines))
-    rows = (texts.select(text.alias("_text"), *others).filter((whole != "") & ~whole.rlike(r"^\[\s*\]$"))
-            .select("_text", docs.alias("_docs"), *others)
-            .select("_text", F.col("_docs").isNull().alias("_bad"),
-                    F.posexplode(F.coalesce("_docs", F.array(F.lit(None).cast("string")))).alias(DOC, "_d"), *others)
-            .withColumn("_p", _parsed(T.StructType(fields))))
+    rows = texts.select(text.alias("_text"), *others).filter((whole != "") & ~whole.rlike(r"^\[\s*\]$"))
+    rows = _objects(rows, whole, T.StructType(fields), docs)
     return rows.select(*[F.col("_p")[f.name].alias(f.name) for f in fields],
                        F.when(F.col("_bad"), whole).otherwise(F.col("_p")[CORRUPT]).alias(CORRUPT), DOC, *others)
 
@@ -209,10 +254,7 @@ def collection_line_features(lines: DataFrame, schema: T.StructType, text_col: s
     rows = rows.filter(~F.col("_body").rlike(r"^[\]}\s]*$"))
     body = F.col("_body")
     feats = F.coalesce(_values(body), _values(F.regexp_replace(body, r"\s*\]\s*\}?$", "")))
-    rows = (rows.select("_text", feats.alias("_feats"), *lineage)
-            .select("_text", F.col("_feats").isNull().alias("_bad"),
-                    F.posexplode(F.coalesce("_feats", F.array(F.lit(None).cast("string")))).alias(DOC, "_d"), *lineage)
-            .withColumn("_p", _parsed(element)))
+    rows = _objects(rows, body, element, feats, absent="features")
     # a collection that kept its header is no feature
     collection = F.col("_d").contains('"features"') & F.get_json_object("_d", "$.features").isNotNull()
     corrupt = F.when(F.col("_bad") | F.coalesce(collection, F.lit(False)), F.col("_text")).otherwise(F.col("_p")[CORRUPT])
