@@ -257,8 +257,6 @@ def scd2(changes: DataFrame, keys: list[str] | str, sequence_by: str,
         plan = plan_segments(df, keys, seq, max_rows_per_segment) if max_rows_per_segment else None
     out_cols = [F.col(c) for c in cols] + [F.col("_from").alias(valid_from), F.col("_to").alias(valid_to),
                                            F.col("_to").isNull().alias(is_current)]
-    if plan is None or plan.hot_plan is None:
-        return _versions(df, keys, seq, order, plan, track).select(*out_cols)
     # Segmented: the windowed rows feed both the per-segment summary and the
     # rows joined to it, through one exchange and sort, which are reused.
     return _versions(df, keys, seq, order, plan, track).select(*out_cols)
@@ -287,13 +285,13 @@ def _versions(df: DataFrame, keys: list[str], seq: str, order: list[str], plan:
 
     # 2. neighbours inside the segment.
     tracked = F.struct(*[F.col(c) for c in track]) if track is not None else F.lit(None)
-    d = d.withColumn("_trk", tracked) \
-         .withColumn("_rn", F.row_number().over(w)) \
-         .withColumn("_p_del", F.lag(DEL).over(w)) \
-         .withColumn("_p_trk", F.lag("_trk").over(w)) \
-         .withColumn("_n_seq", F.lead(seq).over(w)) \
-         .withColumn("_n_del", F.lead(DEL).over(w)) \
-         .withColumn("_n_trk", F.lead("_trk").over(w))
+    d = d.withColumn("_trk", tracked).withColumns({
+        "_rn": F.row_number().over(w),
+        "_p_del": F.lag(DEL).over(w),
+        "_p_trk": F.lag("_trk").over(w),
+        "_n_seq": F.lead(seq).over(w),
+        "_n_del": F.lead(DEL).over(w),
+        "_n_trk": F.lead("_trk").over(w)})
 
     def differs(a: str | Column, b: str | Column) -> Column:
         if track is None:
@@ -310,8 +308,7 @@ def _versions(df: DataFrame, keys: list[str], seq: str, order: list[str], plan:
     if not segmented:
         changed = F.when(F.col("_rn") == 1, F.lit(True)).otherwise(inner_changed)
         next_changed = F.when(F.col("_n_seq").isNull(), F.lit(True)).otherwise(inner_next_changed)
-        d = d.withColumn("_chg", changed).withColumn("_end", next_changed) \
-             .withColumn("_to", F.col("_n_seq"))
+        d = d.withColumns({"_chg": changed, "_end": next_changed, "_to": F.col("_n_seq")})
         carry = F.lit(None)
     else:
         # 3. per hot segment: first and last row, last local change.
@@ -342,8 +339,8 @@ def _versions(df: DataFrame, keys: list[str], seq: str, order: list[str], plan:
                          .otherwise(F.lit(True))).otherwise(inner_changed)
         next_changed = F.when(F.col("_n_seq").isNull(), F.coalesce(F.col("_nfchg"), F.lit(True))) \
                         .otherwise(inner_next_changed)
-        d = d.withColumn("_chg", changed).withColumn("_end", next_changed) \
-             .withColumn("_to", F.when(F.col("_n_seq").isNull(), F.col("_nfseq")).otherwise(F.col("_n_seq")))
+        d = d.withColumns({"_chg": changed, "_end": next_changed,
+                           "_to": F.when(F.col("_n_seq").isNull(), F.col("_nfseq")).otherwise(F.col("_n_seq"))})
         carry = F.col("_carry")
 
     # 4. run start = latest change at or before the row (sequence is sorted).
