@@ -154,6 +154,11 @@ UNION ALL
 SELECT c_custkey, 'c_nationkey_range', 'error' FROM customer
   WHERE NOT (c_nationkey IS NULL OR (c_nationkey >= 0 AND c_nationkey <= 20))""",
 
+    "stream_unique": """
+        WITH r AS (SELECT o_orderkey, o_custkey, o_orderdate, COUNT(*) OVER w AS n, MIN(o_orderkey) OVER w AS first_key
+                   FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
+                   WINDOW w AS (PARTITION BY o_custkey, o_orderdate))
+        SELECT o_orderkey, o_custkey, o_orderdate, o_orderkey = first_key AS is_first FROM r WHERE n > 1""",
     "unique_failures": """
 SELECT o_orderkey, o_custkey, o_orderdate FROM orders
 WHERE (o_custkey, o_orderdate) IN (SELECT o_custkey, o_orderdate FROM orders

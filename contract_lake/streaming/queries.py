@@ -20,7 +20,7 @@ from ..plans import flows
 from ..session import work_dir
 from ..sinks.files import write_changeset
 from ..sources.documents import stream_features, stream_variant
-from . import ingest, merge
+from . import ingest, merge, unique
 
 FILES_PER_TRIGGER = 4
 
@@ -230,6 +230,20 @@ def q_ingest_counts(spark, sf):
     return metrics.groupBy("metric_name").agg(F.sum("value").cast("long").alias("total"))
 
 
+def q_stream_unique(spark, sf):
+    """Q5 ``unique`` on a stream: orders arrive in files, two a micro-batch,
+    and the query is started again for the second delivery; every order whose
+    (customer, date) repeats, and whether it was the first of them."""
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    root = work_dir(spark, "stream_unique")
+    keys = ["o_custkey", "o_orderdate"]
+    for half in (0, 1):
+        orders.filter(F.col("o_orderkey") % 2 == half).repartitionByRange(6, "o_orderkey").write.parquet(f"{root}/orders/half{half}")
+        stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/orders/*")
+        unique.track_unique(stream, keys, "o_orderkey", f"{root}/repeated", f"{root}/_checkpoint").awaitTermination()
+    return unique.repeated_rows(orders, unique.read_repeated(spark, keys, f"{root}/repeated"), keys, "o_orderkey")
+
+
 def q_variant_projection(spark, sf):
     """S5 + P3 (variant form): documents streamed as one VARIANT column,
     exploded and projected by the contract through ``try_variant_get``."""
@@ -272,4 +286,5 @@ def queries():
             "stream_lines_history": q_stream_lines_history,
             "stream_collection_lines": q_stream_collection_lines,
             "stream_quarantine": q_stream_quarantine, "ingest_counts": q_ingest_counts,
+            "stream_unique": q_stream_unique,
             "variant_drift": q_variant_drift, "variant_projection": q_variant_projection}
