@@ -46,9 +46,12 @@ def write_log_rows(df: DataFrame, path: str) -> None:
 
 
 def write_changeset(docs: DataFrame, folder: str, prefix: str = "changeset",
-                    now: datetime | None = None) -> str:
+                    now: datetime | None = None, file_bytes: int = 16 << 20) -> str:
     """K5: write tagged documents (one JSON document per line) into a new
-    time-stamped folder under ``folder``; returns that folder."""
+    time-stamped folder under ``folder``; returns that folder. A reader that
+    takes files whole holds one in memory, so a file is kept to about
+    ``file_bytes`` (at least one document) by the size of the largest."""
     target = f"{folder.rstrip('/')}/{stamped_name(prefix, now)}"
-    docs.write.mode("errorifexists").json(target)
+    largest = docs.agg(F.max(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 1
+    docs.write.mode("errorifexists").option("maxRecordsPerFile", max(1, file_bytes // largest)).json(target)
     return target
