@@ -14,10 +14,8 @@ are the rules that conclude a label with at least ``min_confidence``,
 ``min_support`` (of all labelled URLs, and ``min_rows`` of them) and a lift
 over ``min_lift``, unless a more general rule for the same label is at least
 as confident. Tokens that all URLs hold tell nothing and are not mined; of
-tokens that always come together one is. A basket mines with its
-``basket_items`` most telling frequent tokens (a parameter of the model that
-bounds the number of item sets: no more than 2^(basket_items + 1) /
-min_support); matching looks at all tokens.
+tokens that always come together one is. A basket mines with all its other
+frequent tokens, none is cut; matching looks at all tokens.
 
 *Matching* goes by an inverted index: each rule stands under its rarest token,
 so a URL meets only rules of which it holds that token, and the rest of the
@@ -89,33 +87,30 @@ def tokens_of(url: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def baskets(labelled: DataFrame, min_support: float, min_rows: int, basket_items: int) -> tuple[DataFrame, float]:
+def baskets(labelled: DataFrame, min_support: float, min_rows: int) -> tuple[DataFrame, float]:
     """``items`` of each row of ``labelled`` (url, blocked) for FP-growth, its
     label among them, written once; and the support that means ``min_rows``."""
     rows = written(labelled.where("blocked IS NOT NULL").select(
         F.monotonically_increasing_id().alias("row"), "blocked", tokens_of(F.col("url")).alias("tokens")), "urlrules-labelled")
-    total = rows.agg(F.count("*").alias("n"), F.avg(F.col("blocked").cast("double")).alias("share")).first()
-    single = rows.select("row", "blocked", F.explode("tokens").alias("token"))
+    total = rows.agg(F.count("*").alias("n")).first()
+    single = rows.select("row", F.explode("tokens").alias("token"))
     support = max(min_support, min(1.0, min_rows / max(1, total.n)))
     # Frequent tokens only: fewer than (tokens a URL) / support rows.
-    telling = (single.groupBy("token").agg(F.count("*").alias("n"), F.avg(F.col("blocked").cast("double")).alias("share"),
-                                           F.bit_xor(F.xxhash64("row")).alias("rows"))
+    telling = (single.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("rows"))
                .where((F.col("n") >= support * total.n) & (F.col("n") < total.n))
-               .groupBy("n", "rows").agg(F.min("token").alias("token"), F.first("share").alias("share"))
-               .select("token", (F.abs(F.col("share") - F.lit(total.share)) * F.sqrt("n")).alias("weight")))
+               .groupBy("n", "rows").agg(F.min("token").alias("token")).select("token"))
     label = F.concat(F.lit(LABEL), F.when(F.col("blocked"), BLOCK).otherwise(ALLOW))
-    chosen = single.join(telling, "token").groupBy("row").agg(
-        F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("weight"), "token"))), 1, basket_items), lambda x: x["token"]).alias("tokens"))
+    chosen = single.join(telling, "token").groupBy("row").agg(F.collect_list("token").alias("tokens"))
     items = F.concat(F.coalesce("tokens", F.array().cast("array<string>")), F.array("label")).alias("items")
     return written(rows.select("row", label.alias("label")).join(chosen, "row", "left").select(items), "urlrules-baskets"), support
 
 
 def mined_rules(labelled: DataFrame, min_support: float = 0.005, min_confidence: float = 0.5, min_lift: float = 1.05,
-                min_rows: int = 20, basket_items: int = 10) -> DataFrame:
+                min_rows: int = 20) -> DataFrame:
     """``items`` (sorted), ``pivot`` (the rarest of them), ``verdict``,
     ``confidence``, ``support``, ``lift`` of the rules kept, from ``labelled``
     (url, blocked boolean)."""
-    found, support = baskets(labelled, min_support, min_rows, basket_items)
+    found, support = baskets(labelled, min_support, min_rows)
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(found)
     rules = (model.associationRules.where(F.element_at("consequent", 1).startswith(LABEL) & (F.col("lift") >= min_lift))
              .select(F.sort_array("antecedent").alias("items"), F.substring(F.element_at("consequent", 1), len(LABEL) + 1, 8).alias("verdict"),

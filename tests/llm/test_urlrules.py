@@ -115,3 +115,19 @@ def test_labels_of_pages(spark):
 def test_no_pages(spark):
     nothing = spark.createDataFrame([], "page_id long, url string")
     assert urlrules.judged(nothing, spark.createDataFrame(labelled(1), "url string, blocked boolean"), URL_RULES, **MINING).count() == 0
+
+
+def test_no_token_of_a_basket_is_cut(spark):
+    """A thirteenth frequent token that tells little alone still makes its rule."""
+    rows = []
+    for i in range(1 << 10):
+        keys = [f"k{j}=1" for j in range(13) if chance(i, j)]
+        rows.append(("http://a.net/x?" + "&".join(keys), chance(i, 0) if chance(i, 12) else chance(i, 40)))
+    found, _ = urlrules.baskets(spark.createDataFrame(rows, "url string, blocked boolean"), 0.05, 5)
+    got = sorted((sorted(t for t in r["items"] if not t.startswith("label=")) for r in found.collect()))
+    assert got == sorted(sorted(f"key:{k.split('=')[0]}" for k in u.split("?", 1)[1].split("&") if k) for u, _ in rows)
+    assert max(map(len, got)) > 10
+
+
+def chance(i, j):
+    return (i * 2654435761 + j * 40503 * (i + 7)) // 64 % 8 > 1
