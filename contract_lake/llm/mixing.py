@@ -26,7 +26,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows per group in which bytes are summed up row by row.
@@ -141,6 +141,14 @@ def slots_of(docs: DataFrame, weights: dict[str, float] | None = None, block_byt
                     (F.col("start") + F.ceil((turn + 1) * period / F.col("rate"))).alias("deadline"), "phase"))
 
 
+def place() -> Column:
+    """A long that grows in the order of the rows ``mixed`` gave, of a table
+    read from the files they were written to: number of the task, of its file,
+    of the row (Spark's writer keeps the order of partitions in the names)."""
+    part = lambda pattern: F.coalesce(F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).try_cast("long"), F.lit(0))
+    return F.shiftleft(part(r"^part-(\d+)-"), 42) + F.shiftleft(part(r"-c(\d+)\."), 32) + F.col("_metadata.row_index")
+
+
 def schedule(docs: DataFrame, **settings) -> DataFrame:
     """The columns of ``docs`` (but for those named alike) and those of ``slots_of``."""
     placed = slots_of(docs, **settings)

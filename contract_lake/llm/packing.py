@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contract_lake.llm.common import arrow_map, batch_of, sorted_groups, written
@@ -131,26 +131,27 @@ def evolve(lengths: list[int], capacity: int, seed: int, start: list[list[int]]
     return min((r[2] for r in ranked), key=lambda p: (len(p), -score(p)))
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, order: Column | None = None) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` of every
-    piece, written once with ``item``, a number of its own."""
-    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+    piece and ``turn``, its document's ``order``, written once with ``item``,
+    a number of its own."""
+    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("turn", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(vocabulary)
         end = np.zeros(1, np.uint32)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encoded(batch.column("text")), strict=True):
+            for doc_id, turn, ids in zip(batch.column("doc_id").to_pylist(), batch.column("turn").to_pylist(), encoder.encoded(batch.column("text")), strict=True):
                 octets = np.concatenate([ids, end]).astype("<u4").tobytes()
                 for at in range(0, len(octets), 4 * capacity):
                     part = octets[at:at + 4 * capacity]
-                    out.append((doc_id, at // (4 * capacity), at // 4, len(part) // 4, zlib.crc32(part)))
+                    out.append((doc_id, at // (4 * capacity), at // 4, len(part) // 4, zlib.crc32(part), turn))
             if out:
                 yield batch_of(schema, *zip(*out, strict=True))
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = arrow_map(rows, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), (F.lit(None) if order is None else order).cast("long").alias("turn"))
+    found = arrow_map(rows, run, "doc_id long, piece int, start long, length long, ids_crc32 long, turn long")
     return written(found.withColumn("item", F.monotonically_increasing_id()), "packing-pieces")
 
 
@@ -192,10 +193,12 @@ def _dealt(items: DataFrame, n: int, salt: int) -> DataFrame:
 
 
 def packed(docs: DataFrame, vocabulary: str, capacity: int = 2048, island: int = 2048, epochs: int = 2,
-           population: int = 6, children: int = 24, merge: int = 8) -> DataFrame:
+           population: int = 6, children: int = 24, merge: int = 8, order: Column | None = None) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``,
-    ``sequence_id``, ``offset`` of every piece of every document."""
-    found = pieces(docs, vocabulary, capacity)
+    ``sequence_id``, ``offset`` of every piece of every document. With
+    ``order`` (a long of each row of ``docs``) also ``turn``: the least order
+    among the sequence's documents, by which the sequences are to be read."""
+    found = pieces(docs, vocabulary, capacity, order)
     loose = found.where(F.col("length") < capacity).select("item", "length")
     n = max(1, -(-loose.count() // island))
     state = written(_on_islands(_dealt(loose, n, 0), capacity, population, children, 1), "packing-epoch")
@@ -228,6 +231,7 @@ def packed(docs: DataFrame, vocabulary: str, capacity: int = 2048, island: int =
     for more in done[1:]:
         places = places.union(more)
     places = places.select("item", (F.col("level") * F.lit(1 << 56) + F.col("island") * F.lit(1 << 24) + F.col("bin") * 2).alias("at"), "offset")
-    return found.join(places, "item", "left").select(
+    out = found.join(places, "item", "left").select(
         "doc_id", "piece", "start", "length", "ids_crc32",
-        F.coalesce("at", F.col("item") * 2 + 1).alias("sequence_id"), F.coalesce("offset", F.lit(0)).cast("long").alias("offset"))
+        F.coalesce("at", F.col("item") * 2 + 1).alias("sequence_id"), F.coalesce("offset", F.lit(0)).cast("long").alias("offset"), "turn")
+    return out.drop("turn") if order is None else out.withColumn("turn", F.min("turn").over(Window.partitionBy("sequence_id")))

@@ -1,6 +1,7 @@
 """The corpus pipeline: low-quality documents go, one of each group of near
 copies stays, repeated passages are cut out, the sources are mixed to their
-target weights and the documents packed into sequences.
+target weights and the documents packed into sequences, which take their turns
+in the order of the mix.
 
 Each stage takes what its predecessor kept, written as Parquet and reread; all
 but the last return the columns of ``documents``.
@@ -33,7 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs, tokens.default_vocabulary(), capacity=2048)
+    return packing.packed(docs, tokens.default_vocabulary(), capacity=2048, order=mixing.place())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

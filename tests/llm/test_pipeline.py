@@ -56,3 +56,24 @@ def test_every_operator_has_its_query():
     import __spark_entry__ as entry
     assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in entry.queries())] == []
     assert "pipeline" in entry.queries() and set(q.queries()) <= set(entry.queries())
+
+
+def test_sequences_take_turns_in_the_order_of_the_mix(spark):
+    from pyspark.sql import functions as F
+
+    from contract_lake.llm import mixing
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(300)
+    order = [r.doc_id for r in mixing.mixed(docs).collect()]
+    mixed = corpus_pipeline.written(mixing.mixed(docs), "test-mixed")
+    place = {r.doc_id: r.p for r in mixed.select("doc_id", mixing.place().alias("p")).collect()}
+    assert sorted(place, key=place.get) == order
+    rows = dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, mixed, SF).collect()
+    held = {}
+    for r in rows:
+        held.setdefault(r.sequence_id, []).append(place[r.doc_id])
+    assert all(r.turn == min(held[r.sequence_id]) for r in rows)
+    # another mix, other turns
+    other = corpus_pipeline.written(docs.orderBy(F.desc("doc_id")), "test-unmixed")
+    turns = {r.doc_id: r.turn for r in dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, other, SF).collect()}
+    assert any(turns[r.doc_id] != r.turn for r in rows)
