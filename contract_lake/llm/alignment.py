@@ -245,19 +245,20 @@ def alignments(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     key = F.unhex(F.md5("text"))
     distinct = docs.select(F.col("text").cast("string")).where(F.octet_length("text") > 0).groupBy("text").agg(F.count("*").alias("copies"))
+    # A text goes by a number: its rows lie side by side, and numbers pack far better than hashes.
     of_texts = written(arrow_map(distinct.select(key.alias("key"), "text", "copies"), run,
-                                 "key binary, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"),
+                                 "key binary, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>").withColumn("number", F.monotonically_increasing_id()),
                        "alignment-texts")
-    linked = of_texts.select("key", "copies", F.explode(F.arrays_zip("pairs", "times")).alias("p")).select(
-        "key", "copies", F.col("p.pairs").alias("pair"), F.col("p.times").alias("times"))
+    linked = of_texts.select("number", "copies", F.explode(F.arrays_zip("pairs", "times")).alias("p")).select(
+        "number", "copies", F.col("p.pairs").alias("pair"), F.col("p.times").alias("times"))
     counts = written(linked.groupBy("pair").agg(F.sum(F.col("times") * F.col("copies")).alias("count")), "alignment-counts")
     counts = counts.withColumn("b_id", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)))
     highest = counts.groupBy("b_id").agg(F.max("count").alias("highest"))  # one row an id of B
     counts = written(counts.join(highest, "b_id").select("pair", "count", (F.col("count") == F.col("highest")).alias("best")), "alignment-best")
     # By shuffle at every size: the table of pairs grows with the corpus, far beyond what could be broadcast.
-    sums = written(linked.join(counts.hint("merge"), "pair").groupBy("key").agg(
+    sums = written(linked.join(counts.hint("merge"), "pair").groupBy("number").agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("count")).alias("count_sum")), "alignment-sums")
-    by_text = written(of_texts.drop("pairs", "times", "copies").join(sums, "key", "left"), "alignment-measures")
+    by_text = written(of_texts.drop("pairs", "times", "copies").join(sums, "number", "left").drop("number"), "alignment-measures")
     rows = docs.select(F.col("doc_id").cast("long"), F.unhex(F.md5(F.col("text").cast("string"))).alias("key"))
     number = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return rows.join(by_text, "key", "left").select("doc_id", *map(number, ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")),
