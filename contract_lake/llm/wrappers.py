@@ -1,12 +1,14 @@
 """Main text of web pages by wrapper induction.
 
-*Induction.* For each host up to ``sample`` different pages (least hashes of
-page_id) are parsed to DOM trees, children of one name folded into one. The
-trees are aligned one after the other by simple tree matching: two nodes match
-if their names (tag, classes, id without digits) do, and their children are
-aligned in order so that, all the way down, most nodes match. A text found at
-a node in all of at least four different pages is template, anything else
-fills a slot. The content region is found from the root on: the container with
+*Induction.* All pages of a host are parsed to DOM trees, copies taken once,
+children of one name folded into one. The trees are aligned by simple tree
+matching: two nodes match if their names (tag, classes, id without digits) do,
+and their children are aligned in order so that, all the way down, most nodes
+match. Every page is in a group of ``GROUP`` pages or a few more (a host's only
+one may have fewer). A text found at a node in all pages of a group, at least
+four, is constant there; a text constant in groups that hold more than half of
+the host's pages is template, anything else fills a slot. So one odd page
+spoils its group only. The content region is found from the root on: the container with
 more than half of the varying text is followed, containers beside it go, but
 for one before it with a varying title. Landmarks of another kind (menu,
 header, footer, side bar, form, advert, notice, reader comments: by tag, role
@@ -22,6 +24,13 @@ beside the region go only from pages that have it. Nodes the wrapper doesn't kno
 their parent, and hosts without enough pages have no template, so only the
 landmarks speak.
 
+*At scale.* A host's pages are dealt into blocks of about ``BLOCK`` by a hash
+of the tree, so the result does not depend on partitions. A task builds a
+block's wrapper group by group and keeps counts and the constant texts, not
+the others; a host's few block wrappers are then aligned into one by the same
+matching. A wrapper grows with the different names of nodes on its host, not
+with its pages.
+
 Null, empty or broken html gives what text it holds, or none. Very long pages
 are parsed in one pass, nested to any depth. Repeated rows come back once each. NULL urls share a
 wrapper. Columns other than ``page_id``, ``url`` and ``html`` are ignored.
@@ -32,13 +41,20 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from hashlib import blake2b
+from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contract_lake.llm.common import arrow_map, sorted_groups, written
+from contract_lake.llm.common import arrow_map, written
+
+#: Pages that decide together what is constant, the fewest that do, and pages of a host dealt to one block.
+GROUP, ENOUGH, BLOCK = 8, 4, 256
+#: What a slot counts.
+COUNTS = ("pages", "letters", "linked", "seen", "held", "varying")
 
 # Names of HTML elements and of page parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -230,20 +246,35 @@ def folded(tree: Node) -> Group:
 
 
 class Slot:
-    """A node of the wrapper: in how many pages each text was seen there, and
-    letters seen, inside links and in all. ``template``: texts that every page
-    has there; ``varies``: whether there are others; ``region``: ``+`` on the
-    path of the content region, ``-`` beside it."""
-
-    __slots__ = ("name", "texts", "pages", "letters", "linked", "children", "other", "template", "varies", "region")
+    """A node of the wrapper: pages that have it, letters seen, inside links
+    and in all (``seen``: a text once a page); in the group of pages being
+    aligned, the texts all pages have there and whether there are others
+    (``mixed``). Of whole groups: ``votes``, the pages of the groups in which a
+    text is constant, ``held``, those of the groups that have the node, and
+    ``varying``, those where it varies. ``template``: texts of the site;
+    ``varies``: whether there are others; ``region``: ``+`` on the path of the
+    content region, ``-`` beside it."""
+
+    __slots__ = ("name", "common", "mixed", "pages", "letters", "linked", "seen", "votes", "held", "varying",
+                 "children", "places", "other", "template", "varies", "region")
 
     def __init__(self, name: str, other: bool = False):
         self.name, self.other = name, other
-        self.texts: dict[str, int] = {}
-        self.pages = self.letters = self.linked = 0
+        self.common: set[str] = set()
+        self.votes: dict[str, int] = {}
+        self.pages = self.letters = self.linked = self.seen = self.held = self.varying = 0
         self.children: list[Slot] = []
+        self.places: dict[str, list[int]] | None = None
         self.template: frozenset[str] = frozenset()
-        self.varies, self.region = False, ""
+        self.mixed, self.varies, self.region = False, False, ""
+
+    def place(self) -> dict[str, list[int]]:
+        """Where the children of each name are."""
+        if self.places is None:
+            self.places = {}
+            for j, c in enumerate(self.children):
+                self.places.setdefault(c.name, []).append(j)
+        return self.places
 
     @property
     def tag(self) -> str:
@@ -279,17 +310,16 @@ def heaviest(links: list[tuple[int, int, int]], weight: list[int]) -> tuple[int,
     return best[0], out[::-1]
 
 
-def matched(tree: Group, wrapper: Slot) -> tuple[int, list[tuple[Group, Slot]]]:
+def matched(tree: Group | Slot, wrapper: Slot) -> tuple[int, list[tuple[Group | Slot, Slot]]]:
     """Simple tree matching: nodes match if their names and parents do, and
     siblings keep their order; as many nodes as can be. Names of a group's
     children differ, so a slot meets one group at most and the pairs are no
-    more than the slots; their weights are found from the leaves up."""
+    more than the slots; their weights are found from the leaves up. Slots of
+    one name beside each other (siblings in another order on other pages) are
+    all tried against those of another wrapper."""
     pairs, links = [(tree, wrapper)], []
     for group, slot in pairs:  # grows as it goes
-        place: dict[str, list[int]] = {}
-        for j, c in enumerate(slot.children):
-            place.setdefault(c.name, []).append(j)
-        own = []
+        place, own = slot.place(), []
         for i, c in enumerate(group.children):
             for j in reversed(place.get(c.name, ())):
                 own.append((i, j, len(pairs)))
@@ -307,30 +337,51 @@ def matched(tree: Group, wrapper: Slot) -> tuple[int, list[tuple[Group, Slot]]]:
     return weight[0], out
 
 
+def _aligned(slot: Slot, others: list, match: dict[int, Slot], made: Callable) -> list[tuple]:
+    """Each of ``others`` with its child of ``slot``; those without a match
+    get one, ``made`` of them, in its place."""
+    pairs = [(c, match.get(id(c)) or made(c)) for c in others]
+    if any(id(c) not in match for c in others):
+        place = {id(c): j for j, c in enumerate(slot.children)}
+        out, at = [], 0
+        for _, child in pairs:
+            if id(child) in place:
+                out += slot.children[at:place[id(child)]]
+                at = place[id(child)] + 1
+            out.append(child)
+        slot.children, slot.places = out + slot.children[at:], None
+    return pairs
+
+
 def merge(wrapper: Slot, tree: Group) -> None:
-    """Align a page's folded tree into the wrapper; what is new gets a slot."""
+    """Align a page's folded tree into its group's wrapper; what is new gets a slot."""
     match = {id(group): slot for group, slot in matched(tree, wrapper)[1]}
     stack = [(tree, wrapper)]
     while stack:
         group, slot = stack.pop()
-        slot.pages += 1
         texts = [own_text(node) for node in group.members]
+        own = set(texts) - {""}
+        slot.mixed |= slot.pages > 0 and own != slot.common
+        slot.common = slot.common & own if slot.pages else own
+        slot.pages += 1
         slot.letters += sum(map(len, texts))
         slot.linked += sum(map(linked_letters, group.members))
-        for text in set(texts) - {""}:
-            slot.texts[text] = slot.texts.get(text, 0) + 1
-        place = {id(c): j for j, c in enumerate(slot.children)}
-        out, at = [], 0
-        for c in group.children:
-            child = match.get(id(c))
-            if child is None:
-                child = Slot(c.name, c.members[0].other)
-            else:
-                out += slot.children[at:place[id(child)]]
-                at = place[id(child)] + 1
-            out.append(child)
-            stack.append((c, child))
-        slot.children = out + slot.children[at:]
+        slot.seen += sum(map(len, own))
+        stack += _aligned(slot, group.children, match, lambda c: Slot(c.name, c.members[0].other))
+
+
+def join(wrapper: Slot, other: Slot) -> None:
+    """Align another wrapper, of other groups of pages, into a wrapper."""
+    match = {id(theirs): slot for theirs, slot in matched(other, wrapper)[1]}
+    stack = [(other, wrapper)]
+    while stack:
+        theirs, slot = stack.pop()
+        for field in COUNTS:
+            setattr(slot, field, getattr(slot, field) + getattr(theirs, field))
+        for text, n in theirs.votes.items():
+            slot.votes[text] = slot.votes.get(text, 0) + n
+        # what is new is taken as it is, with all below it
+        stack += [(c, child) for c, child in _aligned(slot, theirs.children, match, lambda c: c) if c is not child]
 
 
 def in_order(wrapper: Slot) -> list[Slot]:
@@ -341,34 +392,95 @@ def in_order(wrapper: Slot) -> list[Slot]:
     return out
 
 
-def induce(pages: list[str], enough: int = 4) -> list:
+def grouped(trees: Iterable[str], size: int = GROUP) -> Iterator[list[str]]:
+    """Groups of ``size``, the last of up to twice as many but one."""
+    held: list[str] = []
+    for tree in trees:
+        held.append(tree)
+        if len(held) == 2 * size:
+            yield held[:size]
+            del held[:size]
+    if held:
+        yield held
+
+
+def of_group(trees: list[str], enough: int = ENOUGH) -> Slot:
+    """The wrapper of a group of different pages (see ``flat``); fewer than
+    ``enough`` say nothing about what is constant."""
+    root, n = Slot("html"), len(trees)
+    for tree in trees:
+        merge(root, folded(unflat(tree)))
+    for slot in in_order(root):
+        if n >= enough:
+            everywhere = slot.pages == n
+            slot.held = n
+            slot.votes = dict.fromkeys(slot.common, n) if everywhere else {}
+            slot.varying = n if slot.mixed or slot.common and not everywhere else 0
+        slot.common, slot.mixed = set(), False
+    return root
+
+
+def joined(wrappers: Iterable[Slot]) -> Slot | None:
+    """One wrapper of several, in their order."""
+    root = None
+    for wrapper in wrappers:
+        if root is None:
+            root = wrapper
+        else:
+            join(root, wrapper)
+    return root
+
+
+def induce(pages: list[str], enough: int = ENOUGH) -> list:
     """The wrapper of one host's pages, as plain data."""
-    seen, root = set(), Slot("html")
-    for page in pages:
-        tree = parse(page)
-        shape = _plain(tree)
-        if shape not in seen:  # copies of a page would make everything constant
-            seen.add(shape)
-            merge(root, folded(tree))
-    slots = in_order(root)
-    if len(seen) >= enough:
+    # copies of a page would make everything constant
+    return finished(joined(of_group(g, enough) for g in grouped(dict.fromkeys(flat(parse(p)) for p in pages))) or Slot("html"), enough)
+
+
+def finished(root: Slot, enough: int = ENOUGH) -> list:
+    """A wrapper with its marks, as plain data."""
+    slots, pages = in_order(root), root.held
+    if pages:
         for slot in slots:
-            if slot.pages == len(seen):
-                slot.template = frozenset(t for t, n in slot.texts.items() if n == slot.pages)
-            slot.varies = len(slot.texts) > len(slot.template)
+            slot.template = frozenset(t for t, n in slot.votes.items() if 2 * n > pages)
+            slot.varies = slot.held > 0 and 2 * slot.varying >= slot.held
         _mark_region(slots, enough)
     for slot in slots:
         if slot.letters and slot.linked > 0.6 * slot.letters and slot.tag in ("ul", "ol", "div", "li", "section"):
             slot.other = True
+    return [[parent, s.name, int(s.other), int(s.varies), s.region, sorted(s.template)] for parent, s in zip(_parents(slots), slots, strict=True)]
+
+
+def _parents(slots: list[Slot]) -> list[int]:
     number = {id(c): k for k, slot in enumerate(slots) for c in slot.children}
-    return [[number.get(id(s), -1), s.name, int(s.other), int(s.varies), s.region, sorted(s.template)] for s in slots]
+    return [number.get(id(s), -1) for s in slots]
+
+
+def packed(root: Slot) -> str:
+    """A wrapper without marks as JSON."""
+    slots = in_order(root)
+    return json.dumps([[parent, s.name, int(s.other), s.votes, *(getattr(s, f) for f in COUNTS)]
+                       for parent, s in zip(_parents(slots), slots, strict=True)])
+
+
+def unpacked(data: str) -> Slot:
+    slots: list[Slot] = []
+    for parent, name, other, votes, *counts in json.loads(data):
+        slot = Slot(name, bool(other))
+        slot.votes = votes
+        for field, n in zip(COUNTS, counts, strict=True):
+            setattr(slot, field, n)
+        slots.append(slot)
+        if parent >= 0:
+            slots[parent].children.append(slot)
+    return slots[0]
 
 
 def _mark_region(slots: list[Slot], enough: int) -> None:
     """Follow the container with more than half of the varying letters from
     the root on; containers beside the path that bring no varying title before
     it are marked as such."""
-    weight = {id(s): sum(len(t) * n for t, n in s.texts.items() if t not in s.template) for s in slots}
+    weight = {id(s): s.seen - sum(len(t) * s.votes[t] for t in s.template) for s in slots}
     title = {id(s): s.tag in ("h1", "h2") and s.varies for s in slots}
     for slot in reversed(slots):
         for c in slot.children:
@@ -390,25 +502,45 @@ def _mark_region(slots: list[Slot], enough: int) -> None:
         at = best
 
 
-def _plain(tree: Node) -> str:
-    out, stack = [], [tree]
+def flat(tree: Node) -> str:
+    """A tree as JSON: names, texts and ends (0) in page order, without the
+    attributes and scripts of the page."""
+    out: list = []
+    stack: list = [tree]
     while stack:
         n = stack.pop()
-        if isinstance(n, str):
+        if isinstance(n, Node):
+            out.append([n.tag, n.name[len(n.tag):], 1] if n.other else [n.tag, n.name[len(n.tag):]])
+            stack += [0, *reversed(n.children)]
+        else:
             out.append(n)
+    return json.dumps(out)
+
+
+def unflat(data: str) -> Node:
+    """The tree of ``flat``, as far as wrappers see it."""
+    stack: list[Node] = []
+    for item in json.loads(data):
+        if item == 0:
+            last = stack.pop()
+        elif isinstance(item, str):
+            stack[-1].children.append(item)
         else:
-            out.append(f"<{n.name}>")
-            stack += ["</>", *reversed(n.children)]
-    return "\0".join(out)
+            node = Node(item[0])
+            node.name, node.other = item[0] + item[1], len(item) > 2
+            if stack:
+                stack[-1].children.append(node)
+            stack.append(node)
+    return last
 
 
-def extract(page: str, wrapper: list | None = None) -> str:
+def extract(page: str, wrapper: list | Slot | None = None) -> str:
     """The main text of a page."""
     tree = parse(page)
     slot_of: dict[int, Slot] = {}
     aside: set[int] = set()  # blocks beside the content region, where the page has one
     if wrapper is not None:
-        for group, slot in matched(folded(tree), _slots(wrapper))[1]:
+        for group, slot in matched(folded(tree), wrapper if isinstance(wrapper, Slot) else _slots(wrapper))[1]:
             slot_of.update((id(node), slot) for node in group.members)
         for node in _nodes(tree):
             kids = [c for c in inline(node) if isinstance(c, Node)] if id(node) in slot_of else []
@@ -474,41 +606,87 @@ def host_of(url: str = "url") -> Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col(url).cast("string"), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)), F.lit(""))
 
 
-def host_wrappers(pages: DataFrame, sample: int = 8) -> DataFrame:
-    """``host`` and its ``wrapper`` (JSON) for every host."""
-    first = (pages.select(host_of().alias("host"), F.col("page_id").cast("long"), F.col("html").cast("string")).where("html is not null and html <> ''")
-             .withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id")))
-             .where(F.col("rank") <= sample).select(F.xxhash64("host").alias("key"), "host", "rank", "html"))
-
-    schema = pa.schema([("host", pa.string()), ("wrapper", pa.string())])
+def host_wrappers(pages: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``host`` and its ``wrapper`` (JSON) for every host, of all its pages."""
+    rows = pages.select(host_of().alias("host"), F.col("html").cast("string").alias("html"))
+    # A small table: of any number of pages at most one in ``block`` has a host here.
+    large = rows.groupBy("host").agg(F.ceil(F.count("*") / block).alias("blocks")).where("blocks > 1")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sorted_groups(batches, "key"):
-            rows = sorted(zip(*(group.column(c).to_pylist() for c in ("host", "rank", "html")), strict=True))
-            hosts = sorted({r[0] for r in rows})  # hosts whose keys collide stay apart
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array([json.dumps(induce([r[2] for r in rows if r[0] == h])) for h in hosts], pa.string())],
-                                             schema=schema)
-
-    return written(arrow_map(first.repartition("key").sortWithinPartitions("key"), run, "host string, wrapper string"), "wrappers")
-
-
-def main_text(pages: DataFrame, sample: int = 8, broadcast_bytes: int = 16 << 20) -> DataFrame:
+    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Copies leave here, so that a page that is everywhere is not gathered; those of other tasks meet in their block.
+        known: set[bytes] = set()
+        schema = pa.schema([("host", pa.string()), ("blocks", pa.int64()), ("tree", pa.string())])
+        for batch in batches:
+            out = []
+            for host, blocks, html in zip(*(batch.column(c).to_pylist() for c in ("host", "blocks", "html")), strict=True):
+                name = blake2b(f"{host}\0{html}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                if name not in known:
+                    known.add(name)
+                    tree = flat(parse(html))
+                    shape = blake2b(f"{host}\0{tree}".encode(), digest_size=16, person=b"tree").digest()
+                    if shape not in known:
+                        known.add(shape)
+                        out.append((host, blocks, tree))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    dealt = (arrow_map(rows.where("html <> ''").join(F.broadcast(large), "host", "left").select("host", F.coalesce("blocks", F.lit(1)).alias("blocks"), "html"),
+                       trees, "host string, blocks long, tree string")
+             .withColumn("h", F.xxhash64("tree")).withColumn("block", F.pmod("h", "blocks"))
+             .withColumn("key", F.xxhash64("host", "block")).select("key", "host", "block", "h", "tree"))
+
+    def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("host", pa.string()), ("block", pa.int64()), ("wrapper", pa.string()), ("trees", pa.list_(pa.string()))])
+        for (_, host, number), members in groupby(_rows(batches, "key", "host", "block", "tree"), key=lambda r: r[:3]):
+            found = grouped(tree for tree, _ in groupby(r[3] for r in members))
+            first = next(found)
+            few = len(first) < GROUP  # they wait for others of their host
+            wrapper = None if few else joined(of_group(g) for g in (g for part in ((first,), found) for g in part))
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(
+                (host, number, wrapper and packed(wrapper), first if few else []), schema, strict=True)], schema=schema)
+
+    def hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("host", pa.string()), ("wrapper", pa.string())])
+        for (_, host), members in groupby(_rows(batches, "key", "host", "wrapper", "trees"), key=lambda r: r[:2]):
+            root, spare = None, []
+            for _, _, wrapper, few in members:
+                if wrapper is not None:
+                    root = joined(w for w in (root, unpacked(wrapper)) if w)
+                spare += few
+                if len(spare) >= 2 * GROUP:
+                    root = joined(w for w in (root, of_group(spare[:GROUP])) if w)
+                    del spare[:GROUP]
+            if spare:
+                root = joined(w for w in (root, of_group(spare)) if w)
+            yield pa.RecordBatch.from_arrays([pa.array([host], pa.string()), pa.array([json.dumps(finished(root))], pa.string())], schema=schema)
+
+    parts = arrow_map(dealt.repartition("key").sortWithinPartitions("key", "host", "block", "h", "tree"), blocks_of,
+                      "host string, block long, wrapper string, trees array<string>").withColumn("key", F.xxhash64("host"))
+    return written(arrow_map(parts.repartition("key").sortWithinPartitions("key", "host", "block"), hosts, "host string, wrapper string"), "wrappers")
+
+
+def _rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+
+
+def main_text(pages: DataFrame, broadcast_bytes: int = 16 << 20) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars`` of every row."""
-    wrappers = host_wrappers(pages, sample)
+    wrappers = host_wrappers(pages)
     size = wrappers.agg(F.coalesce(F.sum(F.length("wrapper") + F.length("host") + 64), F.lit(0))).first()[0]
     side = F.broadcast(wrappers) if size <= broadcast_bytes else wrappers
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"), host_of().alias("host")).join(side, "host", "left")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list] = {}
+        known: dict[str, Slot] = {}
         for batch in batches:
             texts = []
             for page, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist(), strict=True):
                 if wrapper is not None and wrapper not in known:
-                    if len(known) >= 1000:
+                    if len(known) >= 500:
                         known.clear()
-                    known[wrapper] = json.loads(wrapper)
+                    known[wrapper] = _slots(json.loads(wrapper))
                 texts.append(extract(page or "", known.get(wrapper)))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
                                              schema=schema)

@@ -86,3 +86,58 @@ def test_matching_against_a_plain_one():
         assert all(g.name == s.name for g, s in pairs)
         crossed += any(len({c.name for c in s.children}) < len(s.children) for s in wrappers.in_order(root))
     assert crossed > 10
+
+
+def odd_last(k, n):
+    """All pages but the last two have the same words on top; the story says one thing in most pages, not in all."""
+    rail = "Rail of the day" if k < n - 2 else f"Rail {k}"
+    said = "Said on most pages." if k % 5 else f"Said on page {k}."
+    return (f"<body><div class=top>Daily paper</div><div class=rail>{rail}</div><div class=story><h2>Part {k}</h2>"
+            f"<p>Story {k} tells of many a thing {k * k}.</p><div class=box>{said}</div></div></body>")
+
+
+def test_every_page_counts_and_odd_ones_spoil_only_their_group(spark):
+    n = 60
+    pages = [odd_last(k, n) for k in range(n)]
+    expected = [f"Part {k} Story {k} tells of many a thing {k * k}. {'Said on most pages.' if k % 5 else f'Said on page {k}.'}" for k in range(n)]
+    wrapper = wrappers.induce(pages)
+    assert [wrappers.extract(p, wrapper) for p in pages] == expected
+    # the same from blocks of pages joined; copies, of one page in many blocks too, change nothing
+    rows = [(k, f"http://a.org/{k}", p) for k, p in enumerate(pages)] + [(n + k, "http://a.org/x", pages[3]) for k in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    for block in (1000, 20, 3):
+        found = wrappers.host_wrappers(df, block).collect()
+        marks = wrappers.json.loads(found[0].wrapper)
+        assert len(found) == 1 and [wrappers.extract(p, marks) for p in pages] == expected, block
+    assert {r.page_id: r.text for r in wrappers.main_text(df).collect()} == dict(enumerate(expected + [expected[3]] * 40))
+
+
+def test_no_eight_pages_decide_for_a_host(spark):
+    """A text that is constant in the pages of least hash, and only there, stays."""
+    from pyspark.sql import functions as F
+
+    first = {r.id for r in spark.range(400).orderBy(F.xxhash64("id"), "id").limit(8).collect()}
+    said = ["Said here" if k in first else f"Said once {k}" for k in range(400)]
+    pages = [f"<body><div class=a>{said[k]}</div><p>Words {k} of page {k * k}</p></body>" for k in range(400)]
+    df = spark.createDataFrame([(k, "http://b.org/", p) for k, p in enumerate(pages)], "page_id long, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in wrappers.main_text(df).collect()} == {k: f"{said[k]} Words {k} of page {k * k}" for k in range(400)}
+
+
+def test_wrappers_joined_count_as_their_pages_would():
+    chance = np.random.default_rng(9)
+
+    def tree(depth):
+        return "".join(f"<div class={c}>{tree(depth - 1) if depth else ''}{'same' if c < 'c' else chance.integers(9)}</div>"
+                       for c in chance.permutation(list("abcd"))[:chance.integers(1, 5)])
+
+    pages = list(dict.fromkeys(wrappers.flat(wrappers.parse(tree(2))) for _ in range(40)))
+    groups = list(wrappers.grouped(pages))
+    assert sorted(sum(groups, [])) == sorted(pages) and all(8 <= len(g) < 16 for g in groups)
+    parts = [wrappers.of_group(g) for g in groups]
+    for part in parts:
+        copy = wrappers.unpacked(wrappers.packed(part))
+        assert wrappers.packed(copy) == wrappers.packed(part)
+    letters = sum(s.letters for p in parts for s in wrappers.in_order(p))
+    whole = wrappers.joined(parts)
+    assert whole.pages == whole.held == len(pages)
+    assert sum(s.letters for s in wrappers.in_order(whole)) == letters
