@@ -51,7 +51,7 @@ from contract_lake.session import work_dir
 
 GRAM, BLOCKS = 50, (32, 8, 1)
 #: Windows hashed at a time; texts are joined up to it or cut at it.
-SEGMENT = 1 << 19
+SEGMENT = 1 << 17
 ROWS = pa.schema([("digit", pa.int64()), ("whole", pa.int64()), ("key", pa.binary()), ("place", pa.int64()), ("copies", pa.int32())])
 #: The most frequent kinds of a pass, marked from a list.
 HEAVY = 1024
@@ -192,25 +192,38 @@ def _digit_counts(runs: DataFrame) -> DataFrame:
                    .where("n > 1").select("digit", (F.col("low") != F.col("high")).alias("several")), "suffix-digits")
 
 
-def distinct_texts(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """(``key``, ``text``, ``copies``) of each text of a window or more once,
-    ``copies`` being 1 or 2 (for two or more), and those with 2. Texts whose
-    name is in the bitmap of copied names are shuffled, the others are not."""
+def distinct_texts(docs: DataFrame, window: int):
+    """Rows ``key``, ``text``, ``h``, ``copies`` of the texts of a window or
+    more, a function that leaves each text of a batch of them once, ``copies``
+    being 1 or 2 (for two or more), and ``key``, ``text`` of those with 2.
+    Texts whose name is in the bitmap of copied names are shuffled and come
+    with their ``copies``; the others are not, theirs is null. The function is
+    for the pass that uses the texts: one in a pass of its own would hold as
+    many Python workers again."""
     spark = docs.sparkSession
     texts = docs.select(_key().alias("key"), F.col("text").cast("string")).where(F.octet_length("text") >= window).withColumn("h", F.xxhash64("key"))
     again = texts.groupBy("key", "h").agg(F.count("*").alias("n")).where("n > 1")
     bitmap = spark.sparkContext.broadcast(_bitmap(again, F.col("h")))
 
-    def chosen(copied: bool):
-        def run(batches):
-            for batch in batches:
-                kept = _in_bitmap(bitmap.value, batch.column("h").to_numpy()) == copied
-                if kept.any():
-                    yield batch.filter(pa.array(kept)).select(["key", "text"])
-        return arrow_map(texts, run, "key binary, text string")
+    def copied(batches):
+        for batch in batches:
+            kept = _in_bitmap(bitmap.value, batch.column("h").to_numpy())
+            if kept.any():
+                yield batch.filter(pa.array(kept)).select(["key", "text"])
 
-    held = written(chosen(True).groupBy("key").agg(F.first("text").alias("text"), F.least(F.count("*"), F.lit(2)).cast("int").alias("copies")), "suffix-copied")
-    return chosen(False).withColumn("copies", F.lit(1)).union(held), held.where("copies = 2")
+    held = written(arrow_map(texts, copied, "key binary, text string").groupBy("key")
+                   .agg(F.first("text").alias("text"), F.least(F.count("*"), F.lit(2)).cast("int").alias("copies")), "suffix-copied")
+
+    def once(batches):
+        for batch in batches:
+            kept = batch.column("copies").is_valid().to_numpy(zero_copy_only=False) | ~_in_bitmap(bitmap.value, batch.column("h").to_numpy())
+            if kept.any():
+                batch = batch.filter(pa.array(kept))
+                at = batch.schema.get_field_index("copies")
+                yield batch.set_column(at, batch.schema.field(at), batch.column(at).fill_null(1))
+
+    rows = texts.withColumn("copies", F.lit(None).cast("int")).union(held.select("key", "text", F.xxhash64("key").alias("h"), "copies"))
+    return rows, once, held.where("copies = 2")
 
 
 def repeated_spans(docs: DataFrame, window: int = 200) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -220,21 +233,21 @@ def repeated_spans(docs: DataFrame, window: int = 200) -> tuple[DataFrame, DataF
     if not GRAM + 1 <= window <= GRAM + 206:
         raise ValueError(f"windows of {GRAM + 1} to {GRAM + 206} bytes are served")
     spark = docs.sparkSession
-    texts, copied = distinct_texts(docs, window)
+    texts, once, copied = distinct_texts(docs, window)
     digit_rows = pa.schema([ROWS.field("digit"), ROWS.field("whole"), ROWS.field("copies")])
 
     def digits(batches):
-        for batch in batches:
+        for batch in once(batches):
             copies = batch.column("copies").to_numpy()
             for digit, whole, row, _ in anchor_runs(list(byte_views(batch.column("text"))), window):
                 yield batch_of(digit_rows, digit, whole, copies[row])
 
     weighted = F.col("copies").cast("long")
-    counts = _digit_counts(arrow_map(texts.select("text", "copies"), digits, "digit long, whole long, copies int").withColumn("weight", weighted))
+    counts = _digit_counts(arrow_map(texts.select("text", "h", "copies"), digits, "digit long, whole long, copies int").withColumn("weight", weighted))
     bitmap = spark.sparkContext.broadcast(_bitmap(counts, F.col("digit")))
 
     def runs(batches):
-        for batch in batches:
+        for batch in once(batches):
             keys, copies = np.array(batch.column("key").to_pylist(), object), batch.column("copies").to_numpy()
             for digit, whole, row, place in anchor_runs(list(byte_views(batch.column("text"))), window):
                 kept = _in_bitmap(bitmap.value, digit)
@@ -251,14 +264,14 @@ def repeated_spans(docs: DataFrame, window: int = 200) -> tuple[DataFrame, DataF
     touched = spark.sparkContext.broadcast(_bitmap(repeated.union(pending).select("key").distinct(), F.xxhash64("key")))
 
     def affected(batches):
-        for batch in batches:
+        for batch in once(batches):
             kept = _in_bitmap(touched.value, batch.column("h").to_numpy())
             if kept.any():
                 yield batch.filter(pa.array(kept)).select(["key", "text", "copies"])
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = work_dir(spark, "suffix_texts").rsplit("/", 1)[1].replace("-", "_")
-    (arrow_map(texts.withColumn("h", F.xxhash64("key")), affected, "key binary, text string, copies int").repartition(n, "key")
+    (arrow_map(texts, affected, "key binary, text string, copies int").repartition(n, "key")
      .write.bucketBy(n, "key").option("path", work_dir(spark, "suffix-texts")).saveAsTable(name))
     held = spark.table(name)
 

@@ -101,3 +101,16 @@ def test_copies_are_one_text_with_bounded_places(spark):
     found = {r.doc_id: r for r in suffixes.dedup_report(df, 200).collect()}
     assert len(found) == 802 and all(found[i].n_removed == found[i].n_bytes and found[i].n_spans == 1 for i in range(800))
     assert len(passage) <= found[5000].n_removed <= len(passage) + 9 and found[5001].n_removed == 0
+
+
+def test_a_pass_over_texts_holds_one_python_worker_a_task(edge_docs, monkeypatch):
+    """A pass fed by another one in the same task holds a Python worker for each."""
+    fed, run = [], suffixes.arrow_map
+
+    def seen(df, *rest):
+        fed.append(df._jdf.queryExecution().executedPlan().toString())
+        return run(df, *rest)
+
+    monkeypatch.setattr(suffixes, "arrow_map", seen)
+    assert suffixes.dedup_texts(edge_docs).count() == edge_docs.count()
+    assert len(fed) > 5 and not any("MapInArrow" in plan for plan in fed)
