@@ -17,8 +17,9 @@ lines and marks at word ends. Text is read in pieces, so a very long document
 needs no more memory than a piece beside itself.
 
 Training uses at most ``max_positive`` positives and ``max_unlabelled``
-unlabelled texts (the rows with the least hash of doc_id); everything else
-covers all rows. Null texts count as empty and get a score like any other;
+unlabelled texts (the rows with the least hash of doc_id), whose features meet
+in one task; the driver gets the scorer alone. Everything else covers all
+rows. Null texts count as empty and get a score like any other;
 rows without a doc_id are scored, never learnt from. Repeated rows score alike;
 of rows that share a doc_id training reads one (the least text).
 """
@@ -111,6 +112,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, steps
     prior, that of telling positives from unlabelled rows."""
     every = np.concatenate([positive, unlabelled])
     mean, scale = every.mean(axis=0), every.std(axis=0) + 1e-2
+    del every
     p, u = (np.clip((x - mean) / scale, -8, 8).astype(np.float64) for x in (positive, unlabelled))
     w, b = np.zeros(p.shape[1]), 0.0
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
@@ -168,8 +170,8 @@ def held_out(doc_id: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def _features_of(docs: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Features of the documents named by ``ids`` (bounded by the caller), one row each."""
+def _feature_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id``, ``x`` (features) of the documents named by ``ids`` (bounded by the caller), one row each."""
     schema = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float32()))])
 
     def run(batches):
@@ -178,8 +180,51 @@ def _features_of(docs: DataFrame, ids: DataFrame) -> np.ndarray:
 
     rows = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(ids), "doc_id", "left_semi")
             .groupBy("doc_id").agg(F.min("text").alias("text")))
-    found = arrow_map(rows, run, "doc_id long, x array<float>").toArrow().sort_by("doc_id").column("x").combine_chunks()
-    return found.flatten().to_numpy(zero_copy_only=False).reshape(len(found), N_FEATURES)
+    return arrow_map(rows, run, "doc_id long, x array<float>")
+
+
+def _matrix(doc_id: pa.ChunkedArray, x: pa.ChunkedArray) -> np.ndarray:
+    """The lists of features ``x`` as rows, by doc_id."""
+    order = np.argsort(doc_id.to_numpy(), kind="stable")
+    out, at = np.empty((len(order), N_FEATURES), np.float32), np.empty_like(order)
+    at[order] = np.arange(len(order))
+    start = 0
+    for chunk in x.chunks:
+        out[at[start:start + len(chunk)]] = chunk.flatten().to_numpy(zero_copy_only=False).reshape(len(chunk), N_FEATURES)
+        start += len(chunk)
+    return out
+
+
+def _features_of(docs: DataFrame, ids: DataFrame) -> np.ndarray:
+    """Features of the documents named by ``ids`` (few: they come to the driver), one row each."""
+    found = _feature_rows(docs, ids).toArrow()
+    return _matrix(found.column("doc_id"), found.column("x"))
+
+
+def _fitted(sample: DataFrame) -> Scorer | None:
+    """The scorer of a ``sample`` (``positive``, ``doc_id``, ``x``; bounded by
+    the caller), fitted in a task; None without a row of either kind."""
+    schema = pa.schema([("mean", pa.list_(pa.float32())), ("scale", pa.list_(pa.float32())), ("weights", pa.list_(pa.float64())),
+                        ("bias", pa.float64()), ("prior", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held)
+        del held
+        kinds = rows.column("positive").to_numpy()
+        p, u = (_matrix(x.column("doc_id"), x.column("x")) for x in (rows.filter(pa.array(kinds)), rows.filter(pa.array(~kinds))))
+        del rows
+        if len(p) and len(u):
+            scorer = fit(p, u, estimated_prior(p, u))
+            yield batch_of(schema, [scorer.mean], [scorer.scale], [scorer.weights], [scorer.bias], [scorer.prior])
+
+    found = arrow_map(sample.repartition(1), run, "mean array<float>, scale array<float>, weights array<double>, bias double, prior double").toArrow()
+    if not len(found):
+        return None
+    mean, scale, weights = (found.column(c).combine_chunks().flatten().to_numpy() for c in ("mean", "scale", "weights"))
+    return Scorer(mean, scale, weights, *(found.column(c)[0].as_py() for c in ("bias", "prior")))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_positive: int = 4000,
@@ -191,10 +236,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_positi
     order = F.xxhash64("doc_id")
     positive = usable.select("doc_id").distinct().join(known, "doc_id").orderBy(order, "doc_id").limit(max_positive)
     unlabelled = known.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(max_unlabelled)
-    p, u = _features_of(docs, positive), _features_of(docs, unlabelled)
-    if not len(p) or not len(u):
-        return Scorer(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 500.0, 1.0)
-    return fit(p, u, estimated_prior(p, u))
+    kinds = [_feature_rows(docs, ids).select(F.lit(kind).alias("positive"), "doc_id", "x") for kind, ids in ((True, positive), (False, unlabelled))]
+    return _fitted(kinds[0].union(kinds[1])) or Scorer(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 500.0, 1.0)
 
 
 def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -39,6 +41,23 @@ def test_scores_of_edges(spark, edge_docs, no_docs):
     assert quality.accepted(edge_docs, nothing).count() == edge_docs.count()
 
 
+def test_training_sample_stays_off_the_driver(spark):
+    chance = np.random.default_rng(5)
+    rows = [(i, "".join(chance.choice(list("abc d\n" if i % 2 else "xyz 1,"), 60)), i % 2) for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(5)
+    first = quality.train(docs.limit(10), docs)  # what is loaded once
+    tracemalloc.start()
+    scorer = quality.train(docs, docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert first.prior and peak < 4 << 20
+    known = docs.where(~quality.held_out())
+    p, u = (quality._features_of(docs, x.select("doc_id")) for x in (known.where("quality = 1"), known))
+    want = quality.fit(p, u, quality.estimated_prior(p, u))
+    assert scorer.mean.dtype == want.mean.dtype and np.allclose(scorer.mean, want.mean) and np.allclose(scorer.scale, want.scale)
+    assert np.allclose(scorer.weights, want.weights) and np.isclose(scorer.bias, want.bias) and np.isclose(scorer.prior, want.prior)
+
+
 def test_non_negative_risk_separates_from_positives_and_unlabelled_alone():
     chance = np.random.default_rng(1)
     good, bad = chance.normal(1, 1, (600, 5)), chance.normal(-1, 1, (300, 5))
