@@ -59,3 +59,13 @@ def test_texts_that_hold_no_object_are_not_parsed_but_kept(spark):
     texts = spark.createDataFrame([('{"features": [{"id": "1"}]}\n{"features": []}',), ("no json",), ('"{x}"',), ("{",), ("  7",)], "value string")
     made = d.documents_of_text(texts, schema)
     assert {r._corrupt_record for r in made.collect()} - {None} == {"no json", "{x}", "{", "7"}
+
+
+def test_a_text_is_trimmed_once(spark):
+    """The trimmed text is what later steps and the filter read."""
+    schema = read_schema(fx.EVENTS_ENTRY.properties)
+    texts = spark.createDataFrame([('\ufeff \n{"features": [{"id": "1"}]} \n\n',), (" \t\n",), ("\ufeff[ ]\n",), (None,), (" x \n",)], "value string")
+    made = d.documents_of_text(texts, schema)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(regexp_replace(value") == 1
+    assert [(r.features[0].id if r.features else None, r._corrupt_record) for r in made.collect()] == [("1", None), (None, "x")]
